@@ -58,16 +58,23 @@ def pagerank_step(
 
 @dataclass(frozen=True)
 class Graph:
-    """A graph prepared for many rounds, both tables written to the shared folder.
+    """A graph prepared for many rounds.
 
     ``links`` (src, slice, dst, share): repeated edges are one row, and ``share`` is the part of
     the rank of ``src`` that goes to ``dst``. The links of a node are cut into slices of about
     ``1 / MAX_HOT`` of all links, so that no join key has more.
     ``nodes`` (id, slices): all slices of all nodes are fewer than the nodes plus ``MAX_HOT``.
+    ``sliced`` tells whether any node has more than one slice.
     """
 
     nodes: DataFrame
     links: DataFrame
+    n_nodes: int
+    sliced: bool
+
+    def release(self) -> None:
+        self.nodes.unpersist()
+        self.links.unpersist()
 
 
 def prepare(
@@ -77,44 +84,60 @@ def prepare(
     slice_rows: int = SLICE_ROWS,
     max_hot: int = MAX_HOT,
 ) -> Graph:
-    """Count and slice the out-links once, for all rounds.
+    """Count and slice the out-links once, for all rounds, and keep them partitioned and sorted on
+    the executors' disks. The merged edges and the node table are written to the shared folder, so
+    that a lost executor never sends a task back to the source of the edges.
 
-    ``on_missing`` says what to do with a link to an id that is not in ``nodes``: ``"error"``
-    raises, ``"add"`` makes it a node without out-links.
+    ``on_missing`` says what to do with an edge from or to an id that is not in ``nodes``:
+    ``"error"`` raises, ``"add"`` makes it a node.
     """
     if on_missing not in ("error", "add"):
         raise ValueError(f"on_missing must be 'error' or 'add', not {on_missing!r}")
     merged = written(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "edges")
 
-    degrees = merged.groupBy("src").agg(
-        F.sum("copies").alias("out_degree"), F.count("*").alias("n_links")
+    # One row per node from three kinds of rows: listed nodes, edges at their source and edges at
+    # their target. Partial sums keep a hot node to one row per task.
+    no_links = [F.lit(0).cast("bigint").alias(c) for c in ("out_degree", "n_links")]
+    one_link = [F.col("copies").alias("out_degree"), F.lit(1).cast("bigint").alias("n_links")]
+    rows = nodes.select("id", F.lit(1).alias("listed"), *no_links)
+    rows = rows.unionByName(merged.select(F.col("src").alias("id"), F.lit(0).alias("listed"), *one_link))
+    rows = rows.unionByName(merged.select(F.col("dst").alias("id"), F.lit(0).alias("listed"), *no_links))
+    counted = rows.groupBy("id").agg(
+        F.max("listed").alias("listed"),
+        F.sum("out_degree").alias("out_degree"),
+        F.sum("n_links").alias("n_links"),
+    )
+    counted = written(counted, "nodes")
+    totals = counted.agg(
+        F.count("*"), F.sum("n_links"), F.max("n_links"), F.min(F.when(F.col("listed") == 0, F.col("id")))
+    )
+    n_nodes, n_links, most, missing = totals.first()
+    if on_missing == "error" and missing is not None:
+        raise ValueError(f"edge of a node without a row in nodes: {missing!r}")
+
+    per_slice = max((n_links or 0) / max_hot, slice_rows)
+    slices = F.greatest(F.ceil(F.col("n_links") / per_slice), F.lit(1)).cast("int")
+    counted = counted.withColumn("slices", slices)
+    sources = counted.filter(F.col("n_links") > 0).withColumnRenamed("id", "src")
+    links = attach_totals(merged, sources, "src", "n_links", max_hot).select(
+        "src",
+        F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice"),
+        "dst",
+        (F.col("copies") / F.col("out_degree")).alias("share"),
     )
-    all_links = degrees.agg(F.sum("n_links")).scalar()
-    per_slice = F.greatest(all_links / max_hot, F.lit(float(slice_rows)))
-    slices = F.ceil(F.col("n_links") / per_slice).cast("int").alias("slices")
-    degrees = written(degrees.select("*", slices), "degrees")
-
-    share = (F.col("copies") / F.col("out_degree")).alias("share")
-    slice_of = F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice")
-    links = written(
-        attach_totals(merged, degrees, "src", "n_links", max_hot).select(
-            "src", slice_of, "dst", share
-        ),
-        "links",
+    sliced = (most or 0) > per_slice
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["src", "slice"] if sliced else ["src"]
+    return Graph(
+        nodes=_laid_out(counted.select("id", "slices"), parts, ["id"]),
+        links=_laid_out(links if sliced else links.drop("slice"), parts, keys),
+        n_nodes=n_nodes,
+        sliced=sliced,
     )
 
-    ids = nodes.select("id").distinct()
-    # Both ends: a source without a node row would lose its links without a word.
-    linked = merged.select(F.col("dst").alias("id")).distinct()
-    linked = linked.unionByName(degrees.select(F.col("src").alias("id"))).distinct()
-    missing = linked.join(ids, "id", "left_anti")
-    if on_missing == "add":
-        ids = ids.unionByName(missing)
-    elif (first := missing.first()) is not None:
-        raise ValueError(f"linked node without a row in nodes: {first.id!r}")
-    known = degrees.select(F.col("src").alias("id"), "slices")
-    sliced = ids.join(known, "id", "left").select("id", F.coalesce("slices", F.lit(1)).alias("slices"))
-    return Graph(written(sliced, "nodes"), links)
+
+def _laid_out(df: DataFrame, parts: int, keys: list[str]) -> DataFrame:
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys).persist(StorageLevel.DISK_ONLY)
 
 
 def pagerank(
@@ -124,40 +147,33 @@ def pagerank(
     damping: float = 0.85,
     init: float | str = 1.0,
     on_missing: str = "error",
-    checkpoint_every: int = 5,
+    checkpoint_every: int = 3,
     slice_rows: int = SLICE_ROWS,
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """(id, rank) after a fixed number of rounds from ``init`` (a number, or ``"uniform"`` for
     ``1 / N``). The rank that reaches a node without out-links is lost.
 
-    Per round the ranks are shuffled to the slices of their node and the credits, added up per task
-    first, to their target. The links stay where they are: partitioned and sorted once, on disk.
+    The links stay where they are, and the ranks are made on the partitions of their node. A round
+    thus shuffles the credits to their target, added up per task first, and nothing else; if some
+    node is hot, also the ranks, one row for each slice of a node.
     """
     graph = prepare(nodes, edges, on_missing, slice_rows, max_hot)
-    spark = nodes.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = (
-        graph.links.repartition(parts, "src", "slice")
-        .sortWithinPartitions("src", "slice")
-        .persist(StorageLevel.DISK_ONLY)
-    )
-    state = graph.nodes.repartition(parts, "id").sortWithinPartitions("id")
-    state = state.persist(StorageLevel.DISK_ONLY)
-    n_nodes = state.count()
-    start = 1.0 / max(n_nodes, 1) if init == "uniform" else float(init)
-
-    ranks = state.select("id", "slices", F.lit(start).alias("rank"))
+    start = 1.0 / max(graph.n_nodes, 1) if init == "uniform" else float(init)
+    ranks = graph.nodes.select("id", "slices", F.lit(start).alias("rank"))
     for done in range(1, iterations + 1):
-        every_slice = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
-        sent = ranks.select(F.col("id").alias("src"), "rank", every_slice)
-        credits = links.join(sent, ["src", "slice"]).select(
+        sent = ranks.withColumnRenamed("id", "src")
+        keys = ["src"]
+        if graph.sliced:
+            every_slice = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+            sent = sent.select("src", "rank", every_slice)
+            keys = ["src", "slice"]
+        credits = graph.links.join(sent, keys).select(
             "dst", (F.col("rank") * F.col("share")).alias("credit")
         )
-        ranks = gather(state, credits, n_nodes, damping)
+        ranks = gather(graph.nodes, credits, graph.n_nodes, damping)
         if done % checkpoint_every == 0 and done < iterations:
             ranks = checkpoint(ranks)
     result = checkpoint(ranks.select("id", "rank"))
-    links.unpersist()
-    state.unpersist()
+    graph.release()
     return result

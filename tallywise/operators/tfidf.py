@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +25,13 @@ def term_frequency(
     text: str = "text",
     stop: DataFrame | Iterable[str] = (),
 ) -> DataFrame:
-    """(doc, term, tf). A document may span many rows of ``docs``."""
-    tokens = tokenize(docs, text, keep=[doc], word="term")
+    """(doc, term, tf). A document may span many rows of ``docs``.
+
+    Rows without a document name are left out, as no result could name them. Saying so here also
+    gives all readers of the shuffle below the same scan, whether they join on ``doc`` or not.
+    """
+    named = docs.filter(F.col(doc).isNotNull())
+    tokens = tokenize(named, text, keep=[doc], word="term")
     kept = drop_stop_words(tokens, stop, word="term")
     return kept.groupBy(doc, "term").agg(F.count("*").alias("tf"))
 
@@ -71,9 +76,14 @@ def tfidf(
 
 
 def normalize(
-    weights: DataFrame, tf: DataFrame, doc: str = "doc", max_hot: int = MAX_HOT
+    weights: DataFrame,
+    tf: DataFrame,
+    doc: str = "doc",
+    keep: Sequence[str] = (),
+    max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """Add ``weight``: tfidf divided by the L2 norm over all terms of the document.
+    """(doc, term, *keep, weight): ``weight`` is tfidf divided by the L2 norm over all terms of the
+    document.
 
     A document with a large share of all rows is spread over slices by term. Its norm is summed
     per slice and then over slices, and goes back to each slice; the rows are shuffled once.
@@ -81,10 +91,10 @@ def normalize(
     sizes = tf.groupBy(doc).agg(F.count_if(F.col("tf") > 0).alias("_terms"))
     hot = hot_totals(sizes, doc, "_terms", max_hot).select(doc, F.lit(True).alias("_hot"))
     slice_of = F.when(F.col("_hot"), 1 + F.pmod(F.xxhash64("term"), F.lit(SLICES)))
+    carried = list(dict.fromkeys([doc, "term", "tfidf", *keep]))
     spread = (
         weights.join(F.broadcast(hot), doc, "left")
-        .withColumn("_slice", F.coalesce(slice_of, F.lit(0)).cast("int"))
-        .drop("_hot")
+        .select(*carried, F.coalesce(slice_of, F.lit(0)).cast("int").alias("_slice"))
         .repartition(doc, "_slice")
     )
     # The hash names every column, so that this aggregate and the join below read one shuffle and
@@ -93,7 +103,7 @@ def normalize(
         spread.groupBy(doc, "_slice")
         .agg(
             F.sum(F.col("tfidf") * F.col("tfidf")).alias("_squares"),
-            F.max(F.xxhash64(*spread.columns)).alias("_all"),
+            F.max(F.xxhash64(*carried)).alias("_all"),
         )
         .filter(F.col("_all").isNotNull())
     )
@@ -102,8 +112,8 @@ def normalize(
     )
     back = norms.select(doc, "_norm", F.explode("_slices").alias("_slice"))
     weight = safe_ratio(F.col("tfidf"), F.col("_norm"))
-    joined = spread.join(back, [doc, "_slice"]).withColumn("weight", weight)
-    return joined.select(*weights.columns, "weight")
+    joined = spread.join(back, [doc, "_slice"])
+    return joined.select(doc, "term", *keep, weight.alias("weight"))
 
 
 def relevance(weights: DataFrame, doc: str = "doc") -> DataFrame:
@@ -150,7 +160,7 @@ def relevance_batch(
         sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("tfidf").alias("_dot"))
         score = safe_ratio(F.col("_dot"), F.col("_norm"))
     else:
-        matched = normalize(weights, tf, doc).filter("asked").select(doc, "term", "weight")
+        matched = normalize(weights, tf, doc, keep=["asked"]).filter("asked").drop("asked")
         pairs = sliced_join(matched, queries, "term", spread=doc)
         sums = pairs.groupBy(query_id, doc).agg(F.sum("weight").alias("_dot"))
         score = F.col("_dot")

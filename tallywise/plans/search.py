@@ -32,7 +32,8 @@ def document_weights(
     """
     tf = term_frequency(docs, doc, text, stop)
     total = count_documents(docs, doc) if n_docs is None else n_docs
-    return normalize(tfidf(tf, document_frequency(tf), total), tf, doc)
+    weights = tfidf(tf, document_frequency(tf), total)
+    return normalize(weights, tf, doc, keep=["tf", "df", "tfidf"])
 
 
 def score_documents(

@@ -165,7 +165,7 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 def _part_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Parts and suppliers, linked both ways once for each line item."""
-    items = sources.read_table(spark, sf, "lineitem", "l_partkey", "l_suppkey")
+    items = sources.spread(sources.read_table(spark, sf, "lineitem", "l_partkey", "l_suppkey"))
     part = F.concat(F.lit("P"), "l_partkey")
     supplier = F.concat(F.lit("S"), "l_suppkey")
     both = F.array(

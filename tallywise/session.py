@@ -1,4 +1,4 @@
-"""The shared folder for checkpoints and intermediate tables."""
+"""The shared folder for checkpoints and intermediate tables, and settings that suit the plans."""
 
 from __future__ import annotations
 
@@ -7,6 +7,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Broadcast and hash joins only on sizes measured at run time: Catalyst cannot know how many words a
+# text explodes into, so its estimates before the run are no ground for a broadcast.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
