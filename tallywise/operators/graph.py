@@ -38,7 +38,8 @@ def gather(
     """The columns of ``nodes`` and the new ``rank``, from (dst, credit) rows. A node that gets no
     credit keeps the part all nodes have, ``(1 - damping) / n_nodes``."""
     arrived = credits.groupBy(F.col("dst").alias("id")).agg(F.sum("credit").alias("_credit"))
-    base = F.lit(1 - damping) / (F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes)
+    # Rounded, since 1 - 0.85 is not the double nearest to 0.15.
+    base = F.lit(round(1 - damping, 15)) / (F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes)
     rank = base + damping * F.coalesce("_credit", F.lit(0.0))
     return nodes.join(arrived, "id", "left").select(*nodes.columns, rank.alias("rank"))
 
@@ -161,19 +162,22 @@ def pagerank(
     graph = prepare(nodes, edges, on_missing, slice_rows, max_hot)
     start = 1.0 / max(graph.n_nodes, 1) if init == "uniform" else float(init)
     ranks = graph.nodes.select("id", "slices", F.lit(start).alias("rank"))
-    for done in range(1, iterations + 1):
-        sent = ranks.withColumnRenamed("id", "src")
-        keys = ["src"]
-        if graph.sliced:
-            every_slice = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
-            sent = sent.select("src", "rank", every_slice)
-            keys = ["src", "slice"]
-        credits = graph.links.join(sent, keys).select(
-            "dst", (F.col("rank") * F.col("share")).alias("credit")
-        )
-        ranks = gather(graph.nodes, credits, graph.n_nodes, damping)
-        if done % checkpoint_every == 0 and done < iterations:
-            ranks = checkpoint(ranks)
-    result = checkpoint(ranks.select("id", "rank"))
-    graph.release()
-    return result
+    try:
+        for done in range(1, iterations + 1):
+            ranks = gather(graph.nodes, _credits(graph, ranks), graph.n_nodes, damping)
+            if done % checkpoint_every == 0 and done < iterations:
+                ranks = checkpoint(ranks)
+        return checkpoint(ranks.select("id", "rank"))
+    finally:
+        graph.release()
+
+
+def _credits(graph: Graph, ranks: DataFrame) -> DataFrame:
+    sent = ranks.withColumnRenamed("id", "src")
+    keys = ["src"]
+    if graph.sliced:
+        every_slice = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+        sent = sent.select("src", "rank", every_slice)
+        keys = ["src", "slice"]
+    credit = (F.col("rank") * F.col("share")).alias("credit")
+    return graph.links.join(sent, keys).select("dst", credit)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.functions import safe_ratio, stable, tfidf_weight
@@ -141,23 +141,22 @@ def relevance_batch(
 ) -> DataFrame:
     """(query_id, doc, score) for many queries, ``queries`` being distinct (query_id, term).
 
-    Where the queries fit a broadcast, the asked weights of a document are gathered with its norm
-    by one shuffle on the document. There are at most as many of them as asked terms, so the bound
-    on the queries bounds them too. They meet the queries in place, and since (query, doc) pairs
-    are then already on one task per document, no pair is ever shuffled.
+    Where the queries fit a broadcast, one aggregate keeps a row for each asked term of a document
+    and adds up the squares of all its other terms in one more. A document then has at most as many
+    rows as there are asked terms, so the bound on the queries bounds the window that sums the
+    norm. The rows meet the queries where the window left them, all pairs of a document on one
+    task, and no (query, document) pair is ever shuffled.
 
     More queries than that are joined by shuffle on the term, hot terms spread over slices.
     """
     if small if small is not None else fits_broadcast(queries):
-        asked = F.when(F.col("asked"), F.struct("term", "tfidf"))
-        per_doc = weights.groupBy(doc).agg(
-            F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))).alias("_norm"),
-            F.collect_list(asked).alias("_asked"),
+        asked_term = F.when(F.col("asked"), F.col("term")).alias("term")
+        grouped = weights.groupBy(doc, asked_term).agg(
+            F.sum(F.col("tfidf") * F.col("tfidf")).alias("_squares"), F.sum("tfidf").alias("_tfidf")
         )
-        matched = per_doc.select(doc, "_norm", F.inline("_asked")).join(
-            F.broadcast(queries), "term"
-        )
-        sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("tfidf").alias("_dot"))
+        norm = F.sqrt(F.sum("_squares").over(Window.partitionBy(doc)))
+        matched = grouped.withColumn("_norm", norm).join(F.broadcast(queries), "term")
+        sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("_tfidf").alias("_dot"))
         score = safe_ratio(F.col("_dot"), F.col("_norm"))
     else:
         matched = normalize(weights, tf, doc, keep=["asked"]).filter("asked").drop("asked")

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallywise.operators import pagerank, sort_by_count
 from tallywise.plans.search import search
 from tallywise.plans.words import StopWords, count_words, shared_words, top_shared_words
 from tallywise.sinks import write_adjacency, write_pairs
 from tallywise.sources import (
-    document_names,
+    count_files,
     read_adjacency,
     read_documents,
     read_query,
@@ -61,9 +60,7 @@ def search_files(
 ) -> None:
     """``score<TAB>doc`` of the ``k`` best files for the words in the first line of ``query``.
     Without ``n_docs`` the files are counted, empty ones too."""
-    total = n_docs
-    if total is None:
-        total = document_names(spark, documents).agg(F.count("*")).scalar()
+    total = count_files(spark, documents) if n_docs is None else n_docs
     docs = read_documents(spark, documents)
     best = search(docs, read_query(spark, query), stop=_stop(spark, stop_path), k=k, n_docs=total)
     write_pairs(best, output)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywise import operators as op
 from tallywise import plans, sinks, sources
-from tallywise.functions import stable
+from tallywise.functions import stable, words
 from tallywise.operators.tokens import word_list
 from tallywise.plans.search import score_documents
 from tallywise.session import scratch_path
@@ -44,11 +44,11 @@ def text_scan(spark: SparkSession, sf: str) -> DataFrame:
         "lang", "value", F.col("_metadata.file_path"), sources.text.file_name().alias("doc")
     )
     named = F.url_decode("file_path").endswith(F.concat(F.lit("/"), "doc"))
-    words = F.filter(F.split("value", r"[ \t\n\r\f]+"), lambda w: w != "")
+    in_line = F.array_remove(words("value"), "")
     return lines.groupBy("lang").agg(
         F.count("*").alias("n_lines"),
         F.count_if(named & ~F.contains("doc", F.lit("/"))).alias("n_named"),
-        F.sum(F.size(words)).alias("n_words"),
+        F.sum(F.size(in_line)).alias("n_words"),
     )
 
 

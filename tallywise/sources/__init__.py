@@ -1,7 +1,7 @@
 from tallywise.sources.adjacency import read_adjacency, read_ranked_adjacency
 from tallywise.sources.tables import read_table, spread
 from tallywise.sources.text import (
-    document_names,
+    count_files,
     read_documents,
     read_pairs,
     read_query,
@@ -10,7 +10,7 @@ from tallywise.sources.text import (
 )
 
 __all__ = [
-    "document_names",
+    "count_files",
     "read_adjacency",
     "read_documents",
     "read_pairs",

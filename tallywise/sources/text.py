@@ -31,10 +31,11 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return lines.select(file_name().alias("doc"), F.col("value").alias("text"))
 
 
-def document_names(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(doc): one row per file, empty files included; reads no content."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select(file_name().alias("doc"))
+def count_files(spark: SparkSession, path: str) -> int:
+    """Number of files in a directory, empty ones included, which Spark's file scans leave out.
+    The files are listed and counted by Spark but not opened."""
+    context = spark.sparkContext
+    return context._jsc.sc().binaryFiles(path, context.defaultMinPartitions).count()
 
 
 def read_pairs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
