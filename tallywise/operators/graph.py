@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.operators.skew import MAX_HOT, attach_totals
-from tallywise.session import checkpoint, written
+from tallywise.session import checkpoint, shuffle_partitions, written
 
 SLICE_ROWS = 10_000
+PARTITION_ROWS = 100_000
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -65,13 +67,15 @@ class Graph:
     the rank of ``src`` that goes to ``dst``. The links of a node are cut into slices of about
     ``1 / MAX_HOT`` of all links, so that no join key has more.
     ``nodes`` (id, slices): all slices of all nodes are fewer than the nodes plus ``MAX_HOT``.
-    ``sliced`` tells whether any node has more than one slice.
+    ``sliced`` tells whether any node has more than one slice. Both tables have ``parts``
+    partitions: the session's number, or fewer for a graph too small for so many tasks per round.
     """
 
     nodes: DataFrame
     links: DataFrame
     n_nodes: int
     sliced: bool
+    parts: int
 
     def release(self) -> None:
         self.nodes.unpersist()
@@ -127,13 +131,17 @@ def prepare(
         (F.col("copies") / F.col("out_degree")).alias("share"),
     )
     sliced = (most or 0) > per_slice
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(
+        int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        ceil((n_nodes + (n_links or 0) + 1) / PARTITION_ROWS),
+    )
     keys = ["src", "slice"] if sliced else ["src"]
     return Graph(
         nodes=_laid_out(counted.select("id", "slices"), parts, ["id"]),
         links=_laid_out(links if sliced else links.drop("slice"), parts, keys),
         n_nodes=n_nodes,
         sliced=sliced,
+        parts=parts,
     )
 
 
@@ -163,11 +171,14 @@ def pagerank(
     start = 1.0 / max(graph.n_nodes, 1) if init == "uniform" else float(init)
     ranks = graph.nodes.select("id", "slices", F.lit(start).alias("rank"))
     try:
-        for done in range(1, iterations + 1):
-            ranks = gather(graph.nodes, _credits(graph, ranks), graph.n_nodes, damping)
-            if done % checkpoint_every == 0 and done < iterations:
-                ranks = checkpoint(ranks)
-        return checkpoint(ranks.select("id", "rank"))
+        # The shuffle of the credits must have as many partitions as the tables, or Spark would
+        # shuffle those again. All rounds run in here, as each checkpoint does its work at once.
+        with shuffle_partitions(nodes.sparkSession, graph.parts):
+            for done in range(1, iterations + 1):
+                ranks = gather(graph.nodes, _credits(graph, ranks), graph.n_nodes, damping)
+                if done % checkpoint_every == 0 and done < iterations:
+                    ranks = checkpoint(ranks)
+            return checkpoint(ranks.select("id", "rank"))
     finally:
         graph.release()
 

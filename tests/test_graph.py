@@ -5,6 +5,7 @@ from conftest import rows
 
 from tallywise import operators as op
 from tallywise.operators import graph
+from tallywise.session import shuffle_partitions
 from tallywise.sinks import write_adjacency
 from tallywise.sources import read_adjacency, read_ranked_adjacency
 
@@ -29,11 +30,28 @@ def ranks(df):
 
 
 @pytest.mark.parametrize("rounds", list(AFTER))
-@pytest.mark.parametrize("slice_rows", [10_000, 1])
-def test_rounds(spark, tmp_path, rounds, slice_rows):
+@pytest.mark.parametrize(("slice_rows", "part_rows"), [(10_000, 100_000), (10_000, 2), (1, 2)])
+def test_rounds(spark, tmp_path, rounds, slice_rows, part_rows, monkeypatch):
+    monkeypatch.setattr(graph, "PARTITION_ROWS", part_rows)
     nodes, edges = load(spark, tmp_path, OPEN)
     got = op.pagerank(nodes, edges, rounds, slice_rows=slice_rows, max_hot=4)
     assert ranks(got) == AFTER[rounds]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_links_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """A round shuffles the credits only: one exchange, and no sort of the links."""
+    monkeypatch.setattr(graph, "PARTITION_ROWS", 2)
+    prepared = graph.prepare(*load(spark, tmp_path, OPEN))
+    start = prepared.nodes.selectExpr("id", "slices", "1D as rank")
+    with shuffle_partitions(spark, prepared.parts):
+        after = graph.gather(prepared.nodes, graph._credits(prepared, start), 6)
+        cached = [prepared.nodes, prepared.links]
+        assert prepared.parts == 4 and all(df.rdd.getNumPartitions() == 4 for df in cached)
+        plan = after._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "ENSURE_REQUIREMENTS" in line]
+    assert len(moved) == 1 and "dst" in moved[0]
+    prepared.release()
 
 
 def test_hot_node_is_sliced(spark):
