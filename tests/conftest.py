@@ -42,3 +42,15 @@ def plan_of(df):
     execution = df._jdf.queryExecution()
     execution.toRdd().count()
     return execution.executedPlan().toString()
+
+
+def nodes_of(plan):
+    """The nodes of a physical plan, without what is inside a cached table."""
+    yield plan
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        yield from nodes_of(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        yield from nodes_of(plan.plan())
+    children = plan.children()
+    for i in range(children.size()):
+        yield from nodes_of(children.apply(i))

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import nodes_of, rows
 
 from tallywise import operators as op
 from tallywise.operators import graph
@@ -48,9 +48,9 @@ def test_links_stay_where_they_are(spark, tmp_path, monkeypatch):
         after = graph.gather(prepared.nodes, graph._credits(prepared, start), 6)
         cached = [prepared.nodes, prepared.links]
         assert prepared.parts == 4 and all(df.rdd.getNumPartitions() == 4 for df in cached)
-        plan = after._jdf.queryExecution().executedPlan().toString()
-    moved = [line for line in plan.splitlines() if "ENSURE_REQUIREMENTS" in line]
-    assert len(moved) == 1 and "dst" in moved[0]
+        plan = list(nodes_of(after._jdf.queryExecution().executedPlan()))
+    moved = [node.toString() for node in plan if node.nodeName() == "Exchange"]
+    assert len(moved) == 1 and "hashpartitioning(dst" in moved[0]
     prepared.release()
 
 
