@@ -152,6 +152,17 @@ def test_batch_against_brute_force(spark, small, monkeypatch):
     close(set(rows(got)), model(lines, queries, {"w0"}, 2))
 
 
+def test_pairs_are_scored_without_a_shuffle(spark, docs):
+    tf = op.term_frequency(docs)
+    asked = op.query_terms(spark.createDataFrame([(1, "cat dog")], "q int, text string"), "q")
+    weights = op.tfidf(tf, op.mark_asked(op.document_frequency(tf), asked.select("term")), 4)
+    scores = op.relevance_batch(weights, asked, tf, "q", small=True)
+    names = [n.nodeName() for n in nodes_of(scores._jdf.queryExecution().executedPlan())]
+    above = names[: names.index("Window")]
+    assert "BroadcastHashJoin" in above and "Exchange" not in above
+    assert above.count("HashAggregate") == 2
+
+
 def test_query_terms_are_distinct(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, "b"), (3, " ")], "q int, text string")
     assert rows(op.query_terms(df, "q")) == [(1, "a"), (1, "b"), (2, "b")]
