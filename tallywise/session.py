@@ -57,6 +57,47 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run in a folder of their own under the shared folder.
+
+    A table goes when it is dropped, or with all others on :meth:`release`. What a returned frame
+    still reads must stay until the caller has read it.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = scratch_path(spark, "run")
+        self._next = 0
+
+    def path(self, name: str) -> str:
+        """A path in the folder that no other call returns."""
+        self._next += 1
+        return f"{self.folder}/{self._next:03d}-{name}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as Parquet and return the table read back."""
+        path = self.path(name)
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back._scratch_path = path
+        return back
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that :meth:`write` returned."""
+        for table in tables:
+            delete(self.spark, table._scratch_path)
+
+    def release(self) -> None:
+        """Delete the whole folder."""
+        delete(self.spark, self.folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that this library made, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def shuffle_partitions(spark: SparkSession, parts: int) -> Iterator[None]:
     """Run what is inside with ``parts`` shuffle partitions, then set the old number again."""
