@@ -7,7 +7,7 @@ from conftest import TESTDATA
 import __spark_entry__ as contract
 
 FOLDER = TESTDATA / "sf0.001"
-KEYS = list(contract.queries())
+KEYS = list(contract.registered.queries())
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(KEYS) == set(contract.oracle_sql())
+    assert set(KEYS) <= set(contract.oracle_sql())
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
