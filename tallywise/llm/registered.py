@@ -26,3 +26,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
