@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallywise.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from tallywise.llm.jaccard_join import jaccard_components
 from tallywise.session import Scratch
 from tallywise.sources import read_table
@@ -24,6 +27,22 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, Scratch(spark)).select("doc_id", "n_shingles", "component_id")
 
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """The documents encoded and decoded, as digests."""
+    ranks = read_ranks(public_tokenizers.path(VOCABULARY))
+    decoded = bpe_decode(bpe_encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    digests = (F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return decoded.select("doc_id", "n_tokens", *digests)
+
+
+@_query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
