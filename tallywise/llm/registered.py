@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
 from tallywise.session import Scratch
 from tallywise.sources import read_table
@@ -21,6 +22,12 @@ def _query(function: Callable) -> Callable:
     return function
 
 
+@_query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return find_leaks(docs, read_table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
 @_query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")

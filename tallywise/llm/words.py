@@ -18,6 +18,8 @@ M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Every byte that is no ASCII letter or digit and belongs to no longer character.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -44,9 +46,10 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch,
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each text the number of words before it."""
-    inner = ~_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each text the number of words before it. ``between``
+    marks the bytes that stand between words."""
+    inner = ~between[data]
     new = np.zeros(len(data) + 1, bool)
     new[offsets] = True
     begin, end = inner.copy(), inner.copy()
