@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallywise.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
+from tallywise.llm.langid import held_out, identify, train
 from tallywise.session import Scratch
 from tallywise.sources import read_table
 
@@ -28,6 +29,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(docs, read_table(spark, sf_dir, "benchmark"), Scratch(spark))
 
 
+@_query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = identify(docs, train(docs.filter(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
