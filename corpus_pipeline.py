@@ -5,26 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
+from tallywise.llm.langid import identify, train
+from tallywise.llm.line_dedup import dedup_lines
+from tallywise.llm.registered import bpe_digests
 from tallywise.session import Scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LEAST_SHARE = 0.5  # of a document's letters in its main language
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those of which no language has LEAST_SHARE, go. ``lang`` is
+    the language found."""
+    found = identify(docs, train(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    found = found.select("doc_id", "lang_pred").groupBy("doc_id").agg(F.min("lang_pred").alias("found"))
+    joined = docs.select(*COLUMNS).join(found, "doc_id")
+    return joined.withColumn("lang", F.col("found")).select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of lines go. A document of which nothing is left goes too."""
+    deduped = dedup_lines(docs, Scratch(spark)).filter("text <> '' or n_removed = 0")
+    deduped = deduped.groupBy("doc_id").agg(F.min("text").alias("left"))
+    joined = docs.select(*COLUMNS).join(deduped, "doc_id")
+    joined = joined.withColumn("text", F.col("left")).withColumn("n_chars", F.length("left").cast("long"))
+    return joined.select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id, and of
-    rows that repeat it each distinct one once. Documents without words stay."""
+    """One document of each group of near copies stays, the one with the smallest doc_id. Documents
+    without words stay."""
     docs = docs.select(*COLUMNS)
-    parts = jaccard_components(docs, Scratch(spark))
-    first = parts.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates().join(first, "doc_id", "left_semi").select(*COLUMNS)
+    first = jaccard_components(docs, Scratch(spark)).filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, edited or not, go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = find_leaks(docs, items, Scratch(spark)).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's tokens and the round trip, as digests."""
+    return bpe_digests(docs.select("doc_id", "text"))
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("language", language),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("encode", encode),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark)
     for name, stage in STAGES[:-1]:

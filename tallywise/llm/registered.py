@@ -12,6 +12,7 @@ from tallywise.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
 from tallywise.llm.langid import held_out, identify, train
+from tallywise.llm.line_dedup import dedup_lines
 from tallywise.session import Scratch
 from tallywise.sources import read_table
 
@@ -42,6 +43,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, Scratch(spark)).select("doc_id", "n_shingles", "component_id")
 
 
+@_query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"), Scratch(spark))
+
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -58,9 +64,29 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+LINE_DEDUP = """
+with docs as (select doc_id, text, string_split(text, chr(10)) as lines from documents),
+windows as (
+  select doc_id, i, lines[i] || chr(10) || lines[i + 1] as run
+  from (select doc_id, lines, unnest(range(1, len(lines))) as i from docs)),
+firsts as (select run, min((doc_id, i)) as first from windows group by run having count(*) > 1),
+gone as (
+  select distinct doc_id, unnest([i, i + 1]) as i
+  from windows join firsts using (run) where (doc_id, i) <> first),
+kept as (
+  select doc_id, string_agg(lines[i], chr(10) order by i) as text
+  from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i from docs) anti join gone using (doc_id, i)
+  group by doc_id),
+counts as (select doc_id, count(*) as n_removed from gone group by doc_id)
+select d.doc_id, case when d.text is null then null else coalesce(k.text, '') end as text,
+  coalesce(len(d.lines), 0) as n_lines, coalesce(c.n_removed, 0) as n_removed
+from docs d left join kept k using (doc_id) left join counts c using (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_line_dedup": LINE_DEDUP}
