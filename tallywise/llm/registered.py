@@ -13,6 +13,7 @@ from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
 from tallywise.llm.langid import held_out, identify, train
 from tallywise.llm.line_dedup import dedup_lines
+from tallywise.llm.winnow import fingerprint_edits
 from tallywise.session import Scratch
 from tallywise.sources import read_table
 
@@ -30,6 +31,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(docs, read_table(spark, sf_dir, "benchmark"), Scratch(spark))
 
 
+@_query
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @_query
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
