@@ -13,6 +13,8 @@ from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
 from tallywise.llm.langid import held_out, identify, train
 from tallywise.llm.line_dedup import dedup_lines
+from tallywise.llm.span_dedup import dedup_spans
+from tallywise.llm.warc import read_warc, write_warc
 from tallywise.llm.winnow import fingerprint_edits
 from tallywise.session import Scratch
 from tallywise.sources import read_table
@@ -54,6 +56,20 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"), Scratch(spark))
 
 
+@_query
+def op7_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_spans(read_table(spark, sf_dir, "documents", "doc_id", "text"), Scratch(spark))
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark).path("warc")
+    write_warc(read_table(spark, sf_dir, "pages"), path)
+    found = read_warc(spark, path)
+    ids = (F.col("page").cast("long").alias("page_id"), F.col("refers_to").cast("long").alias("refers_to"))
+    return found.select(*ids, "payload_bytes", "payload_digest", "record_type")
+
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -70,6 +86,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+WARC = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+f as (select html, min(page_id) as first from p where strlen(html) >= 100 group by html)
+select page_id, strlen(p.html) as payload_bytes, sha256(p.html) as payload_digest,
+  case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+  case when first <> page_id then first end as refers_to
+from p left join f on p.html = f.html
+"""
+
 LINE_DEDUP = """
 with docs as (select doc_id, text, string_split(text, chr(10)) as lines from documents),
 windows as (
@@ -95,4 +120,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP}
+    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC}
