@@ -13,6 +13,8 @@ from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
 from tallywise.llm.langid import held_out, identify, train
 from tallywise.llm.line_dedup import dedup_lines
+from tallywise.llm.pii import pseudonymize_documents
+from tallywise.llm.quality import assess
 from tallywise.llm.span_dedup import dedup_spans
 from tallywise.llm.warc import read_warc, write_warc
 from tallywise.llm.winnow import fingerprint_edits
@@ -33,6 +35,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(docs, read_table(spark, sf_dir, "benchmark"), Scratch(spark))
 
 
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return assess(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"), Scratch(spark))
+
+
+@_query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return pseudonymize_documents(docs, key=b"a key of the test tables").select("doc_id", "text", "n_found")
+
+
 @_query
 def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(read_table(spark, sf_dir, "documents", "doc_id", "text"))
