@@ -148,9 +148,9 @@ def find_leaks(
     """(``id_col``, ``item_col``, score, first_word, last_word): the items that stand in a document,
     each with its best passage (words ``first_word`` up to and without ``last_word``).
 
-    Words are runs of letters and digits, case folded in A-Z. Seeds are the ``n``-grams of an item;
-    the rarer half of them in the corpus, 8 at least, and ties with the last, are joined with the documents. Where
-    a seed meets, the item is aligned with the words around by Smith-Waterman (match 2, other word or
+    Words are runs of letters and digits, case folded in A-Z. Seeds are the ``n``-grams of an item,
+    joined with those of the documents; the rarer half of an item's seeds in the corpus (8 at least,
+    and ties with the last) are rare. Where one rare seed or two others meet on neighbouring diagonals, the item is aligned with the words around by Smith-Waterman (match 2, other word or
     gap -1); ``score`` is the alignment's share of the best one possible, and passages below
     ``threshold`` are left out.
 
@@ -169,11 +169,15 @@ def find_leaks(
     counted = hits.filter("seed is not null").groupBy("seed").agg(F.count("*").alias("n"))
     by_item = Window.partitionBy("item_words", "item").orderBy(F.coalesce("n", F.lit(0)))
     ranked = seeds.join(counted, "seed", "left").withColumn("rank", F.rank().over(by_item))
-    rare = ranked.filter((F.col("rank") <= 8) | (F.col("rank") * 2 <= F.col("item_size")))
-    slack = F.greatest(F.lit(8), F.floor(F.col("item_size") / 4))
-    pairs = hits.filter("seed is not null").join(rare, "seed")
-    band = F.floor((F.col("pos") - F.col("item_pos")) / slack)
-    pairs = pairs.select("key", "item", "item_size", "item_words", band.alias("band"), slack.alias("slack")).distinct()
+    rare = (F.col("rank") <= 8) | (F.col("rank") * 2 <= F.col("item_size"))
+    slack = F.greatest(F.lit(8), F.floor(F.col("item_size") / 4)).alias("slack")
+    band = F.floor((F.col("pos") - F.col("item_pos")) / F.col("slack")).alias("band")
+    ranked = ranked.select("seed", "item", "item_pos", "item_size", "item_words", slack, rare.alias("rare"))
+    pairs = hits.filter("seed is not null").join(ranked, "seed")
+    pairs = pairs.groupBy("key", "item", "item_size", "item_words", "slack", band)
+    # One rare seed is enough, or two of any kind: where many copies are edited alike, the seeds that
+    # they keep are more frequent than those that they lack.
+    pairs = pairs.agg(F.max("rare").alias("rare"), F.min("seed").alias("s1"), F.max("seed").alias("s2")).filter("rare or s1 <> s2")
     low = F.col("band") * F.col("slack") - F.col("slack")
     pairs = pairs.select("key", "item", "item_words", low.alias("low"), (low + F.col("item_size") + 3 * F.col("slack")).alias("high"))
     pairs = scratch.write(pairs, "pairs")
