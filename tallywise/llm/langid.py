@@ -169,7 +169,7 @@ def _predict(languages: list[str], logs: np.ndarray, written: np.ndarray, penalt
                     scores[~written[:, script].T] = -1e4
                 labels = viterbi(scores, at, penalty) if k else np.zeros(0, np.int64)
                 share = np.zeros((len(part), max(k, 1)))
-                text = np.repeat(np.arange(len(part)), np.diff(at))
+                text = np.repeat(np.arange(len(part)), np.diff(at))[: len(labels)]
                 if k:
                     np.add.at(share, (text, labels), sizes)
                 all_bytes = share.sum(1)
@@ -179,7 +179,7 @@ def _predict(languages: list[str], logs: np.ndarray, written: np.ndarray, penalt
                 change[1:] = (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])
                 begin = np.flatnonzero(change)
                 last = np.append(begin[1:], len(labels))
-                of = text[begin] if k else begin
+                of = text[begin]
                 spans = pa.StructArray.from_arrays(
                     [pa.array(names[labels[begin]], pa.string()), pa.array(begin - at[of]), pa.array(last - at[of])],
                     ["lang", "first_word", "last_word"],
