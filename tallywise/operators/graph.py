@@ -53,10 +53,11 @@ def pagerank_step(
     damping: float = 0.85,
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """One round: (id, rank) before to (id, rank) after."""
+    """One round: (id, rank) before to (id, rank) after. A node that is listed twice counts once."""
+    nodes = nodes.select("id").distinct()
     n_nodes = nodes.agg(F.count("*")).scalar()
     sent = contributions(edges, ranks, max_hot).select("dst", "credit")
-    return gather(nodes.select("id"), sent, n_nodes, damping)
+    return gather(nodes, sent, n_nodes, damping)
 
 
 @dataclass(frozen=True)

@@ -37,8 +37,9 @@ def term_frequency(
 
 
 def count_documents(docs: DataFrame, doc: str = "doc") -> Column:
-    """Number of documents as a scalar subquery, those left without any term included."""
-    return docs.select(doc).distinct().agg(F.count("*")).scalar()
+    """Number of documents as a scalar subquery, those left without any term included, rows without a
+    document name not."""
+    return docs.filter(F.col(doc).isNotNull()).select(doc).distinct().agg(F.count("*")).scalar()
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
