@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tallywise.llm import words
 
-CACHE = 400_000  # pieces of text whose ids a task remembers; when full, it starts anew
+#: Pieces of text and pre-tokens whose ids a worker remembers; when full, a table starts anew.
+CACHE, TOKENS = 300_000, 800_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,6 +88,7 @@ class RankQueue:
                     continue
                 gone = after[i]
                 end = after[gone]
+                lower = False
                 after[i] = end
                 pair[gone] = pair[i] = -1
                 if end < n:
@@ -94,11 +96,13 @@ class RankQueue:
                     if (new := ranks.get(piece[i : after[end]], -1)) >= 0:
                         pair[i] = new
                         self.push(new, i)
+                        lower = new < rank
                 if (left := before[i]) >= 0:
                     pair[left] = new = ranks.get(piece[left:end], -1)
                     if new >= 0:
                         self.push(new, left)
-                if 0 <= self.first() < rank:
+                        lower |= new < rank
+                if lower:
                     for j in positions[k + 1 :]:
                         self.push(rank, j)
                     break
@@ -131,7 +135,7 @@ class Encoder(dict):
             if ids is None:
                 ids = np.array(self.queue.encode(token.encode()), "<u4").tobytes()
                 if len(token) < 64:
-                    if len(self.tokens) >= CACHE:
+                    if len(self.tokens) >= TOKENS:
                         self.tokens.clear()
                     self.tokens[token] = ids
             out.append(ids)
@@ -153,12 +157,17 @@ def bpe_encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
     special tokens. A null text counts as empty and has no ids. Nulls and repeats in ``id_col`` stay
     as they are, a row for each row; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary file's fixed size
+    # A vocabulary file's fixed size. A worker keeps what a broadcast holds, and so its encoder, from
+    # task to task.
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks})
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, pattern)
+        held = shared.value
+        encoder = held.get(pattern)
+        if encoder is None:
+            encoder = held[pattern] = Encoder(held["ranks"], pattern)
         for batch in batches:
             for part, _, _ in words.slices(batch, "text"):
                 ids = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
