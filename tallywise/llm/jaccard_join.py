@@ -22,13 +22,20 @@ CELLS = 64  # of the suffix filter
 TOP = np.uint64(BITS - 6)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh]
+
+
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int]]]:
     """For each slice of the batches its rows, their sets of shingle hashes and the sets' digests."""
     for batch in batches:
         for part, data, offsets in words.slices(batch, "text"):
             starts, ends, at = words.word_bounds(data, offsets)
             hashes = words.word_hashes(data, starts, ends)
-            sets = [np.unique(s) for s in words.shingle_sets(hashes, at, n, BITS)]
+            sets = [_distinct(s) for s in words.shingle_sets(hashes, at, n, BITS)]
             digests = [int(words.mix(np.add.reduce(words.mix(s), keepdims=True) + np.uint64(len(s))).view(np.int64)[0]) for s in sets]
             yield part, sets, digests
 
@@ -43,24 +50,37 @@ def _describe(n: int):
             counts += np.bincount(cells.astype(np.int64), minlength=SKETCH)
             cls = [d if k else None for d, k in zip(digests, sizes, strict=True)]
             yield pa.record_batch(
-                [ids, pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())],
-                ["id", "size", "cls", "seg", "part"],
+                [ids, part.column("copy"), pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())],
+                ["id", "copy", "size", "cls", "seg", "part"],
             )
         if ids is not None:
             rows = tables.segments(counts)
             none = len(rows)
             yield pa.record_batch(
-                [pa.nulls(none, ids.type), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()), rows["seg"], rows["part"]],
-                ["id", "size", "cls", "seg", "part"],
+                [pa.nulls(none, ids.type), *(pa.nulls(none, pa.int64()) for _ in range(3)), rows["seg"], rows["part"]],
+                ["id", "copy", "size", "cls", "seg", "part"],
             )
 
     return run
 
 
+def _firsts(batches: Iterator[pa.RecordBatch], flags: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows whose text no row of the task before had, of those that ``flags`` marks."""
+    seen: set[int] = set()
+    for batch in batches:
+        keep = np.zeros(len(batch), bool)
+        copies = batch["copy"].to_numpy()
+        marked = np.arange(len(batch)) if flags is None else np.flatnonzero(flags[copies.view(np.uint64) % np.uint64(FLAGS)])
+        for i in marked.tolist():
+            keep[i] = copies[i] not in seen
+            seen.add(copies[i])
+        yield batch.filter(pa.array(keep))
+
+
 def _prefixes(n: int, percent: int, rarity: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within a task give one set of rows
-        for _, sets, digests in _sets(batches, n):
+        for _, sets, digests in _sets(_firsts(batches), n):
             out: list[tuple[np.ndarray, ...]] = []
             for s, cls in zip(sets, digests, strict=True):
                 size = len(s)
@@ -119,17 +139,17 @@ def _groups(hot: int):
 def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     flags = np.zeros(FLAGS, np.uint8)
     for batch in batches:
-        flags[batch["cls"].to_numpy().view(np.uint64) % np.uint64(FLAGS)] = 1
+        flags[batch["copy"].to_numpy().view(np.uint64) % np.uint64(FLAGS)] = 1
     yield tables.segments(flags)
 
 
 def _wanted(n: int, flags: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, sets, digests in _sets(batches, n):
+        for _, sets, digests in _sets(_firsts(batches, flags), n):
             cls, data = [], []
             for s, c in zip(sets, digests, strict=True):
-                if len(s) and c not in seen and flags[c % FLAGS]:
+                if len(s) and c not in seen:
                     seen.add(c)
                     cls.append(c)
                     data.append(s.tobytes())
@@ -170,11 +190,11 @@ def _possible(size: str, pos: str, size2: str, pos2: str, percent: int):
     return length & (rest * (100 + percent) >= (x + y) * percent)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link, as a table. The sets of the classes in question are made
-    anew from the texts: a bit table of fixed size lets a task pass over nearly all others, and the
-    join leaves the rest."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    anew, each from one text of the class (``copies``): a bit table of fixed size lets a task pass
+    over nearly all other texts before it cuts them into words, and the join leaves the rest."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(copies, "cls").select("copy")
     flags = tables.total(ends.mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8")
     sets = texts.mapInArrow(_wanted(n, flags), "cls long, shingles binary")
     sets = scratch.write(sets.groupBy("cls").agg(F.first("shingles").alias("s")), "sets")
@@ -217,21 +237,23 @@ def jaccard_components(
 
     A null or empty text has the empty set, no class, and is its own component. Rows with a null id
     take part, but no component is named by null unless all its ids are null. Rows that repeat an id
-    count as documents of their own. Other columns are ignored. Hashes have 56 bits and digests of
-    sets 64.
+    count as documents of their own. Other columns are ignored. Hashes have 56 bits, digests of
+    sets and texts 64.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("copy"))
     id_type = rows.schema["id"].dataType.simpleString()
     described = scratch.write(
-        rows.mapInArrow(_describe(n), f"id {id_type}, size long, cls long, seg int, part binary"), "described"
+        rows.mapInArrow(_describe(n), f"id {id_type}, copy long, size long, cls long, seg int, part binary"), "described"
     )
     digests = described.filter("seg is null").select("id", "size", "cls")
+    copies = described.filter("cls is not null").groupBy("cls").agg(F.min("copy").alias("copy"))
+    copies = scratch.write(copies, "copies")
     counts = tables.total(described.filter("seg is not null").select("seg", "part"), SKETCH, "int64")
     rarity = np.minimum(np.rint(3 * np.log2(1 + counts)), 127).astype(np.uint64)
     # Up to here a statistic over all shingles; a hot cell's class of rarity marks its shingles.
     hot = int(min(np.rint(3 * np.log2(1 + counts.sum() / HOT)), 127))
 
-    texts = rows.select("text")
+    texts = rows.select("text", "copy")
     prefixes = texts.mapInArrow(_prefixes(n, percent, rarity), "key long, cls long, size int, pos int")
     salt = F.when(F.shiftright("key", BITS) >= hot, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0))
     salted = prefixes.withColumn("salt", salt.cast("int"))
@@ -245,10 +267,10 @@ def jaccard_components(
     top = tops.groupBy("key").agg(F.min(F.struct("pivot", "ps", "pp")).alias("t"))
     across = tops.join(top, "key").filter("pivot <> t.pivot").filter(_possible("ps", "pp", "t.ps", "t.pp", percent))
     star = scratch.write(star.union(across.select("t.pivot", "pivot")).distinct(), "star")
-    links = _verified(star, texts, scratch, n, percent)
+    links = _verified(star, texts, copies, scratch, n, percent)
     labels = components(links, scratch)
     more = scratch.write(_across(postings, labels, percent).join(star, ["a", "b"], "left_anti"), "across")
-    links = _verified(more, texts, scratch, n, percent).union(links)
+    links = _verified(more, texts, copies, scratch, n, percent).union(links)
     labels = components(links, scratch)
     return _named(digests, labels, id_col)
 
