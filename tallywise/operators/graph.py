@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.operators.skew import MAX_HOT, attach_totals
-from tallywise.session import checkpoint, shuffle_partitions, written
+from tallywise.session import Scratch, checkpoint, shuffle_partitions
 
 SLICE_ROWS = 10_000
 PARTITION_ROWS = 100_000
@@ -26,16 +26,37 @@ def with_out_degree(edges: DataFrame, max_hot: int = MAX_HOT) -> DataFrame:
     return attach_totals(edges, out_degrees(edges), "src", "out_degree", max_hot)
 
 
-def contributions(edges: DataFrame, ranks: DataFrame, max_hot: int = MAX_HOT) -> DataFrame:
-    """(src, dst, credit): each node hands its rank to its out-links in equal parts."""
-    state = out_degrees(edges).join(ranks.withColumnRenamed("id", "src"), "src")
-    credit = F.col("rank") / F.col("out_degree")
+def _check_on_missing(on_missing: str) -> None:
+    if on_missing not in ("error", "add"):
+        raise ValueError(f"on_missing must be 'error' or 'add', not {on_missing!r}")
+
+
+def _unknown(what: str, name: str) -> Column:
+    shown = F.coalesce(F.col(name).cast("string"), F.lit("null"))
+    return F.raise_error(F.concat(F.lit(f"{what}: "), shown))
+
+
+def contributions(
+    edges: DataFrame, ranks: DataFrame, max_hot: int = MAX_HOT, on_missing: str = "error"
+) -> DataFrame:
+    """(src, dst, credit): each node hands its rank to its out-links in equal parts. An edge from
+    a node without a rank raises, or counts as from rank 1.0 with ``on_missing="add"``."""
+    _check_on_missing(on_missing)
+    # No join finds a null, so it would go without a word.
+    edges = edges.withColumn("src", F.coalesce("src", F.raise_error(F.lit("edge of a node without a name"))))
+    state = out_degrees(edges).join(ranks.withColumnRenamed("id", "src"), "src", "left")
+    missing = F.lit(1.0) if on_missing == "add" else _unknown("edge of a node without a rank", "src")
+    credit = F.coalesce("rank", missing) / F.col("out_degree")
     joined = attach_totals(edges, state, "src", "out_degree", max_hot)
     return joined.select("src", "dst", credit.alias("credit"))
 
 
 def gather(
-    nodes: DataFrame, credits: DataFrame, n_nodes: int | Column, damping: float = 0.85
+    nodes: DataFrame,
+    credits: DataFrame,
+    n_nodes: int | Column,
+    damping: float = 0.85,
+    how: str = "left",
 ) -> DataFrame:
     """The columns of ``nodes`` and the new ``rank``, from (dst, credit) rows. A node that gets no
     credit keeps the part all nodes have, ``(1 - damping) / n_nodes``."""
@@ -43,7 +64,7 @@ def gather(
     # Rounded, since 1 - 0.85 is not the double nearest to 0.15.
     base = F.lit(round(1 - damping, 15)) / (F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes)
     rank = base + damping * F.coalesce("_credit", F.lit(0.0))
-    return nodes.join(arrived, "id", "left").select(*nodes.columns, rank.alias("rank"))
+    return nodes.join(arrived, "id", how).select(*nodes.columns, rank.alias("rank"))
 
 
 def pagerank_step(
@@ -52,12 +73,25 @@ def pagerank_step(
     ranks: DataFrame,
     damping: float = 0.85,
     max_hot: int = MAX_HOT,
+    on_missing: str = "error",
 ) -> DataFrame:
-    """One round: (id, rank) before to (id, rank) after. A node that is listed twice counts once."""
-    nodes = nodes.select("id").distinct()
+    """One round: (id, rank) before to (id, rank) after. A node that is listed twice counts once.
+    An edge from or to an id that is not in ``nodes``, or from one without a rank, raises; with
+    ``on_missing="add"`` such ids become nodes that start at rank 1.0."""
+    nodes = nodes.select("id")
+    if on_missing == "add":
+        for end in ("src", "dst"):
+            nodes = nodes.unionByName(edges.select(F.col(end).alias("id")))
+    nodes = nodes.distinct()
     n_nodes = nodes.agg(F.count("*")).scalar()
-    sent = contributions(edges, ranks, max_hot).select("dst", "credit")
-    return gather(nodes, sent, n_nodes, damping)
+    listed = nodes.withColumn("_listed", F.lit(True))
+    # A row for each source too, so that one which is no node is found, be it ever so well ranked.
+    sent = contributions(edges, ranks, max_hot, on_missing).select("dst", "credit")
+    sent = sent.unionByName(edges.select(F.col("src").alias("dst"), F.lit(0.0).alias("credit")))
+    after = gather(listed, sent, n_nodes, damping, how="full")
+    missing = _unknown("edge of a node without a row in nodes", "id")
+    known = F.when(F.col("_listed") & F.col("id").isNotNull(), F.col("id")).otherwise(missing)
+    return after.select(known.alias("id"), "rank")
 
 
 @dataclass(frozen=True)
@@ -77,10 +111,13 @@ class Graph:
     n_nodes: int
     sliced: bool
     parts: int
+    scratch: Scratch
 
     def release(self) -> None:
+        """Free the executors' disks and delete the tables that were written."""
         self.nodes.unpersist()
         self.links.unpersist()
+        self.scratch.release()
 
 
 def prepare(
@@ -95,11 +132,12 @@ def prepare(
     that a lost executor never sends a task back to the source of the edges.
 
     ``on_missing`` says what to do with an edge from or to an id that is not in ``nodes``:
-    ``"error"`` raises, ``"add"`` makes it a node.
+    ``"error"`` raises, ``"add"`` makes it a node. A null id raises in any case.
     """
-    if on_missing not in ("error", "add"):
-        raise ValueError(f"on_missing must be 'error' or 'add', not {on_missing!r}")
-    merged = written(edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "edges")
+    _check_on_missing(on_missing)
+    scratch = Scratch(nodes.sparkSession)
+    copies = F.count("*").alias("copies")
+    merged = scratch.write(edges.groupBy("src", "dst").agg(copies), "edges")
 
     # One row per node from three kinds of rows: listed nodes, edges at their source and edges at
     # their target. Partial sums keep a hot node to one row per task.
@@ -113,12 +151,20 @@ def prepare(
         F.sum("out_degree").alias("out_degree"),
         F.sum("n_links").alias("n_links"),
     )
-    counted = written(counted, "nodes")
+    counted = scratch.write(counted, "nodes")
     totals = counted.agg(
-        F.count("*"), F.sum("n_links"), F.max("n_links"), F.min(F.when(F.col("listed") == 0, F.col("id")))
+        F.count("*"),
+        F.sum("n_links"),
+        F.max("n_links"),
+        F.min(F.when(F.col("listed") == 0, F.col("id"))),
+        F.count_if(F.col("id").isNull()),
     )
-    n_nodes, n_links, most, missing = totals.first()
+    n_nodes, n_links, most, missing, nulls = totals.first()
+    if nulls:
+        scratch.release()
+        raise ValueError("a node or an end of an edge is null")
     if on_missing == "error" and missing is not None:
+        scratch.release()
         raise ValueError(f"edge of a node without a row in nodes: {missing!r}")
 
     per_slice = max((n_links or 0) / max_hot, slice_rows)
@@ -143,6 +189,7 @@ def prepare(
         n_nodes=n_nodes,
         sliced=sliced,
         parts=parts,
+        scratch=scratch,
     )
 
 

@@ -84,7 +84,16 @@ def normalize(
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """(doc, term, *keep, weight): ``weight`` is tfidf divided by the L2 norm over all terms of the
-    document.
+    document."""
+    weight = safe_ratio(F.col("tfidf"), F.col("_norm"))
+    normed = _with_norm(weights, tf, doc, keep, max_hot)
+    return normed.select(doc, "term", *keep, weight.alias("weight"))
+
+
+def _with_norm(
+    weights: DataFrame, tf: DataFrame, doc: str, keep: Sequence[str], max_hot: int = MAX_HOT
+) -> DataFrame:
+    """(doc, term, tfidf, *keep, _norm).
 
     A document with a large share of all rows is spread over slices by term. Its norm is summed
     per slice and then over slices, and goes back to each slice; the rows are shuffled once.
@@ -112,9 +121,7 @@ def normalize(
         F.sqrt(F.sum("_squares")).alias("_norm"), F.collect_set("_slice").alias("_slices")
     )
     back = norms.select(doc, "_norm", F.explode("_slices").alias("_slice"))
-    weight = safe_ratio(F.col("tfidf"), F.col("_norm"))
-    joined = spread.join(back, [doc, "_slice"])
-    return joined.select(doc, "term", *keep, weight.alias("weight"))
+    return spread.join(back, [doc, "_slice"]).select(*carried, "_norm")
 
 
 def relevance(weights: DataFrame, doc: str = "doc") -> DataFrame:
@@ -148,7 +155,8 @@ def relevance_batch(
     norm. The rows meet the queries where the window left them, all pairs of a document on one
     task, and no (query, document) pair is ever shuffled.
 
-    More queries than that are joined by shuffle on the term, hot terms spread over slices.
+    More queries than that are joined by shuffle on the term, hot terms spread over slices. The
+    score is the same sum in both ways, divided by the norm once.
     """
     if small if small is not None else fits_broadcast(queries):
         asked_term = F.when(F.col("asked"), F.col("term")).alias("term")
@@ -157,11 +165,10 @@ def relevance_batch(
         )
         norm = F.sqrt(F.sum("_squares").over(Window.partitionBy(doc)))
         matched = grouped.withColumn("_norm", norm).join(F.broadcast(queries), "term")
-        sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("_tfidf").alias("_dot"))
-        score = safe_ratio(F.col("_dot"), F.col("_norm"))
     else:
-        matched = normalize(weights, tf, doc, keep=["asked"]).filter("asked").drop("asked")
-        pairs = sliced_join(matched, queries, "term", spread=doc)
-        sums = pairs.groupBy(query_id, doc).agg(F.sum("weight").alias("_dot"))
-        score = F.col("_dot")
+        asked = _with_norm(weights, tf, doc, keep=["asked"]).filter("asked")
+        asked = asked.select(doc, "term", "_norm", F.col("tfidf").alias("_tfidf"))
+        matched = sliced_join(asked, queries, "term", spread=doc)
+    sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("_tfidf").alias("_dot"))
+    score = safe_ratio(F.col("_dot"), F.col("_norm"))
     return sums.select(query_id, doc, stable(score).alias("score"))

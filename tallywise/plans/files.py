@@ -23,21 +23,32 @@ def _stop(spark: SparkSession, path: str | None) -> StopWords:
 
 
 def word_count_files(
-    spark: SparkSession, inputs: list[str], output: str, stop_path: str | None = None
+    spark: SparkSession,
+    inputs: list[str],
+    output: str,
+    stop_path: str | None = None,
+    files: int | None = None,
 ) -> None:
-    """``word<TAB>n`` over one or more inputs together, ordered by word."""
+    """``word<TAB>n`` over one or more inputs together, ordered by word. As in all programs, ``files``
+    sets the number of output files; the order goes on from one to the next."""
     texts = [read_texts(spark, path) for path in inputs]
     counted = count_words(*texts, stop=_stop(spark, stop_path))
-    write_pairs(counted.orderBy("word"), output)
+    write_pairs(counted, output, files, order=["word"])
 
 
 def common_words_files(
-    spark: SparkSession, left: str, right: str, output: str, stop_path: str | None = None
+    spark: SparkSession,
+    left: str,
+    right: str,
+    output: str,
+    stop_path: str | None = None,
+    files: int | None = None,
 ) -> None:
     """``n<TAB>word`` of the shared words, by count ascending."""
     stop = _stop(spark, stop_path)
     shared = shared_words(read_texts(spark, left), read_texts(spark, right), stop=stop)
-    write_pairs(sort_by_count(shared), output)
+    shared = sort_by_count(shared)
+    write_pairs(shared, output, files, order=shared.columns if files else ())
 
 
 def top_common_words_files(
@@ -73,9 +84,12 @@ def pagerank_files(
     iterations: int = 10,
     damping: float = 0.85,
     on_missing: str = "error",
+    files: int | None = None,
+    link_sep: str = " ",
 ) -> DataFrame:
-    """``node<TAB>rank link link...`` after the rounds; returns the ranks."""
+    """``node<TAB>rank link link...`` after the rounds, ordered by node; returns the ranks. Names
+    with white space need ``link_sep="\t"``."""
     nodes, edges = read_adjacency(spark, graph)
     ranks = pagerank(nodes, edges, iterations, damping, on_missing=on_missing)
-    write_adjacency(ranks, edges, output)
+    write_adjacency(ranks, edges, output, files, ordered=True, link_sep=link_sep)
     return ranks

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywise.registry.registered import KEYWORDS, STOP_WORDS
+from tallywise.registry.registered import BUCKETS, KEYWORDS, STOP_WORDS
 
 DELIMITERS = r"[ \t\n\r\f]+"
 
@@ -73,6 +73,18 @@ CUSTOMER_NATION_REGION = """
     union all select 'R' || r_regionkey from region)"""
 
 
+SEARCH_BATCH = f"""
+  with {WEIGHTS},
+  asked as (select distinct item_id, {_words("text")} as term from benchmark),
+  scores as (
+    select item_id, doc_id, round(sum(weight), 9) as score
+    from normalized join asked using (term) group by item_id, doc_id)
+  select item_id, score, doc_id from scores
+  qualify rank() over (partition by item_id order by score desc) <= 3"""
+
+BY_BUCKET = f"(select doc_id % {BUCKETS} as bucket, text from documents where text is not null)"
+
+
 def _rounds(graph: str, rounds: int) -> str:
     """Common tables ``r0`` to ``r<rounds>``, the ranks after each round."""
     steps = [
@@ -135,16 +147,17 @@ def oracle_sql() -> dict[str, str]:
         "topk_documents": f"""
             with {RELEVANCE} select score, doc_id from scores
             qualify rank() over (order by score desc) <= 3 order by score desc, doc_id""",
-        "search_batch": f"""
-            with {WEIGHTS},
-            asked as (select distinct item_id, {_words("text")} as term from benchmark),
-            scores as (
-              select item_id, doc_id, round(sum(weight), 9) as score
-              from normalized join asked using (term) group by item_id, doc_id)
-            select item_id, score, doc_id from scores
-            qualify rank() over (partition by item_id order by score desc) <= 3""",
+        "search_batch": SEARCH_BATCH,
+        "search_batch_shuffled": SEARCH_BATCH,
+        "search_files": f"""
+            with {RELEVANCE.replace("doc_id", "bucket").replace("from documents", f"from {BY_BUCKET}")}
+            select score, bucket from scores qualify rank() over (order by score desc) <= 3""",
         "graph_edges": f"with {_rounds(PART_SUPPLIER, 0)} {out_degrees}",
         "adjacency_roundtrip": f"with {_rounds(PART_SUPPLIER, 0)} {out_degrees}",
+        "adjacency_hub": f"""
+            with {PART_SUPPLIER}
+            select src, dst, count(*) as copies, 1 as n_lines from (
+              from edges union all select 'H', 'P' || l_partkey from lineitem) group by src, dst""",
         "pagerank_contribs": f"""
             with {_rounds(PART_SUPPLIER, 0)}
             select e.src, e.dst, round(rank / out_degree, 9) as credit

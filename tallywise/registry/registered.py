@@ -11,12 +11,14 @@ from tallywise import operators as op
 from tallywise import plans, sinks, sources
 from tallywise.functions import stable, words
 from tallywise.operators.tokens import word_list
+from tallywise.plans import files as programs
 from tallywise.plans.search import score_documents
 from tallywise.session import scratch_path
 
 # Parameters of the queries, the same in the oracle SQL.
 STOP_WORDS = ["the", "of", "and", "to", "in", "a", "is", "that"]
 KEYWORDS = ["thon", "erin", "und", "dans", "heing", "rely", "the"]
+BUCKETS = 50
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,7 +153,7 @@ def topk_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def search_batch(spark: SparkSession, sf: str) -> DataFrame:
+def search_batch(spark: SparkSession, sf: str, small: bool | None = None) -> DataFrame:
     return plans.search_batch(
         _documents(spark, sf),
         query_terms(spark, sf),
@@ -160,9 +162,30 @@ def search_batch(spark: SparkSession, sf: str) -> DataFrame:
         stop=STOP_WORDS,
         k=3,
         n_docs=_n_docs(spark, sf),
+        small=small,
     )
 
 
+def search_batch_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the way that is taken for more queries than fit a broadcast."""
+    return search_batch(spark, sf, small=False)
+
+
+def search_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The search program on all texts, written to BUCKETS files, each of which is a document."""
+    folder = scratch_path(spark, "search_files")
+    docs = sources.read_table(spark, sf, "documents", "doc_id", "text").dropna()
+    bucket = F.pmod(F.col("doc_id"), F.lit(BUCKETS)).cast("int")
+    docs.repartitionById(BUCKETS, bucket).select("text").write.text(f"{folder}/docs")
+    word_list(spark, STOP_WORDS, "word").write.text(f"{folder}/stop")
+    word_list(spark, [" ".join(KEYWORDS)], "line").coalesce(1).write.text(f"{folder}/query")
+    inputs = (f"{folder}/docs", f"{folder}/query")
+    programs.search_files(spark, *inputs, f"{folder}/found", stop_path=f"{folder}/stop")
+    found = sources.read_pairs(spark, f"{folder}/found")
+    number = F.regexp_extract("value", r"part-(\d+)", 1).cast("bigint").alias("bucket")
+    return found.select(F.col("key").cast("double").alias("score"), number)
+
+
 def _part_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Parts and suppliers, linked both ways once for each line item."""
     items = sources.spread(sources.read_table(spark, sf, "lineitem", "l_partkey", "l_suppkey"))
@@ -208,6 +231,23 @@ def adjacency_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return op.with_out_degree(edges)
 
 
+def adjacency_hub(spark: SparkSession, sf: str) -> DataFrame:
+    """Written and read back with a node that links to the part of every line item: each link with
+    its copies, and the lines that its node has in the files."""
+    nodes, edges = _part_supplier(spark, sf)
+    hub = F.lit("H")
+    items = sources.spread(sources.read_table(spark, sf, "lineitem", "l_partkey"))
+    links = items.select(hub.alias("src"), F.concat(F.lit("P"), "l_partkey").alias("dst"))
+    path = scratch_path(spark, "hub")
+    all_nodes = nodes.unionByName(nodes.select(hub.alias("id")).limit(1))
+    sinks.write_adjacency(all_nodes, edges.unionByName(links), path, ordered=True)
+    _, linked = sources.read_adjacency(spark, path)
+    lines = sources.read_pairs(spark, path).groupBy("key").agg(F.count("*").alias("n_lines"))
+    copies = linked.groupBy("src", "dst").agg(F.count("*").alias("copies"))
+    joined = copies.join(lines, F.col("src") == F.col("key"))
+    return joined.select("src", "dst", "copies", "n_lines")
+
+
 def _first_ranks(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.lit(1.0).alias("rank"))
 
@@ -270,8 +310,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         doc_relevance,
         topk_documents,
         search_batch,
+        search_batch_shuffled,
+        search_files,
         graph_edges,
         adjacency_roundtrip,
+        adjacency_hub,
         pagerank_contribs,
         pagerank_step,
         pagerank,

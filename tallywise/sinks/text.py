@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.operators.skew import attach_totals
 
-LINE_LINKS = 1000
+COPIES = 1000  # of a repeated link that are made at a time
+MAX_LINE_BYTES = 1 << 30  # half of what one string can hold
+
+
+def _dealt(df: DataFrame, files: int | None, order: Sequence[str]) -> DataFrame:
+    if order and files is None:
+        return df.orderBy(*order)
+    if order:
+        return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    # A shuffle here and not coalesce, which would run the stage before in as few tasks.
+    return df if files is None else df.repartition(files)
 
 
-def _write(lines: DataFrame, path: str, files: int | None) -> None:
-    if files is not None:
-        # A shuffle here and not coalesce, which would run the stage before in as few tasks.
-        lines = lines.repartition(files)
+def _write(lines: DataFrame, path: str) -> None:
     lines.write.mode("errorifexists").text(path)
 
 
-def write_pairs(df: DataFrame, path: str, files: int | None = None) -> None:
-    """One line per row, columns separated by tabs, nothing quoted. ``files`` sets the number of
-    output files; rows then come in no order. Without it the order of ``df`` stays."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
-    _write(df.select(F.concat_ws("\t", *cells).alias("value")), path, files)
+def _unbroken(cell: Column, within: str = r"[\t\r\n]") -> Column:
+    """``cell``, or an error if it holds what ends a field or a line."""
+    bad = F.raise_error(F.concat(F.lit("field with a tab, line break or separator: "), cell))
+    return F.when(cell.rlike(within), bad).otherwise(cell)
+
+
+def write_pairs(
+    df: DataFrame, path: str, files: int | None = None, order: Sequence[str] = ()
+) -> None:
+    """One line per row, columns separated by tabs, nothing quoted. A tab or line break in a value
+    raises, a null is empty. ``files`` sets the number of output files; rows then come in no order,
+    or, by the columns of ``order``, sorted in each file and from file to file. Without ``files``
+    and ``order`` the order of ``df`` stays."""
+    cells = [F.coalesce(_unbroken(F.col(c).cast("string")), F.lit("")) for c in df.columns]
+    lines = _dealt(df, files, order)
+    _write(lines.select(F.concat_ws("\t", *cells).alias("value")), path)
 
 
 def write_adjacency(
@@ -29,36 +49,77 @@ def write_adjacency(
     edges: DataFrame,
     path: str,
     files: int | None = None,
-    line_links: int = LINE_LINKS,
+    line_links: int | None = None,
+    ordered: bool = False,
+    link_sep: str | None = None,
 ) -> None:
     """One line per node, ``id<TAB>link<TAB>link...``. With a ``rank`` column in ``nodes`` lines
-    are ``id<TAB>rank link link...``.
+    are ``id<TAB>rank link link...``; ``link_sep="\t"`` puts tabs there too, for names with spaces.
+    A name that is null, holds a tab or line break, or white space where spaces separate, raises. A node that is listed twice has one line, with the larger rank.
 
-    A node with more than ``line_links`` links gets several lines of about that many, so that no
-    line has to hold an unbounded group; the readers put them together again.
+    A line holds all links of its node, so one task must hold them too. A node whose links take
+    more than MAX_LINE_BYTES raises before anything is written; keep such a graph as an edge table.
+    Only a caller that asks for ``line_links`` gets another format: several lines of about that
+    many links for a node, which the readers of this library put together again.
+
+    ``ordered`` sorts the lines by node, within each of ``files`` and from file to file.
     """
+    ranked = "rank" in nodes.columns
+    if ranked:
+        nodes = nodes.groupBy("id").agg(F.max("rank").alias("rank"))
+    else:
+        nodes = nodes.select("id").distinct()
+    sep = link_sep or (" " if ranked else "\t")
+    if sep not in ("\t", " "):
+        raise ValueError(f"link_sep must be a tab or a space, not {sep!r}")
+    if line_links is None:
+        _check_lines(edges)
+        links = F.sort_array(F.collect_list("dst")).alias("links")
+        numbered = nodes.withColumn("line", F.lit(0))
+        grouped = _named(edges, sep).groupBy(F.col("src").alias("id")).agg(links)
+        grouped = grouped.withColumn("line", F.lit(0))
+    else:
+        numbered, grouped = _cut(nodes, _named(edges, sep), line_links)
+    joined = numbered.join(grouped, ["id", "line"], "full")
+    links = F.coalesce("links", F.array().cast("array<string>"))
+    # A further line that the hash left empty says nothing; the first one names the node.
+    joined = joined.filter((F.col("line") == 0) | (F.size(links) > 0))
+    node = F.coalesce("id", F.raise_error(F.lit("node without a name")))
+    node = _unbroken(node.cast("string"))
+    if ranked:
+        missing = F.raise_error(F.concat(F.lit("node without rank: "), "id"))
+        links = F.concat(F.array(F.coalesce("rank", missing).cast("string")), links)
+    rest = F.array_join(links, sep)
+    value = F.when(F.size(links) > 0, F.concat_ws("\t", node, rest)).otherwise(node)
+    lines = _dealt(joined, files, ["id", "line"] if ordered else ())
+    _write(lines.select(value.alias("value")), path)
+
+
+def _named(edges: DataFrame, sep: str) -> DataFrame:
+    name = F.coalesce("dst", F.raise_error(F.lit("link without a name"))).cast("string")
+    name = _unbroken(name, r"\s" if sep == " " else r"[\t\r\n]")
+    return edges.select("src", name.alias("dst"))
+
+
+def _check_lines(edges: DataFrame) -> None:
+    size = F.sum(F.octet_length(F.col("dst").cast("string")) + 1).alias("size")
+    longest = edges.groupBy("src").agg(size).filter(F.col("size") > MAX_LINE_BYTES).first()
+    if longest is not None:
+        raise ValueError(f"the links of node {longest['src']!r} don't fit one line")
+
+
+def _cut(nodes: DataFrame, edges: DataFrame, line_links: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes with a row for each line, and the links of each line."""
     degrees = edges.groupBy("src").agg(F.count("*").alias("n_links"))
     degrees = degrees.withColumn("n_lines", F.ceil(F.col("n_links") / line_links).cast("int"))
     known = nodes.join(degrees.withColumnRenamed("src", "id"), "id", "full")
-    numbered = known.withColumn(
-        "line", F.explode(F.sequence(F.lit(0), F.coalesce("n_lines", F.lit(1)) - 1))
-    )
+    line = F.explode(F.sequence(F.lit(0), F.coalesce("n_lines", F.lit(1)) - 1))
     grouped = (
         _numbered_links(edges, degrees)
         .groupBy(F.col("src").alias("id"), "line")
         .agg(F.sort_array(F.collect_list("dst")).alias("links"))
     )
-    joined = numbered.join(grouped, ["id", "line"], "left")
-    links = F.coalesce("links", F.array().cast("array<string>"))
-    # A further line that the hash left empty says nothing; the first one names the node.
-    joined = joined.filter((F.col("line") == 0) | (F.size(links) > 0))
-    if "rank" in nodes.columns:
-        rank = F.coalesce("rank", F.raise_error(F.concat(F.lit("node without rank: "), "id")))
-        cells = F.concat(F.array(rank.cast("string")), links)
-        value = F.concat_ws("\t", "id", F.array_join(cells, " "))
-    else:
-        value = F.array_join(F.concat(F.array("id"), links), "\t")
-    _write(joined.select(value.alias("value")), path, files)
+    return known.withColumn("line", line), grouped
 
 
 def _numbered_links(edges: DataFrame, degrees: DataFrame) -> DataFrame:
@@ -69,8 +130,8 @@ def _numbered_links(edges: DataFrame, degrees: DataFrame) -> DataFrame:
     steps to keep the arrays short.
     """
     merged = edges.groupBy("src", "dst").agg(F.count("*").alias("copies"))
-    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / LINE_LINKS)))
-    copies = F.least(F.lit(LINE_LINKS), F.col("copies") - F.col("block") * LINE_LINKS)
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES)))
+    copies = F.least(F.lit(COPIES), F.col("copies") - F.col("block") * COPIES)
     linked = (
         attach_totals(merged, degrees, "src", "n_links")
         .withColumn("block", block)

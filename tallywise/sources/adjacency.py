@@ -31,11 +31,12 @@ def read_adjacency(
 
 
 def read_ranked_adjacency(
-    spark: SparkSession, paths: str | Sequence[str]
+    spark: SparkSession, paths: str | Sequence[str], link_sep: str = " "
 ) -> tuple[DataFrame, DataFrame]:
-    """``ranks (id, rank)`` and ``edges (src, dst)`` of lines ``node<TAB>rank link link...``."""
+    """``ranks (id, rank)`` and ``edges (src, dst)`` of lines ``node<TAB>rank link link...``, with
+    what ``link_sep`` says between the links."""
     pair = F.split("value", "\t", 2)
     lines = spark.read.text(paths).filter(trim_control("value") != "")
-    lines = lines.select(trim_control(pair[0]).alias("id"), F.split(pair[1], " ").alias("parts"))
+    lines = lines.select(trim_control(pair[0]).alias("id"), F.split(pair[1], link_sep).alias("parts"))
     ranks = lines.select("id", F.col("parts")[0].cast("double").alias("rank")).distinct()
     return ranks, _edges(lines, F.slice("parts", F.lit(2), F.size("parts")))

@@ -114,3 +114,18 @@ def test_spread_leaves_wide_scans_alone(spark):
     narrow, wide = spark.range(10).coalesce(1), spark.range(0, 10, 1, 50)
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(wide) is wide
+
+
+def test_order_goes_on_from_file_to_file(spark, folder):
+    files.word_count_files(spark, [str(folder / "docs")], str(folder / "wc"))
+    files.word_count_files(spark, [str(folder / "docs")], str(folder / "wc3"), files=3)
+    parts = sorted((folder / "wc3").glob("part-*.txt"))
+    assert 1 < len(parts) <= 3
+    assert "".join(p.read_text() for p in parts).splitlines() == lines(spark, folder / "wc")
+
+
+@pytest.mark.parametrize("value", ["a\tb", "a\nb"])
+def test_pairs_that_no_line_can_hold(spark, tmp_path, value):
+    df = spark.createDataFrame([(value, 1)], "word string, n int")
+    with pytest.raises(Exception, match="separator"):
+        write_pairs(df, str(tmp_path / "out"))

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import nodes_of, rows
 
 from tallywise import operators as op
 from tallywise.operators import graph
 from tallywise.session import shuffle_partitions
-from tallywise.sinks import write_adjacency
+from tallywise.sinks import text, write_adjacency
 from tallywise.sources import read_adjacency, read_ranked_adjacency
 
 OPEN = ["A\tB\tC", "B\tC", "C\tA", "D\tC", "E\tA\tA\tD", "F"]
@@ -165,3 +167,83 @@ def test_ranked_adjacency(spark, tmp_path):
     node, rest = line.split("\t")
     rank, *links = rest.split(" ")
     assert (node, links) == ("E", ["A", "A", "D"]) and float(rank) == pytest.approx(0.025)
+
+
+def test_hub_has_one_line(spark, tmp_path):
+    edges = spark.range(3000).selectExpr("'H' as src", "concat('n', id % 2900) as dst")
+    nodes = spark.sql("select 'H' as id union all select 'n1' union all select 'n1'")
+    out = str(tmp_path / "out")
+    write_adjacency(nodes, edges, out, files=2, ordered=True)
+    lines = [r.value.split("\t") for r in spark.read.text(out).collect()]
+    assert sorted((line[0], len(line)) for line in lines) == [("H", 3001), ("n1", 1)]
+    assert rows(read_adjacency(spark, out)[1]) == rows(edges)
+
+
+def test_line_too_long_raises(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text, "MAX_LINE_BYTES", 10)
+    nodes, edges = load(spark, tmp_path, ["A\tlonger\tlongest", "B\tA"])
+    with pytest.raises(ValueError, match="'A'"):
+        write_adjacency(nodes, edges, str(tmp_path / "out"))
+
+
+def test_names_with_spaces(spark, tmp_path):
+    edges = spark.createDataFrame([("Old York", "New York"), ("B", "Old York")], "src string, dst string")
+    nodes = spark.createDataFrame([("Old York", 1.5), ("New York", 2.0), ("B", 1.0)], "id string, rank double")
+    write_adjacency(nodes.select("id"), edges, str(tmp_path / "plain"))
+    assert rows(read_adjacency(spark, str(tmp_path / "plain"))[1]) == rows(edges)
+    write_adjacency(nodes, edges, str(tmp_path / "ranked"), link_sep="\t", ordered=True)
+    again, linked = read_ranked_adjacency(spark, str(tmp_path / "ranked"), link_sep="\t")
+    assert rows(again) == rows(nodes) and rows(linked) == rows(edges)
+    first = spark.read.text(str(tmp_path / "ranked")).first().value
+    assert first == "B\t1.0\tOld York"
+    with pytest.raises(Exception, match="separator"):
+        write_adjacency(nodes, edges, str(tmp_path / "spaces"))
+
+
+@pytest.mark.parametrize("name", ["a\tb", "a\nb", "a\rb", None])
+def test_names_that_no_line_can_hold(spark, tmp_path, name):
+    good = spark.createDataFrame([("A", "B")], "src string, dst string")
+    nodes = spark.createDataFrame([("A",), ("B",)], "id string")
+    for i, (n, e) in enumerate([
+        (spark.createDataFrame([(name,)], "id string"), good),
+        (nodes, spark.createDataFrame([("A", name)], "src string, dst string")),
+    ]):
+        with pytest.raises(Exception, match="separator|without a name"):
+            write_adjacency(n, e, str(tmp_path / f"out{i}"))
+
+
+def test_missing_node_in_a_step(spark, tmp_path):
+    nodes, edges = load(spark, tmp_path, ["A\tB", "B\tX"])
+    state = nodes.selectExpr("id", "1D as rank")
+    with pytest.raises(Exception, match="'?X"):
+        op.pagerank_step(nodes, edges, state).collect()
+    got = op.pagerank_step(nodes, edges, state, on_missing="add")
+    assert rows(got) == rows(op.pagerank(nodes, edges, 1, on_missing="add"))
+    with pytest.raises(Exception, match="without a rank: B"):
+        op.contributions(edges, state.filter("id = 'A'")).collect()
+    assert rows(op.contributions(edges, state.limit(0), on_missing="add")) == [("A", "B", 1.0), ("B", "X", 1.0)]
+    with pytest.raises(ValueError, match="on_missing"):
+        op.contributions(edges, state, on_missing="drop")
+    strangers = edges.selectExpr("'Z' as src", "dst").filter("dst = 'B'")
+    with pytest.raises(Exception, match="Z"):
+        op.pagerank_step(nodes, strangers, state.selectExpr("'Z' as id", "rank")).collect()
+
+
+@pytest.mark.parametrize("edge", [("A", None), (None, "A")])
+def test_null_ends(spark, edge):
+    nodes = spark.createDataFrame([("A",), ("B",)], "id string")
+    edges = spark.createDataFrame([edge, ("A", "B")], "src string, dst string")
+    for on_missing in ("error", "add"):
+        with pytest.raises(ValueError, match="null"):
+            op.pagerank(nodes, edges, 1, on_missing=on_missing)
+        with pytest.raises(Exception, match="null|without a name"):
+            op.pagerank_step(nodes, edges, nodes.selectExpr("id", "1D as rank"), on_missing=on_missing).collect()
+
+
+def test_written_tables_go(spark, tmp_path):
+    nodes, edges = load(spark, tmp_path, OPEN)
+    prepared = graph.prepare(nodes, edges)
+    folder = Path(prepared.scratch.folder)
+    assert folder.exists()
+    prepared.release()
+    assert not folder.exists()

@@ -57,3 +57,16 @@ def test_ties_are_not_ranked_in_one_task(spark):
         plan = plan_of(got).split("Initial Plan")[0]
         ranked = [line for line in plan.splitlines() if " Window [" in line or ") Window [" in line]
         assert ranked and all("_bucket" in line or "row_number" in line for line in ranked)
+
+
+def test_nulls(spark):
+    data = [("x", "a", 3), ("x", "b", None), ("x", "c", None), (None, "d", 1), (None, "e", None), (None, "f", 2), (None, "g", 2)]
+    df = spark.createDataFrame(data, "g string, item string, n int")
+    for buckets in (1, 5):
+        items = lambda *args: "".join(sorted(r.item for r in top_k(df, *args, buckets=buckets).collect()))  # noqa: E731, B023
+        assert items(1, "n", "item") == "a"
+        assert items(4, "n", "item") == "adfg"
+        assert items(5, "n", "item") == "abcdefg"
+        assert items(1, "n", "item", ["g"]) == "afg"
+        assert items(2, "n", "item", ["g"]) == "abcfg"
+        assert items(4, "n", "item", ["g"]) == "abcdefg"
