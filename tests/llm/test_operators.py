@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import duckdb
@@ -116,6 +117,22 @@ def test_bpe_equals_tiktoken(text):
     assert ours == theirs.encode_ordinary(text)
 
 
+def test_bpe_of_many_texts_at_once(monkeypatch):
+    """All pre-tokens go through the queue together, in more than one group."""
+    monkeypatch.setattr(bpe, "GROUP_BYTES", 50_000)
+    ranks = bpe.read_ranks(public_tokenizers.path(registered.VOCABULARY))
+    exact = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    chance = random.Random(3)
+    texts = ["".join(chance.choices("aAbtehin \n\u00e9\u6f22", k=chance.randint(0, 300))) for _ in range(1500)]
+    texts += ["a" * 5000, "ab" * 3000, "", "  x", "".join(chance.choices("etaoinshr", k=30_000))]
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    for _ in range(2):  # the second time all are known
+        got = encoder.encode_all(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [exact.encode_ordinary(x) for x in texts]
+    with pytest.raises(ValueError, match="lacks"):
+        bpe.RankQueue({b"a": 0}).encode([b"ab"])
+
+
 def test_bpe_round_trip(spark, odd):
     got = registered.bpe_digests(odd.select("doc_id", "text"))
     want = odd.select(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("d"))
