@@ -16,37 +16,55 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SHARE = 0.5  # of a document's letters in its main language
 
 
+def _rows(docs: DataFrame, null_last: bool = False) -> DataFrame:
+    """The documents, each with a key ``row`` of its own: doc_id and the text's hash, in this order, a
+    null doc_id first or last. Rows that repeat doc_id and text have the same key and are one document. The
+    key is never null and its parts compare null-safe, so that it can be joined and grouped as it is."""
+    kind = f"struct<last:boolean,doc_id:{docs.schema['doc_id'].dataType.simpleString()},key:bigint>"
+    last = F.col("doc_id").isNull() if null_last else F.lit(False)
+    return docs.select(F.struct(last, F.col("doc_id"), F.xxhash64("text")).cast(kind).alias("row"), *COLUMNS)
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row of each key, the first by its other columns."""
+    first = rows.groupBy("row").agg(F.min(F.struct("lang", "source", "n_chars", "doc_id", "text")).alias("first"))
+    return first.select("row", *(F.col(f"first.{c}").alias(c) for c in COLUMNS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those of which no language has LEAST_SHARE, go. ``lang`` is
-    the language found."""
-    found = identify(docs, train(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
-    found = found.select("doc_id", "lang_pred").groupBy("doc_id").agg(F.min("lang_pred").alias("found"))
-    joined = docs.select(*COLUMNS).join(found, "doc_id")
+    the language found. Of rows that repeat doc_id and text one stays, here and in the next stages."""
+    rows = _rows(docs)
+    found = identify(rows, train(docs), id_col="row").filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    found = found.groupBy("row").agg(F.min("lang_pred").alias("found"))
+    joined = _once(rows).join(found, "row")
     return joined.withColumn("lang", F.col("found")).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of lines go. A document of which nothing is left goes too."""
-    deduped = dedup_lines(docs, Scratch(spark)).filter("text <> '' or n_removed = 0")
-    deduped = deduped.groupBy("doc_id").agg(F.min("text").alias("left"))
-    joined = docs.select(*COLUMNS).join(deduped, "doc_id")
+    rows = _rows(docs)
+    deduped = dedup_lines(rows, Scratch(spark), id_col="row").filter("text is null or text <> '' or n_removed = 0")
+    deduped = deduped.groupBy("row").agg(F.min("text").alias("left"))
+    joined = _once(rows).join(deduped, "row")
     joined = joined.withColumn("text", F.col("left")).withColumn("n_chars", F.length("left").cast("long"))
     return joined.select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id. Documents
-    without words stay."""
-    docs = docs.select(*COLUMNS)
-    first = jaccard_components(docs, Scratch(spark)).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near copies stays, the one with the smallest doc_id, then hash of
+    the text; one without doc_id only if all are. Documents without words stay."""
+    rows = _rows(docs, null_last=True)
+    first = jaccard_components(rows, Scratch(spark), id_col="row").filter("row = component_id").select("row").distinct()
+    return _once(rows).join(first, "row", "left_semi").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, edited or not, go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = find_leaks(docs, items, Scratch(spark)).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    rows = _rows(docs)
+    leaks = find_leaks(rows, items, Scratch(spark), id_col="row").select("row").distinct()
+    return _once(rows).join(leaks, "row", "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -238,3 +238,41 @@ def test_query_equals_oracle(spark, key):
 def test_pipeline(spark, docs):
     out = corpus_pipeline.run(spark, FOLDER)
     assert 0 < out.count() <= docs.count()
+
+
+def _stage(spark, name, rows, folder=FOLDER):
+    """What a stage leaves of rows (doc_id, text, lang, source), sorted."""
+    frame = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = dict(corpus_pipeline.STAGES)[name](spark, frame, folder)
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+
+def test_pipeline_stages_keep_rows_of_null_and_repeated_ids(spark, docs, tmp_path):
+    """Against brute force: a row is told from others by doc_id and text, and stays once."""
+    few = docs.orderBy("doc_id").filter("lang = 'en'").limit(6).collect()
+    a, b, c, d, e, f = ("\n".join(r.text.split("\n")[:1]) + f" own{i}" for i, r in enumerate(few))
+    base = [(None, a), (None, b), (None, a), (7, c), (7, d), (7, c), (8, e), (8, "12 34"), (None, "12 34"), (9, None), (None, None)]
+    rows = [(*r, "en", "s") for r in base]
+
+    def want(keep):
+        return sorted({r for r in base if keep(r[1])}, key=repr)
+
+    assert _stage(spark, "language", rows) == want(lambda t: t is not None and t != "12 34")
+    # One line each: nothing is a run.
+    assert _stage(spark, "lines", rows) == want(lambda t: True)
+    run = [(None, "x\ny\nz"), (3, "p\nx\ny"), (3, "q\nx\ny"), (None, "x\ny"), (3, "p\nx\ny")]
+    frame = spark.createDataFrame([(t,) for _, t in run], "text string")
+    hashes = {r.text: r.h for r in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, left = set(), []
+    for i, t in sorted(set(run), key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]])):
+        cut = t.split("\n")
+        gone = {k for j in range(len(cut) - 1) if (cut[j], cut[j + 1]) in seen for k in (j, j + 1)}
+        seen |= set(zip(cut[:-1], cut[1:], strict=True))
+        left.append((i, "\n".join(x for j, x in enumerate(cut) if j not in gone)))
+    assert _stage(spark, "lines", [(*r, "en", f"s{k}") for k, r in enumerate(run)]) == sorted((r for r in left if r[1]), key=repr)
+    # Near copies: a stands without and with ids; c and d share theirs.
+    near = [*rows, (5, a, "en", "s"), (6, a, "en", "s"), (7, f, "en", "s"), (9, f, "en", "s")]
+    got = _stage(spark, "near_duplicates", near)
+    assert got == sorted({(5, a), (None, b), (7, c), (7, d), (8, e), (7, f), (8, "12 34"), (9, None), (None, None)}, key=repr)
+    spark.createDataFrame([(1, c), (2, b)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert _stage(spark, "decontaminate", rows, str(tmp_path)) == want(lambda t: t not in (c, b))
