@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.llm import tables, words
 from tallywise.llm.components import components
+from tallywise.operators.skew import attach_totals
 from tallywise.session import Scratch
 
 BITS = 56  # of a shingle's hash; the upper byte of a key holds its rarity class
@@ -19,6 +20,8 @@ FLAGS = 1 << 21
 HOT = 2000  # a shingle is hot if its sketch cell holds more than 1 / HOT of all shingles
 SALTS = 64
 CELLS = 64  # of the suffix filter
+BLOCK = 64  # classes of a component whose pairs a task verifies together, with those of another block
+WIDE = 1 << 16  # shingles of two blocks that are counted at once
 TOP = np.uint64(BITS - 6)
 
 
@@ -190,14 +193,102 @@ def _possible(size: str, pos: str, size2: str, pos2: str, percent: int):
     return length & (rest * (100 + percent) >= (x + y) * percent)
 
 
+def _alike(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets link with which."""
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    column = np.cumsum(fresh) - 1
+    several = np.bincount(column)[column] > 1
+    column, owner = (np.cumsum(fresh & several) - 1)[several], owner[several]
+    same = np.zeros((len(sets), len(sets)), np.int64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, WIDE):
+        a, b = np.searchsorted(column, [first, first + WIDE])
+        holds = np.zeros((len(sets), int(column[b - 1]) - first + 1), np.float32)
+        holds[owner[a:b], column[a:b] - first] = 1
+        same += (holds @ holds.T).astype(np.int64)
+    sizes = np.array([len(x) for x in sets])
+    return 100 * same >= percent * (sizes[:, None] + sizes - same)
+
+
+def _block_links(percent: int, pairs: bool):
+    """Rows sorted by block pair → its links: the pairs of classes, or for each class the number of
+    documents that it links to. Only the rows of one block pair are held."""
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        cls, weight, side, block = (np.array(x) for x in list(zip(*rows, strict=True))[1:5])
+        linked = _alike([np.frombuffer(r[5], np.uint64) for r in rows], percent)
+        # Pairs within a block belong to the block's pair with itself.
+        linked &= (side[:, None] != side) if (side != side[0]).any() else ~np.eye(len(cls), dtype=bool)
+        if not pairs:
+            return pa.record_batch([pa.array(cls, pa.int64()), pa.array((linked * weight).sum(1), pa.int64())], ["cls", "n"])
+        a, b = np.nonzero(linked & (cls[:, None] < cls))
+        return pa.record_batch([pa.array(cls[a], pa.int64()), pa.array(cls[b], pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            keys = zip(*(batch[k].to_pylist() for k in ("label", "band", "low", "band2", "high")), strict=True)
+            for row in zip(keys, *(batch[k].to_pylist() for k in ("cls", "weight", "side", "block", "s")), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield links(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield links(held)
+
+    return run
+
+
+def _all_links(members: DataFrame, percent: int, pairs: bool) -> DataFrame:
+    """Of ``members`` (label, cls, weight, size, s), the classes of components, all links, each verified
+    once: (a, b), or (cls, n) with the number of documents that a class links to by each block pair.
+
+    Linked sizes differ by the factor 100 / ``percent`` at most, so links lie in one band of sizes or
+    in two neighbouring ones. The classes of a component and band are dealt by hash into blocks of about
+    BLOCK, and each two blocks meet in one task, so that a component in any size is spread."""
+    step = F.log(F.lit(100 / percent))
+    band = F.col("size").cast("long") if percent == 100 else F.floor(F.log("size") / step + 1e-9)
+    members = members.withColumn("band", band).withColumn("group", F.xxhash64("label", "band"))
+    counts = members.groupBy("label", "band", "group").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    above = counts.select("label", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    below = counts.select("label", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    counts = counts.join(above, ["label", "band"], "left").join(below, ["label", "band"], "left")
+    rows = attach_totals(members, counts.select("group", "n", "blocks", "above", "below").fillna(0), "group", "n")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")))
+
+    def meets(count: str, key: Callable[[Column], tuple]) -> Column:
+        names = ("band", "low", "band2", "high", "side")
+        each = F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+        made = F.transform(each, lambda j: F.struct(*(x.cast("long").alias(k) for k, x in zip(names, key(j), strict=True))))
+        return F.when(F.col(count) > 0, made).otherwise(F.array().cast(f"array<struct<{','.join(f'{k}:bigint' for k in names)}>>"))
+
+    at, block = F.col("band"), F.col("block")
+    own = meets("blocks", lambda j: (at, F.least(block, j), at, F.greatest(block, j), (block > j).cast("int")))
+    up = meets("above", lambda j: (at, block, at + 1, j, F.lit(0)))
+    down = meets("below", lambda j: (at - 1, j, at, block, F.lit(1)))
+    met = rows.select("label", "cls", "weight", "block", "s", F.explode(F.concat(own, up, down)).alias("m"))
+    met = met.select("label", "cls", "weight", "block", "s", "m.*")
+    key = ["label", "band", "low", "band2", "high"]
+    dealt = met.repartition(*key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(_block_links(percent, pairs), "a long, b long" if pairs else "cls long, n long")
+
+
+def _sets_of(classes: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Scratch, n: int) -> DataFrame:
+    """The sets (cls, s) of the classes, and some others, as a table."""
+    ends = classes.join(copies, "cls").select("copy")
+    flags = tables.total(ends.mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8")
+    sets = texts.mapInArrow(_wanted(n, flags), "cls long, shingles binary")
+    return scratch.write(sets.groupBy("cls").agg(F.first("shingles").alias("s")), "sets")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link, as a table. The sets of the classes in question are made
     anew, each from one text of the class (``copies``): a bit table of fixed size lets a task pass
     over nearly all other texts before it cuts them into words, and the join leaves the rest."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(copies, "cls").select("copy")
-    flags = tables.total(ends.mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8")
-    sets = texts.mapInArrow(_wanted(n, flags), "cls long, shingles binary")
-    sets = scratch.write(sets.groupBy("cls").agg(F.first("shingles").alias("s")), "sets")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), texts, copies, scratch, n)
     joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     return scratch.write(joined.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long"), "links")
 
@@ -240,6 +331,35 @@ def jaccard_components(
     count as documents of their own. Other columns are ignored. Hashes have 56 bits, digests of
     sets and texts 64.
     """
+    digests, labels, _, _ = _labelled(docs, scratch, n, percent, id_col, text_col)
+    return _named(digests, labels, id_col)
+
+
+def jaccard_join(
+    docs: DataFrame, scratch: Scratch, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`jaccard_components` with ``n_links``, the number of other documents that each
+    links to, and all links between classes: (a, b), a below b, each pair once. Documents of one
+    class link too and are not listed; the first frame's ``cls`` tells the members.
+
+    All links lie within components, so all pairs of a component's classes whose sizes allow it are
+    verified. The second frame is as long as there are links, in the square of a group of near copies; the
+    first frame needs only sums, which the tasks make before a link leaves them. The same rules as there
+    hold for nulls, empty texts and repeats; a document without a set has no links.
+    """
+    digests, labels, texts, copies = _labelled(docs, scratch, n, percent, id_col, text_col)
+    known = digests.filter("cls is not null").groupBy("cls").agg(F.count("*").alias("weight"), F.first("size").alias("size"))
+    sets = _sets_of(labels.select(F.col("node").alias("cls")), texts, copies, scratch, n)
+    members = labels.withColumnRenamed("node", "cls").join(known, "cls").join(sets, "cls")
+    members = scratch.write(members, "members")
+    counts = _all_links(members, percent, False).groupBy("cls").agg(F.sum("n").alias("n"))
+    counts = scratch.write(counts, "counts")
+    return _named(digests, labels, id_col, counts), _all_links(members, percent, True)
+
+
+def _labelled(docs: DataFrame, scratch: Scratch, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, ...]:
+    """The documents (id, size, cls), the classes of components (node, label), the texts, and one copy
+    of a text for each class."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("copy"))
     id_type = rows.schema["id"].dataType.simpleString()
     described = scratch.write(
@@ -272,17 +392,22 @@ def jaccard_components(
     more = scratch.write(_across(postings, labels, percent).join(star, ["a", "b"], "left_anti"), "across")
     links = _verified(more, texts, copies, scratch, n, percent).union(links)
     labels = components(links, scratch)
-    return _named(digests, labels, id_col)
+    return digests, labels, texts, copies
 
 
-def _named(digests: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
-    """Each document with the smallest id of its component. The smallest id of a class is found
-    before the shuffle to its rows, so that copies in any number meet no single task as documents."""
-    firsts = digests.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
+def _named(digests: DataFrame, labels: DataFrame, id_col: str, counts: DataFrame | None = None) -> DataFrame:
+    """Each document with the smallest id of its component, and with ``counts`` the number of others it
+    links to. The smallest id of a class is found before the shuffle to its rows, so that copies in any
+    number meet no single task as documents."""
+    firsts = digests.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first"), F.count("*").alias("weight"))
     firsts = firsts.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     firsts = firsts.withColumn("label", F.coalesce("label", "cls"))
     smallest = firsts.groupBy("label").agg(F.min("first").alias("component"))
-    named = firsts.join(smallest, "label").select("cls", "component")
+    if counts is not None:
+        firsts = firsts.join(counts, "cls", "left")
+        firsts = firsts.withColumn("links", F.col("weight") - 1 + F.coalesce("n", F.lit(0)))
+    named = firsts.join(smallest, "label").select("cls", "component", *([] if counts is None else ["links"]))
     out = digests.join(named, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"), "cls")
+    links = [] if counts is None else [F.coalesce("links", F.lit(0)).alias("n_links")]
+    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"), "cls", *links)

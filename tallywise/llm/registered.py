@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywise.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from tallywise.llm.decontaminate import find_leaks
-from tallywise.llm.jaccard_join import jaccard_components
+from tallywise.llm.jaccard_join import jaccard_join
 from tallywise.llm.langid import held_out, identify, train
 from tallywise.llm.line_dedup import dedup_lines
 from tallywise.llm.pii import pseudonymize_documents
@@ -62,7 +62,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return jaccard_components(docs, Scratch(spark)).select("doc_id", "n_shingles", "component_id")
+    return jaccard_join(docs, Scratch(spark))[0].select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @_query

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallywise.llm import bpe, pii, registered, winnow
 from tallywise.llm.decontaminate import find_leaks, smith_waterman
-from tallywise.llm.jaccard_join import jaccard_components
+from tallywise.llm.jaccard_join import jaccard_components, jaccard_join
 from tallywise.llm.langid import identify, train
 from tallywise.llm.line_dedup import dedup_lines
 from tallywise.llm.quality import assess
@@ -74,6 +74,28 @@ def test_jaccard_odd(spark, odd):
     assert jaccard_components(odd.limit(0), Scratch(spark)).count() == 0
 
 
+def test_jaccard_links_brute_force(spark, monkeypatch):
+    """Every link comes out, also between two texts that others have already connected, over several blocks."""
+    monkeypatch.setattr("tallywise.llm.jaccard_join.BLOCK", 4)
+    chance, rows = random.Random(5), []
+    for group in range(3):
+        base = [f"g{group}w{i}" for i in range(60 + 15 * group)]
+        for _ in range(14):
+            text, cut = list(base), chance.randint(0, 20)
+            text[chance.randrange(len(text))] = f"x{chance.randint(0, 3)}"
+            rows.append((len(rows), " ".join(text[cut:])))
+    rows += [(100, rows[0][1]), (100, rows[0][1]), (None, rows[1][1]), (101, ""), (102, None), (103, "alone in the whole wide world")]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for _, t in rows)]
+    linked = [[k != j and bool(x) and 100 * len(x & y) >= 75 * len(x | y) for k, y in enumerate(sets)] for j, x in enumerate(sets)]
+    documents, links = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark))
+    got = documents.collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=repr) == sorted(((i, sum(x)) for (i, _), x in zip(rows, linked, strict=True)), key=repr)
+    cls = {r.doc_id: r.cls for r in got}
+    want = {tuple(sorted((cls[a[0]], cls[b[0]]))) for a, x in zip(rows, linked, strict=True) for b, y in zip(rows, x, strict=True) if y and cls[a[0]] != cls[b[0]]}
+    pairs = [(r.a, r.b) for r in links.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want and len(want) > 50
+
+
 def fingerprint(text, hashes, k=winnow.K, window=winnow.WINDOW):
     single = [hashes[w] for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     grams = []
