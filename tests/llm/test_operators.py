@@ -179,6 +179,33 @@ def test_spans(spark, odd):
     assert dedup_spans(odd.limit(0), Scratch(spark)).count() == 0
 
 
+def test_spans_brute_force(spark):
+    """All runs of 2 sentences and 10 words or more, of any length, against the operator; their ends
+    are often short sentences."""
+    chance, texts = random.Random(2), []
+    passages = [" ".join(" ".join(f"p{k}s{j}w{i}" for i in range(chance.choice((1, 1, 2, 4, 7)))) + "." for j in range(8)) for k in range(4)]
+    for i in range(30):
+        cut = chance.choice(passages).split(". ")
+        a = chance.randint(0, 3)
+        texts.append(f"Only{i} here{i}. " + ". ".join(cut[a : a + chance.randint(2, 8)]).rstrip(".") + f". Own{i} end{i}.")
+    seen, want = {}, {}
+    for i, text in enumerate(texts):
+        sentences = [x.rstrip(".").split() for x in text.split(". ")]
+        for a in range(len(sentences)):
+            for b in range(a + 2, len(sentences) + 1):
+                if sum(map(len, sentences[a:b])) >= 10:
+                    seen.setdefault(tuple(map(tuple, sentences[a:b])), []).append((i, a, b))
+        want[i] = set()
+    for places in seen.values():
+        for i, a, b in sorted(places)[1:]:
+            want[i] |= set(range(a, b))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text.split(), r.n_removed) for r in dedup_spans(rows, Scratch(spark)).collect()}
+    for i, text in enumerate(texts):
+        left = [x for j, x in enumerate(re.findall(r"[^.]+\.", text)) if j not in want[i]]
+        assert got[i] == (" ".join(left).split(), len(want[i]))
+
+
 def test_leaks(spark, odd):
     item = [f"term{i}" for i in range(20)]
     edited = [w if i % 5 else f"new{i}" for i, w in enumerate(item)]
