@@ -115,6 +115,12 @@ def _email(text: str, key: bytes) -> str | None:
     return f"{_characters(local, key, 'mail' + domain.lower())}@{domain}"
 
 
+def _hex(text: str, key: bytes) -> str | None:
+    if text.isupper():  # the same value in capitals
+        return _hex(text.lower(), key).upper()
+    return _characters(text, key, "hex", (HEX,) if text.lower() == text else (DIGITS, "abcdef", "ABCDEF"))
+
+
 def _secret(prefix: str) -> Callable[[str, bytes], str | None]:
     def change(text: str, key: bytes) -> str | None:
         head = re.match(prefix, text)[0]
@@ -127,8 +133,8 @@ def _secret(prefix: str) -> Callable[[str, bytes], str | None]:
 KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9.\-]{1,253}\.[A-Za-z]{2,24}", _email),
     ("access_key", r"AKIA[A-Z0-9]{16}\b", _secret("AKIA")),
-    ("password", r"(?:password|passwd|secret|api_?key|token)\s?[=:]\s?[^\s\"',;]{4,128}", _secret(r"\w+\s?[=:]\s?")),
-    ("hex_key", r"(?=[a-f]{0,31}\d)[0-9a-f]{32,64}\b", lambda text, key: _characters(text, key, "hex", (HEX,))),
+    ("password", r"(?i:password|passwd|secret|api_?key|token)[\"']?\s?[=:]\s?[\"']?[^\s\"',;]{4,128}", _secret(r"\w+[\"']?\s?[=:]\s?[\"']?")),
+    ("hex_key", r"(?=[a-fA-F]{0,63}\d)[0-9a-fA-F]{32,64}\b", _hex),
     ("iban", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     ("date", r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})(?!\d)", _date),
     ("ip", r"\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", _address),
@@ -137,10 +143,31 @@ KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("phone", r"(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[ .\-]\d{4}(?!\d)|\+\d{1,3}(?:[ .\-]?\d{2,4}){2,4}(?!\d)", _phone),
 ]
 #: Any text with one of these is looked at; no kind can do without.
-TRIGGER = re.compile(r"[0-9@]|password|passwd|secret|api_?key|token")
-ANY = re.compile(r"(?<![\w@+.])(?=[\w+(])(?:" + "|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS) + ")", re.ASCII)
+TRIGGER = re.compile(r"[0-9@]|(?i:password|passwd|secret|api_?key|token)")
+ANY = re.compile(r"(?<![\w@+])(?<!\d\.)(?=[\w+(])(?:" + "|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS) + ")", re.ASCII)
 PATTERNS = {name: (re.compile(pattern, re.ASCII), change) for name, pattern, change in KINDS}
-def pseudonymize(text: str, key: bytes, known: dict[str, str]) -> tuple[str, list[tuple[int, int, str]]]:
+#: Characters of an IBAN by country.
+IBAN_SIZES = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18,
+    "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21,
+    "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28,
+    "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "XK": 20,
+}
+
+
+def _lengths(name: str, text: str) -> list[str]:
+    """What a check is tried on: the match, then what is left without its last groups, longest first.
+    An IBAN's length in its country comes before all others."""
+    if name not in ("card", "iban"):
+        return [text]
+    tries = [text, *(text[: m.start()] for m in reversed(list(re.finditer(r"[ \-]", text))))]
+    if name == "iban":
+        tries.sort(key=lambda x: len(x.replace(" ", "")) != IBAN_SIZES.get(x[:2]))
+    return tries
+
+
+def pseudonymize(text: str, key: bytes, known: dict[tuple[str, str], str]) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and where they stand in it (first and last character, kind)."""
     out, found, end, size, at = [], [], 0, 0, 0
     while (m := ANY.search(text, at)) is not None:
@@ -149,15 +176,18 @@ def pseudonymize(text: str, key: bytes, known: dict[str, str]) -> tuple[str, lis
             pattern, change = PATTERNS[name]
             if (hit := pattern.match(text, m.start())) is None:
                 continue
-            if (new := known.get(hit[0])) is None and (new := change(hit[0], key)) is not None:
-                if len(known) >= 100_000:
-                    known.clear()
-                known[hit[0]] = new
+            for value in _lengths(name, hit[0]):
+                if (new := known.get((name, value))) is None and (new := change(value, key)) is not None:
+                    if len(known) >= 100_000:
+                        known.clear()
+                    known[name, value] = new
+                if new is not None:
+                    break
             if new is not None:
                 out += [text[end : hit.start()], new]
                 size += hit.start() - end + len(new)
                 found.append((size - len(new), size, name))
-                end = at = hit.end()
+                end = at = hit.start() + len(value)
                 break
         else:
             at = m.start() + 1
@@ -170,7 +200,8 @@ def pseudonymize_documents(docs: DataFrame, key: bytes, id_col: str = "doc_id",
     Cards (Luhn), IBANs (modulo 97), IP addresses, dates, telephone and social security numbers,
     e-mail addresses and secrets are found by pattern and check, and permuted within their format by
     a keyed Feistel network: a card stays a valid card, a date a date. So equal values have equal
-    pseudonyms in all documents, and different values of a format different ones. What fails its check stays.
+    pseudonyms in all documents, and different values of a format different ones. What fails its check
+    stays; cards and IBANs are checked at shorter lengths too, up to where a group of them ends.
 
     A null text stays null with nothing found, an empty one empty. A row comes out for each row,
     whatever its id; other columns are ignored.
@@ -178,7 +209,7 @@ def pseudonymize_documents(docs: DataFrame, key: bytes, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str] = {}
+        known: dict[tuple[str, str], str] = {}
         kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("kind", pa.string())]))
         for batch in batches:
             for part, _, _ in words.slices(batch, "text"):

@@ -258,6 +258,35 @@ def test_pseudonyms(spark, odd):
     assert pii.pseudonymize_documents(odd.limit(0), key).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "value", "kind"),
+    [
+        ("4111 1111 1111 1111 123", "4111 1111 1111 1111", "card"),
+        ("4111 1111 1111 1111 12/25", "4111 1111 1111 1111", "card"),
+        ("4111111111111111 5 items", "4111111111111111", "card"),
+        ("Paid.4111-1111-1111-1111.", "4111-1111-1111-1111", "card"),
+        ("ES9121000418450200051332 2024", "ES9121000418450200051332", "iban"),
+        ("ES91 2100 0418 4502 0005 1332 EUR", "ES91 2100 0418 4502 0005 1332", "iban"),
+        ("to DE89370400440532013000 INVOICE", "DE89370400440532013000", "iban"),
+        ('TOKEN = "Ab3xY9zQ"', "Ab3xY9zQ", "password"),
+        ('{"password": "hunter2x"}', "hunter2x", "password"),
+        ("KEY 9233A8EC01B7D5F49233A8EC01B7D5F4", "9233A8EC01B7D5F49233A8EC01B7D5F4", "hex_key"),
+        ("key 9233a8EC01b7d5f49233A8ec01B7D5F4", "9233a8EC01b7d5f49233A8ec01B7D5F4", "hex_key"),
+    ],
+)
+def test_pseudonyms_beside_other_text(text, value, kind):
+    new, found = pii.pseudonymize(text, b"k", {})
+    assert [k for *_, k in found] == [kind] and value not in new
+    before, after = text.split(value)
+    assert new.startswith(before) and new.endswith(after) and len(new) == len(text)
+    left = new[len(before) : len(new) - len(after)]
+    assert re.sub(r"[A-Z]", "A", re.sub(r"\d", "A", left)).isupper() == value.isupper() or kind in ("card", "password")
+    if kind == "card":
+        assert pii.luhn(re.sub(r"\D", "", left)) == 0
+    if kind == "iban":
+        assert left[:2] == value[:2] and pii._iban(left, b"k") is not None
+
+
 def test_warc(spark):
     body = "é" * 60
     rows = [(1, "u", body), (2, "v", body), (3, None, None), (4, "w", "x"), (5, "y", "x"), (None, "z", body), (6, "a\nb", "b" * 300_000)]
