@@ -66,24 +66,39 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     records.write.option("lineSep", EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1").option("compression", "none").text(path)
 
 
-def _decode(file, at: int) -> tuple[bytes, int] | None:
-    """The gzip member at a place and where it ends, or None if there is no WARC record."""
+START = b"WARC/1."
+
+
+def _decode(file, at: int, path: str) -> tuple[bytes, int] | None:
+    """The gzip member at a place and where it ends, or None if there is no WARC record. A member that
+    begins as a WARC record and can't be read to its end raises."""
     unpack, out, pos = zlib.decompressobj(31), [], at
     try:
         while not unpack.eof:
             file.seek(pos)
             data = file.read(READ if out else 4096)
-            if not data:
+            if not out and zlib.decompressobj(31).decompress(data, len(START)) != START:
                 return None
+            if not data:
+                raise ValueError(f"the record at byte {at} of {path} is cut off")
             pos += len(data)
             out.append(unpack.decompress(data))
-            if len(out) == 1 and not out[0].startswith(b"WARC/1."):
-                return None
-    except zlib.error:
-        return None
+    except zlib.error as error:
+        if not out and not _starts(file, at):
+            return None
+        raise ValueError(f"the record at byte {at} of {path} does not decode: {error}") from error
     return b"".join(out), pos - len(unpack.unused_data)
 
 
+def _starts(file, at: int) -> bool:
+    """Whether the gzip member at a place begins as a WARC record does, as far as it decodes."""
+    file.seek(at)
+    try:
+        return zlib.decompressobj(31).decompress(file.read(4096), len(START)) == START
+    except zlib.error:
+        return False
+
+
 def _parse(record: bytes) -> tuple:
     head, _, rest = record.partition(b"\r\n\r\n")
     fields = {}
@@ -91,13 +106,20 @@ def _parse(record: bytes) -> tuple:
         name, _, value = line.partition(":")
         fields[name.lower()] = value.strip()
     block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+    # Only these have an HTTP header; of all others the whole block is the payload.
+    is_http = fields.get("content-type", "").lower().startswith("application/http")
+    http, _, payload = block.partition(b"\r\n\r\n") if is_http else (b"", b"", block)
+    kind = fields["warc-type"]
+    sizes = [int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+    size = sizes[0] if sizes else None if kind == "revisit" else len(payload)
     urn = lambda name: fields[name][len("<urn:page:") : -1] or None if name in fields else None
-    kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha256:")
-    if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
+    stated = fields.get("warc-payload-digest")
+    digest = stated and stated.removeprefix("sha256:")
+    # Only SHA-256 can be compared: other archives state other digests, or none.
+    wrong = stated is not None and stated.startswith("sha256:") and hashlib.sha256(payload).hexdigest() != digest
+    if kind == "response" and (len(payload) != size or wrong):
         raise ValueError(f"the payload of record {fields['warc-record-id']} does not fit its digest")
-    return urn("warc-record-id"), fields.get("warc-target-uri"), kind, urn("warc-refers-to"), size, digest, payload if kind == "response" else None
+    return urn("warc-record-id"), fields.get("warc-target-uri"), kind, urn("warc-refers-to"), size, digest, payload if kind != "revisit" else None
 
 
 COLUMNS = ["page", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
@@ -118,7 +140,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         pos += READ
                         continue
                     pos += found
-                    record = _decode(file, pos) if pos < end else None
+                    record = _decode(file, pos, path) if pos < end else None
                     if record is None:
                         pos += 1
                         continue
@@ -133,7 +155,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_warc(spark: SparkSession, path: str, columns: tuple[str, ...] = ()) -> DataFrame:
     """(page, url, record_type, refers_to, payload_bytes, payload_digest, payload) of the records in
-    the files of ``path``; revisits have no payload. A response whose payload does not fit its digest raises.
+    the files of ``path``; revisits have no payload. A response whose payload does not fit its digest raises, and
+    so does a record that is cut off or does not decode, with its file and place. Records of types without
+    an HTTP header have their whole block as payload.
 
     Files are cut into ranges of RANGE bytes. A task looks for gzip's magic in its range, decodes the
     start of each candidate, takes those that begin as a WARC record does, and reads them to their

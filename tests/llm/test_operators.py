@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import random
 import re
 
@@ -303,6 +304,27 @@ def test_warc(spark):
     assert read_warc(spark, empty).count() == 0
 
 
+def test_warc_of_other_archives(spark, tmp_path):
+    """A record that is cut off or corrupt raises with its place; records without an HTTP header come out."""
+
+    def record(kind, content, block):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{kind}>\r\nContent-Type: {content}\r\nContent-Length: {len(block)}\r\n\r\n"
+        return gzip.compress(head.encode() + block + b"\r\n\r\n", mtime=0)
+
+    noise = random.Random(1).randbytes(20_000)
+    info, request = record("warcinfo", "application/warc-fields", b"software: x\r\n"), record("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n")
+    page = record("response", "application/http; msgtype=response", b"HTTP/1.1 200 OK\r\n\r\n" + noise)
+    cases = {"whole": info + request + page, "cut": info + page[:9000], "early": info + page[:300], "bad": info + page[:10_000] + bytes(500) + page[10_500:] + info}
+    for name, data in cases.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc.gz").write_bytes(data)
+    got = {r.record_type: (r.page, r.payload_bytes, len(r.payload)) for r in read_warc(spark, str(tmp_path / "whole")).collect()}
+    assert got == {"warcinfo": ("warcinfo", 13, 13), "request": ("request", 0, 0), "response": ("response", 20_000, 20_000)}
+    for name in ("cut", "early", "bad"):
+        with pytest.raises(Exception, match=f"the record at byte {len(info)} of .*a.warc.gz"):
+            read_warc(spark, str(tmp_path / name)).collect()
+
+
 @pytest.mark.parametrize("key", sorted(registered.oracle_sql()))
 def test_query_equals_oracle(spark, key):
     db = duckdb.connect()
