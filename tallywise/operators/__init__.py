@@ -12,6 +12,7 @@ from tallywise.operators.graph import (
     pagerank_step,
     with_out_degree,
 )
+from tallywise.operators.numbering import number_rows
 from tallywise.operators.tfidf import (
     count_documents,
     document_frequency,
@@ -36,6 +37,7 @@ __all__ = [
     "gather",
     "mark_asked",
     "normalize",
+    "number_rows",
     "out_degrees",
     "pagerank",
     "pagerank_step",
