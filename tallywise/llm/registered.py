@@ -13,6 +13,7 @@ from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_join
 from tallywise.llm.langid import held_out, identify, train
 from tallywise.llm.line_dedup import dedup_lines
+from tallywise.llm.merkle import verify_documents
 from tallywise.llm.pii import pseudonymize_documents
 from tallywise.llm.quality import assess
 from tallywise.llm.span_dedup import dedup_spans
@@ -100,6 +101,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@_query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_documents(read_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 WARC = """
 with p as (select page_id, coalesce(html, '') as html from pages),
 f as (select html, min(page_id) as first from p where strlen(html) >= 100 group by html)
@@ -129,9 +135,58 @@ from docs d left join kept k using (doc_id) left join counts c using (doc_id)
 """
 
 
+# CRC-32 of a decimal number, bit by bit: a character is XORed in, then eight shifts (marked -1) follow.
+CRC32 = """xor(4294967295, list_reduce(
+  list_concat([4294967295::bigint], flatten(list_transform(range(1, len({s}) + 1),
+    lambda i: [ord(({s})[i])::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: case when x >= 0 then xor(a, x) else xor(a // 2, 3988292384 * (a % 2)) end))"""
+
+FIELDS = " || ".join(
+    f"case when {c} is null then '-' else strlen({c}::varchar) || ':' || {c}::varchar end" for c in ("doc_id", "source", "lang", "{n_chars}", "text")
+)
+
+MERKLE = f"""
+with recursive leaves as (
+  select doc_id, lang, sha256({FIELDS.format(n_chars="n_chars")}) as leaf,
+    case when {CRC32.format(s="doc_id::varchar")} % 7 = 0 then sha256({FIELDS.format(n_chars="(n_chars + 1)")}) end as tampered
+  from documents),
+places as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i from leaves),
+tree as (
+  select lang, 0 as lvl, i, leaf as h from places
+  union all
+  select lang, lvl + 1, i // 2, sha256(string_agg(h, '' order by i))
+  from (select *, count(*) over (partition by lang) as n from tree) where n > 1 group by lang, lvl, i // 2),
+subroots as (
+  select *, row_number() over (order by lang nulls first) - 1 as l
+  from (select lang, max(lvl) as height, arg_max(h, lvl) as subroot from tree group by lang)),
+top as (
+  select 0 as lvl, l as i, subroot as h from subroots
+  union all
+  select lvl + 1, i // 2, sha256(string_agg(h, '' order by i))
+  from (select *, count(*) over () as n from top) where n > 1 group by lvl, i // 2),
+total as (select max(lvl) as above, arg_max(h, lvl) as root from top),
+folded as (
+  select p.doc_id, p.lang, p.leaf, p.i, s.l, 0 as lvl, s.height, t.above, s.subroot, t.root,
+    coalesce(tampered, leaf) as h, '' as proof
+  from places p join subroots s on p.lang is not distinct from s.lang cross join total t
+  union all
+  select f.doc_id, f.lang, f.leaf, case when f.lvl < height then f.i // 2 else f.i end,
+    case when f.lvl < height then f.l else f.l // 2 end, f.lvl + 1, height, above, subroot, root,
+    sha256(case when (case when f.lvl < height then f.i else f.l end) % 2 = 1 then coalesce(a.h, b.h, '') || f.h
+      else f.h || coalesce(a.h, b.h, '') end),
+    proof || coalesce(a.h, b.h, '')
+  from folded f
+  left join tree a on f.lvl < height and a.lang is not distinct from f.lang and a.lvl = f.lvl and a.i = xor(f.i, 1)
+  left join top b on f.lvl >= height and b.lvl = f.lvl - height and b.i = xor(f.l, 1)
+  where f.lvl < height + above)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, h as folded_root, h = root as verified
+from folded where lvl = height + above
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC}
+    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC, "op11_merkle": MERKLE}
