@@ -17,6 +17,7 @@ from tallywise.llm.merkle import verify_documents
 from tallywise.llm.pii import pseudonymize_documents
 from tallywise.llm.quality import assess
 from tallywise.llm.span_dedup import dedup_spans
+from tallywise.llm.suffix_dedup import dedup_substrings
 from tallywise.llm.warc import read_warc, write_warc
 from tallywise.llm.winnow import fingerprint_edits
 from tallywise.session import Scratch
@@ -106,6 +107,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_documents(read_table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+@_query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_substrings(read_table(spark, sf_dir, "documents", "doc_id", "text"), Scratch(spark))
+    n_removed = F.col("n_bytes") - F.octet_length("kept")
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return cut.select("doc_id", "n_bytes", n_removed.alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 WARC = """
 with p as (select page_id, coalesce(html, '') as html from pages),
 f as (select html, min(page_id) as first from p where strlen(html) >= 100 group by html)
@@ -184,9 +193,32 @@ from folded where lvl = height + above
 """
 
 
+# Bytes are pairs of hex digits here. A text's bytes that no repeated string covers lie in gaps between spans.
+SUBSTRINGS = """
+with docs as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x, octet_length(encode(coalesce(text, ''))) as n
+  from documents),
+starts as (
+  select r, i, md5(substr(x, 2 * i + 1, 400)) as s
+  from (select r, x, unnest(range(0, n - 199)) as i from docs where n >= 200)),
+repeated as (select r, i from starts where s in (select s from starts group by s having count(*) > 1)),
+marked as (select r, i, i - lag(i) over (partition by r order by i) as step from repeated),
+runs as (select r, i, count(*) filter (step is null or step > 200) over (partition by r order by i) as run from marked),
+spans as (select r, run, min(i) as a, max(i) + 200 as b from runs group by r, run),
+gaps as (
+  select r, run, coalesce(lag(b) over w, 0) as a, a as b from spans window w as (partition by r order by run)
+  union all select r, max(run) + 1, max(b), null from spans group by r),
+kept as (select r, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' order by run) as x from gaps join docs using (r) group by r),
+sums as (select r, sum(b - a) as n_removed, count(*) as n_spans from spans group by r)
+select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(k.x, d.x))) as kept_sha256
+from docs d left join sums using (r) left join kept k using (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC, "op11_merkle": MERKLE}
+    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC, "op11_merkle": MERKLE, "op12_suffix_dedup": SUBSTRINGS}
