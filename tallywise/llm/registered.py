@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from tallywise.llm.collocations import collocations
 from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_join
 from tallywise.llm.langid import held_out, identify, train
@@ -115,6 +116,11 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", n_removed.alias("n_removed"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents", "lang", "text"), Scratch(spark))
+
+
 WARC = """
 with p as (select page_id, coalesce(html, '') as html from pages),
 f as (select html, min(page_id) as first from p where strlen(html) >= 100 group by html)
@@ -193,13 +199,13 @@ from folded where lvl = height + above
 """
 
 
-# Bytes are pairs of hex digits here. A text's bytes that no repeated string covers lie in gaps between spans.
+# A text's bytes that no repeated string covers lie in gaps between spans; hex digits put them together.
 SUBSTRINGS = """
 with docs as (
-  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x, octet_length(encode(coalesce(text, ''))) as n
+  select row_number() over () as r, doc_id, encode(coalesce(text, '')) as x, octet_length(encode(coalesce(text, ''))) as n
   from documents),
 starts as (
-  select r, i, md5(substr(x, 2 * i + 1, 400)) as s
+  select r, i, md5(array_slice(x, i + 1, i + 200)) as s
   from (select r, x, unnest(range(0, n - 199)) as i from docs where n >= 200)),
 repeated as (select r, i from starts where s in (select s from starts group by s having count(*) > 1)),
 marked as (select r, i, i - lag(i) over (partition by r order by i) as step from repeated),
@@ -208,11 +214,39 @@ spans as (select r, run, min(i) as a, max(i) + 200 as b from runs group by r, ru
 gaps as (
   select r, run, coalesce(lag(b) over w, 0) as a, a as b from spans window w as (partition by r order by run)
   union all select r, max(run) + 1, max(b), null from spans group by r),
-kept as (select r, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' order by run) as x from gaps join docs using (r) group by r),
+kept as (select r, string_agg(hex(array_slice(x, a + 1, coalesce(b, n))), '' order by run) as h from gaps join docs using (r) group by r),
 sums as (select r, sum(b - a) as n_removed, count(*) as n_spans from spans group by r)
 select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
-  sha256(unhex(coalesce(k.x, d.x))) as kept_sha256
-from docs d left join sums using (r) left join kept k using (r)
+  sha256(coalesce(unhex(h), x)) as kept_sha256
+from docs d left join sums using (r) left join kept using (r)
+"""
+
+
+COLLOCATIONS = r"""
+with pieces as (
+  select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as w
+  from (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents)),
+totals as (select lang, sum(len(w))::bigint as n from pieces group by lang),
+grams as (
+  select lang, w[i : i + m - 1] as g
+  from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from pieces, (select unnest(range(1, 6)) as m))),
+f as (select lang, g, count(*) as a from grams group by lang, g having count(*) >= 100),
+cuts as (
+  select c.lang, c.g, c.a, k, x.a as l, y.a as r, n, (1000::hugeint * c.a * n) // (x.a::hugeint * y.a) as score
+  from (select lang, g, a, unnest(range(1, len(g))) as k from f) c
+  join f x on x.lang = c.lang and x.g = c.g[1 : k] join f y on y.lang = c.lang and y.g = c.g[k + 1 : len(c.g)]
+  join totals t on t.lang = c.lang),
+best as (select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1),
+inner_phrases as (
+  select lang, g[i : i + m - 1] as g, max(a) as longest
+  from (select lang, g, a, m, unnest(range(1, len(g) - m + 2)) as i from f, (select unnest(range(2, 5)) as m) where m < len(g))
+  group by all),
+kept as (
+  select b.*, array_to_string(b.g, ' ') as phrase from best b left join inner_phrases i on i.lang = b.lang and i.g = b.g
+  where longest is null or 100 * longest < 100 * b.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from kept qualify rank <= 2000
 """
 
 
@@ -221,4 +255,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC, "op11_merkle": MERKLE, "op12_suffix_dedup": SUBSTRINGS}
+    return {"op6_line_dedup": LINE_DEDUP, "op10_warc": WARC, "op11_merkle": MERKLE, "op12_suffix_dedup": SUBSTRINGS, "op13_collocations": COLLOCATIONS}

@@ -15,6 +15,7 @@ from tallywise.session import Scratch
 PIECE = 1 << 19  # starts that are ranked at a time
 LOW = np.uint64((1 << 20) - 1)  # of a gram's rank, give way to its place
 HOT = 500  # a rank is hot if more than 1 / HOT of a round's rows have it
+LEAST_HOT = 100  # rows that a hot rank has at least
 SALTS = 64
 SHARE = 1 / 32  # of the texts tells the hot ranks of the first round, which only deals rows out
 ROUND_BYTES = 1 << 20
@@ -241,7 +242,7 @@ def _hot(rows: DataFrame) -> tuple[np.ndarray, int]:
     """The ranks that more than 1 / HOT of the rows have, HOT at most, and the number of rows."""
     counted = rows.groupBy("core").agg(F.count("*").alias("n"))
     total = rows.count()
-    found = counted.filter(F.col("n") > max(total / HOT, 100)).select("core").collect()
+    found = counted.filter(F.col("n") > max(total / HOT, LEAST_HOT)).select("core").collect()
     return np.array([r.core for r in found], np.int64), total
 
 

@@ -22,9 +22,9 @@ def segments(table: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(segs, pa.int32()), pa.array(data, pa.binary())], ["seg", "part"])
 
 
-def total(parts: DataFrame, size: int, dtype: str) -> np.ndarray:
-    """The sum of all parts (rows seg, part). Each task adds up as it reads, so that memory does not
-    depend on the number of parts."""
+def total(parts: DataFrame, size: int, dtype: str, merge: np.ufunc = np.add) -> np.ndarray:
+    """The sum of all parts (rows seg, part), or what ``merge`` makes of them. Each task adds up as it
+    reads, so that memory does not depend on the number of parts."""
     kind = np.dtype(dtype)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,7 +32,7 @@ def total(parts: DataFrame, size: int, dtype: str) -> np.ndarray:
         for batch in batches:
             for seg, part in zip(batch["seg"].to_pylist(), batch["part"], strict=True):
                 values = np.frombuffer(part.as_buffer(), kind)
-                sums[seg] = sums[seg] + values if seg in sums else values.copy()
+                sums[seg] = merge(sums[seg], values) if seg in sums else values.copy()
         keys = pa.array(list(sums), pa.int32())
         yield pa.record_batch([keys, pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["seg", "part"])
 
