@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.llm import tables, words
@@ -205,6 +205,12 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     return vocabulary, scratch.write(phrases, "phrases")
 
 
+def exact_score() -> Column:
+    """``floor(1000 a n / (l r))`` of those columns; the products are decimals of 38 digits."""
+    a, n, l, r = (F.col(c).cast("decimal(19,0)") for c in ("a", "n", "l", "r"))
+    return F.call_function("div", F.lit(1000) * (a * n), l * r)
+
+
 def collocations(
     docs: DataFrame, scratch: Scratch, least: int = 100, percent: int = 100, top: int = 2000, memory: int = MEMORY,
     lang_col: str = "lang", text_col: str = "text",
@@ -237,9 +243,7 @@ def collocations(
     totals = scratch.write(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     spelt = spelt.join(F.broadcast(totals) if fits_broadcast(totals) else totals, "lang")
 
-    whole = [F.col(c).cast("decimal(19,0)") for c in ("a", "n", "l", "r")]
-    cuts = cuts.join(spelt, "words").withColumns({"over": F.lit(1000) * (whole[0] * whole[1]), "under": whole[2] * whole[3]})
-    cuts = cuts.withColumn("score", F.expr("over div under"))
+    cuts = cuts.join(spelt, "words").withColumn("score", exact_score())
     scored = cuts.groupBy("words", "lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
 
     inner = F.flatten(F.transform(F.sequence(F.lit(2), size - 1), lambda m: F.transform(F.sequence(F.lit(1), size - m + 1), lambda i: F.slice("words", i, m))))

@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from tallywise.llm.collocations import collocations, frequent_phrases
+from tallywise.llm.collocations import collocations, exact_score, frequent_phrases
 from tallywise.session import Scratch
 
 SCHEMA = "doc_id long, lang string, text string, words string, id int, n string"  # the last three clash with inner names
@@ -82,10 +82,9 @@ def test_full_bit_tables_let_nothing_wrong_through(spark, monkeypatch):
 
 
 def test_numbers_beyond_64_bits(spark):
-    """1000 * a * n and l * r are decimal: 3 * 10^7 words give a product over 2^63 / 10^3."""
-    rows = [(i, "en", "p q " * 250_000, "", 0, "") for i in range(8)]
-    got = collocations(spark.createDataFrame(rows, SCHEMA), Scratch(spark)).collect()
-    assert sorted(map(tuple, got)) == brute(rows, 100, 100, 2000)
+    rows = [(10**15 + 7, 3 * 10**16 + 1, 2 * 10**15 + 3, 10**15 + 9), (10**12, 10**13 - 1, 10**12, 10**12 + 1), (100, 101, 100, 100)]
+    got = spark.createDataFrame(rows, "a long, n long, l long, r long").withColumn("score", exact_score()).collect()
+    assert [r.score for r in got] == [1000 * a * n // (x * y) for a, n, x, y in rows]
 
 
 def test_nothing(spark):
