@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallywise.operators.skew import MAX_HOT, attach_totals
-from tallywise.session import Scratch, checkpoint, shuffle_partitions
+from tallywise.session import Scratch
 
 SLICE_ROWS = 10_000
-PARTITION_ROWS = 100_000
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -102,21 +99,24 @@ class Graph:
     the rank of ``src`` that goes to ``dst``. The links of a node are cut into slices of about
     ``1 / MAX_HOT`` of all links, so that no join key has more.
     ``nodes`` (id, slices): all slices of all nodes are fewer than the nodes plus ``MAX_HOT``.
-    ``sliced`` tells whether any node has more than one slice. Both tables have ``parts``
-    partitions: the session's number, or fewer for a graph too small for so many tasks per round.
+    ``sliced`` tells whether any node has more than one slice. Both are tables in the shared folder with
+    ``buckets`` buckets by their key, the session's number of shuffle partitions, so that what a round
+    shuffles meets them where they are, and a lost executor costs a read.
     """
 
     nodes: DataFrame
     links: DataFrame
     n_nodes: int
     sliced: bool
-    parts: int
+    buckets: int
     scratch: Scratch
 
+    def keep(self, ranks: DataFrame) -> DataFrame:
+        """``ranks`` as a table with the buckets of ``nodes``, whose partitioning a round leaves as it is."""
+        return self.scratch.bucketed(ranks, "ranks", self.buckets, ["id"], dealt=True)
+
     def release(self) -> None:
-        """Free the executors' disks and delete the tables that were written."""
-        self.nodes.unpersist()
-        self.links.unpersist()
+        """Delete the tables that were written."""
         self.scratch.release()
 
 
@@ -127,9 +127,9 @@ def prepare(
     slice_rows: int = SLICE_ROWS,
     max_hot: int = MAX_HOT,
 ) -> Graph:
-    """Count and slice the out-links once, for all rounds, and keep them partitioned and sorted on
-    the executors' disks. The merged edges and the node table are written to the shared folder, so
-    that a lost executor never sends a task back to the source of the edges.
+    """Count and slice the out-links once, for all rounds, and lay them and the nodes out in buckets.
+    All tables are written to the shared folder, so that a lost executor never sends a task back to the
+    source of the edges.
 
     ``on_missing`` says what to do with an edge from or to an id that is not in ``nodes``:
     ``"error"`` raises, ``"add"`` makes it a node. A null id raises in any case.
@@ -178,25 +178,18 @@ def prepare(
         (F.col("copies") / F.col("out_degree")).alias("share"),
     )
     sliced = (most or 0) > per_slice
-    parts = min(
-        int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        ceil((n_nodes + (n_links or 0) + 1) / PARTITION_ROWS),
-    )
+    buckets = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["src", "slice"] if sliced else ["src"]
     return Graph(
-        nodes=_laid_out(counted.select("id", "slices"), parts, ["id"]),
-        links=_laid_out(links if sliced else links.drop("slice"), parts, keys),
+        nodes=scratch.bucketed(counted.select("id", "slices"), "nodes", buckets, ["id"]),
+        links=scratch.bucketed(links if sliced else links.drop("slice"), "links", buckets, keys),
         n_nodes=n_nodes,
         sliced=sliced,
-        parts=parts,
+        buckets=buckets,
         scratch=scratch,
     )
 
 
-def _laid_out(df: DataFrame, parts: int, keys: list[str]) -> DataFrame:
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys).persist(StorageLevel.DISK_ONLY)
-
-
 def pagerank(
     nodes: DataFrame,
     edges: DataFrame,
@@ -207,30 +200,52 @@ def pagerank(
     checkpoint_every: int = 3,
     slice_rows: int = SLICE_ROWS,
     max_hot: int = MAX_HOT,
+    tol: float | None = None,
 ) -> DataFrame:
-    """(id, rank) after a fixed number of rounds from ``init`` (a number, or ``"uniform"`` for
-    ``1 / N``). The rank that reaches a node without out-links is lost.
+    """(id, rank) after ``iterations`` rounds from ``init`` (a number, or ``"uniform"`` for ``1 / N``).
+    The rank that reaches a node without out-links is lost.
 
-    The links stay where they are, and the ranks are made on the partitions of their node. A round
+    With ``tol``, the loop stops after the first round in which no rank changed by more than ``tol``,
+    and after ``iterations`` rounds in any case. The largest change is observed while the round writes
+    its ranks, so that it takes no job of its own.
+
+    The links stay where they are, and the ranks are made on the buckets of their node. A round
     thus shuffles the credits to their target, added up per task first, and nothing else; if some
-    node is hot, also the ranks, one row for each slice of a node.
+    node is hot, also the ranks, one row for each slice of a node. The ranks are written every
+    ``checkpoint_every`` rounds, with ``tol`` in each.
     """
     graph = prepare(nodes, edges, on_missing, slice_rows, max_hot)
     start = 1.0 / max(graph.n_nodes, 1) if init == "uniform" else float(init)
     ranks = graph.nodes.select("id", "slices", F.lit(start).alias("rank"))
+    result = Scratch(nodes.sparkSession)
+    kept = None
     try:
-        # The shuffle of the credits must have as many partitions as the tables, or Spark would
-        # shuffle those again. All rounds run in here, as each checkpoint does its work at once.
-        with shuffle_partitions(nodes.sparkSession, graph.parts):
-            for done in range(1, iterations + 1):
+        for done in range(1, iterations + 1):
+            if tol is not None:
+                ranks, change = _observed_round(graph, ranks, damping)
+            else:
                 ranks = gather(graph.nodes, _credits(graph, ranks), graph.n_nodes, damping)
-                if done % checkpoint_every == 0 and done < iterations:
-                    ranks = checkpoint(ranks)
-            return checkpoint(ranks.select("id", "rank"))
+            if tol is not None or (done % checkpoint_every == 0 and done < iterations):
+                before, kept = kept, graph.keep(ranks)
+                ranks = kept
+                if before is not None:
+                    graph.scratch.drop(before)
+            if tol is not None and (change.get["change"] or 0.0) <= tol:
+                break
+        return result.write(ranks.select("id", "rank"), "pagerank")
     finally:
         graph.release()
 
 
+def _observed_round(graph: Graph, ranks: DataFrame, damping: float) -> tuple[DataFrame, Observation]:
+    """The ranks after a round, and what will hold the largest change once they have been written."""
+    change = Observation()
+    before = ranks.withColumnRenamed("rank", "before")
+    after = gather(before, _credits(graph, ranks), graph.n_nodes, damping)
+    after = after.observe(change, F.max(F.abs(F.col("rank") - F.col("before"))).alias("change"))
+    return after.drop("before"), change
+
+
 def _credits(graph: Graph, ranks: DataFrame) -> DataFrame:
     sent = ranks.withColumnRenamed("id", "src")
     keys = ["src"]

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +67,7 @@ class Scratch:
         self.spark = spark
         self.folder = scratch_path(spark, "run")
         self._next = 0
+        self._tables: dict[str, str] = {}
 
     def path(self, name: str) -> str:
         """A path in the folder that no other call returns."""
@@ -82,28 +82,39 @@ class Scratch:
         back._scratch_path = path
         return back
 
+    def bucketed(self, df: DataFrame, name: str, buckets: int, keys: Sequence[str], dealt: bool = False) -> DataFrame:
+        """Write ``df`` as a table of ``buckets`` files, a hash of ``keys`` choosing the file, sorted by them, and
+        return it read back. A join or aggregate on ``keys`` reads it without a shuffle where
+        ``spark.sql.shuffle.partitions`` is the same number. ``dealt`` says that ``df`` already has that
+        partitioning. The table is in the session's catalogue until it is dropped."""
+        path, table = self.path(name), f"tallywise_{uuid.uuid4().hex}"
+        rows = df if dealt else df.repartition(buckets, *keys)
+        writer = rows.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+        writer.saveAsTable(table)
+        self._tables[path] = table
+        back = self.spark.table(table)
+        back._scratch_path = path
+        return back
+
     def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that :meth:`write` returned."""
+        """Delete tables that :meth:`write` or :meth:`bucketed` returned."""
         for table in tables:
+            self._forget(table._scratch_path)
             delete(self.spark, table._scratch_path)
 
     def release(self) -> None:
         """Delete the whole folder."""
+        for path in list(self._tables):
+            self._forget(path)
         delete(self.spark, self.folder)
 
+    def _forget(self, path: str) -> None:
+        if path in self._tables:
+            self.spark.sql(f"drop table if exists {self._tables.pop(path)}")
+
 
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder that this library made, in whatever store it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-
-@contextmanager
-def shuffle_partitions(spark: SparkSession, parts: int) -> Iterator[None]:
-    """Run what is inside with ``parts`` shuffle partitions, then set the old number again."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)

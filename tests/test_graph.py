@@ -7,7 +7,6 @@ from conftest import nodes_of, rows
 
 from tallywise import operators as op
 from tallywise.operators import graph
-from tallywise.session import shuffle_partitions
 from tallywise.sinks import text, write_adjacency
 from tallywise.sources import read_adjacency, read_ranked_adjacency
 
@@ -32,30 +31,62 @@ def ranks(df):
 
 
 @pytest.mark.parametrize("rounds", list(AFTER))
-@pytest.mark.parametrize(("slice_rows", "part_rows"), [(10_000, 100_000), (10_000, 2), (1, 2)])
-def test_rounds(spark, tmp_path, rounds, slice_rows, part_rows, monkeypatch):
-    monkeypatch.setattr(graph, "PARTITION_ROWS", part_rows)
+@pytest.mark.parametrize("slice_rows", [10_000, 1])
+def test_rounds(spark, tmp_path, rounds, slice_rows):
     nodes, edges = load(spark, tmp_path, OPEN)
     got = op.pagerank(nodes, edges, rounds, slice_rows=slice_rows, max_hot=4)
     assert ranks(got) == AFTER[rounds]
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
-def test_links_stay_where_they_are(spark, tmp_path, monkeypatch):
-    """A round shuffles the credits only: one exchange, and no sort of the links."""
-    monkeypatch.setattr(graph, "PARTITION_ROWS", 2)
+@pytest.mark.parametrize("written", [False, True])
+def test_links_stay_where_they_are(spark, tmp_path, written):
+    """A round shuffles the credits only: one exchange, and no shuffle of links, nodes or ranks."""
     prepared = graph.prepare(*load(spark, tmp_path, OPEN))
     start = prepared.nodes.selectExpr("id", "slices", "1D as rank")
-    with shuffle_partitions(spark, prepared.parts):
-        after = graph.gather(prepared.nodes, graph._credits(prepared, start), 6)
-        cached = [prepared.nodes, prepared.links]
-        assert prepared.parts == 4 and all(df.rdd.getNumPartitions() == 4 for df in cached)
-        plan = list(nodes_of(after._jdf.queryExecution().executedPlan()))
+    if written:
+        start = prepared.keep(start)
+    after = graph.gather(prepared.nodes, graph._credits(prepared, start), 6)
+    plan = list(nodes_of(after._jdf.queryExecution().executedPlan()))
     moved = [node.toString() for node in plan if node.nodeName() == "Exchange"]
     assert len(moved) == 1 and "hashpartitioning(dst" in moved[0]
     prepared.release()
 
 
+def test_the_session_stays_as_it_is(spark, tmp_path):
+    """No setting changes, also not while a round runs, and no table stays in the catalogue."""
+    nodes, edges = load(spark, tmp_path, OPEN)
+    settings, tables, seen = dict(spark.sql("set").collect()), spark.catalog.listTables(), []
+    gather = graph.gather
+
+    def watched(*args, **kwargs):
+        seen.append(dict(spark.sql("set").collect()) == settings)
+        return gather(*args, **kwargs)
+
+    graph.gather = watched
+    try:
+        op.pagerank(nodes, edges, 3, tol=0.0)
+    finally:
+        graph.gather = gather
+    assert seen == [True] * 3 and spark.catalog.listTables() == tables
+
+
+@pytest.mark.parametrize("tol", [0.3, 0.01])
+def test_tolerance(spark, tmp_path, tol):
+    """Stops where the rounds, taken one by one, first change no rank by more than the tolerance."""
+    nodes, edges = load(spark, tmp_path, OPEN)
+    state = {n: 1.0 for (n,) in rows(nodes)}
+    for done in range(1, 31):
+        after = dict(rows(op.pagerank(nodes, edges, done))) if done == 2 else None
+        degree = {n: sum(1 for s, _ in rows(edges) if s == n) for n in state}
+        new = {n: 0.15 / 6 + 0.85 * sum(state[s] / degree[s] for s, d in rows(edges) if d == n) for n in state}
+        assert after is None or after == pytest.approx(new)
+        change, state = max(abs(new[n] - state[n]) for n in state), new
+        if change <= tol:
+            break
+    assert dict(rows(op.pagerank(nodes, edges, 30, tol=tol))) == pytest.approx(state, abs=1e-12)
+
+
 def test_hot_node_is_sliced(spark):
     edges = spark.createDataFrame(
         [("hub", f"n{i}") for i in range(300)] + [(f"n{i}", "hub") for i in range(300)],
