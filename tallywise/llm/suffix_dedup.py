@@ -107,10 +107,23 @@ CELL = "core long, hull long, d1 long, d2 long, at int, lo int, hi int, multi bo
 NAMES = ["core", "hull", "d1", "d2", "at", "lo", "hi", "multi", "bytes"]
 
 
+def _twice(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of a batch without those whose digest two rows before had: two copies repeat each other in
+    full, and more of them say nothing new."""
+    d1, d2 = batch["d1"].to_numpy(), batch["d2"].to_numpy()
+    order = np.lexsort((d2, d1))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
+    heads = np.flatnonzero(fresh)
+    keep = np.zeros(len(order), bool)
+    keep[order] = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order)))) < 2
+    return batch.filter(pa.array(keep))
+
+
 def _sampled(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in words.slices(batch, "text"):
+            for part, data, offsets in words.slices(_twice(batch), "text"):
                 d1, d2 = part["d1"].to_numpy(), part["d2"].to_numpy()
                 for doc, at, lo, hi, core, hull in samples(data, offsets, length):
                     small = (x.astype(np.int32) for x in (at, lo, hi))
@@ -269,7 +282,9 @@ def repeated_strings(texts: DataFrame, scratch: Scratch, length: int = 200) -> D
     The rows that go on are those at the ends of repeats, not the repeats themselves.
 
     Cores and hulls are 64-bit names of their own, so that what counts as equal agrees in both. A core that
-    many rows share is spread by the hull, and its rows go on even if they are alone in their part.
+    many rows share is spread by the hull, and its rows go on even if they are alone in their part. Of
+    copies of a text that a task reads together, two are sampled (:func:`_twice`), so that a rank has no
+    more than two rows with one hull from each batch.
     """
     wide = width(length)
     hot, _ = _hot(texts.sample(SHARE, seed=1).mapInArrow(_sampled(length), CELL))

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallywise.llm import suffix_dedup
@@ -77,6 +78,13 @@ def test_hot_ranks_and_small_pieces(spark, monkeypatch):
     assert got == sorted(brute(rows, 40), key=repr)
 
 
+def test_of_many_copies_two_are_sampled():
+    digests = [5, 3, 5, 5, 7, 3, 3, 5]
+    batch = pa.record_batch([pa.array(digests), pa.array([0] * 8), pa.array(list("abcdefgh"))], ["d1", "d2", "text"])
+    assert suffix_dedup._twice(batch)["text"].to_pylist() == ["a", "b", "c", "e", "f"]
+    assert len(suffix_dedup._twice(batch.slice(0, 0))) == 0
+
+
 def test_empty_table_and_long_text(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert dedup_substrings(empty, Scratch(spark)).collect() == []
