@@ -21,8 +21,9 @@ BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?\x0a\x0b\x0c\x0d"]] = True
 BETWEEN = BREAK.copy()
 BETWEEN[[0x20, 0x09]] = True
-SUFFIX = "w1 long, w2 long, w3 long, w4 long, w5 long, n long"
 COLUMNS = [f"w{i + 1}" for i in range(DEPTH)]
+NAMED = [*COLUMNS, "lang", "word", "n"]
+SUFFIX = ", ".join(f"{c} long" for c in COLUMNS) + ", lang string, word string, n long"
 
 
 def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -42,12 +43,14 @@ def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield part, data, starts, ends, text, ids, on
 
 
-def _spoken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, data, starts, ends, text, ids, _ in _ids(batches):
-        found, at, n = np.unique(ids, return_index=True, return_counts=True)
-        held = memoryview(words._LOWER[data])
-        spelt = [str(held[a:b], "utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-        yield pa.record_batch([pa.array(found.view(np.int64)), part["lang"].take(pa.array(text[at])), pa.array(spelt), pa.array(n)], ["id", "lang", "word", "n"])
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, lang, n): each word's id counted, without ``lang``, and each language's words, without id."""
+    for part, _, _, _, text, ids, _ in _ids(batches):
+        found, n = np.unique(ids, return_counts=True)
+        langs, of = np.unique(np.array(part["lang"].to_pylist(), object)[text], return_inverse=True)
+        both = pa.array(np.concatenate([n, np.bincount(of)]))
+        id_of = pa.array(np.concatenate([found.view(np.int64), np.zeros(len(langs), np.int64)]))
+        yield pa.record_batch([id_of, pa.array([None] * len(found) + langs.tolist(), pa.string()), both], ["id", "lang", "n"])
 
 
 def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,10 +91,11 @@ def _prefixes(flags: np.ndarray):
 
 
 def _suffixes(known: np.ndarray, paired: np.ndarray):
-    """Each suffix up to DEPTH words, as far as its pairs may be frequent, counted within a slice."""
+    """Each suffix up to DEPTH words, as far as its pairs may be frequent, counted within a slice. Rows with
+    ``word`` spell the id in ``w1``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for *_, ids, on in _ids(batches):
+        for part, data, starts, ends, text, ids, on in _ids(batches):
             link = np.zeros(len(ids) + DEPTH, bool)  # whether the next word goes on
             at = np.flatnonzero(on[1:])
             at = at[_marked(ids[at], known) & _marked(ids[at + 1], known)]
@@ -107,7 +111,17 @@ def _suffixes(known: np.ndarray, paired: np.ndarray):
             for i in range(1, DEPTH):
                 key = _pair(key, rows[i])
             _, one, n = np.unique(key, return_index=True, return_counts=True)
-            yield pa.record_batch([*(pa.array(r[one].view(np.int64)) for r in rows), pa.array(n)], [*COLUMNS, "n"])
+            none = pa.nulls(len(one), pa.string())
+            yield pa.record_batch([*(pa.array(r[one].view(np.int64)) for r in rows), none, none, pa.array(n)], NAMED)
+            # The words that are in them, to be spelt.
+            held = np.zeros(len(ids) + DEPTH, bool)
+            held[first] = held[first + 1] = True
+            at = np.flatnonzero(held[: len(ids)])
+            found, one = np.unique(ids[at], return_index=True)
+            at, low = at[one], memoryview(words._LOWER[data])
+            spelt = pa.array([str(low[a:b], "utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], pa.string())
+            zero = pa.array(np.zeros(len(at), np.int64))
+            yield pa.record_batch([pa.array(found.view(np.int64)), *[zero] * (DEPTH - 1), part["lang"].take(pa.array(text[at])), spelt, zero], NAMED)
 
     return run
 
@@ -174,9 +188,10 @@ def _partitioned(suffixes: DataFrame, scratch: Scratch, budget: int) -> DataFram
     return rows
 
 
-def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory: int = MEMORY) -> tuple[DataFrame, DataFrame]:
-    """``vocabulary`` (id, lang, word, n) of all words, and ``phrases`` (words, a): the phrases of 2 to
-    DEPTH words, as arrays of ids, that stand ``least`` times or more in ``docs`` (lang, text).
+def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory: int = MEMORY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``phrases`` (words, a): the phrases of 2 to DEPTH words, as arrays of ids, that stand ``least`` times or
+    more in ``docs`` (lang, text); ``vocabulary`` (id, lang, word, n) of the words in them and others;
+    and ``totals`` (lang, n), the number of all words.
 
     The texts are read three times: words are counted, then prefixes of two words that are frequent, then
     suffixes are cut where a pair is not, so that a suffix is as deep as a frequent phrase may reach from
@@ -185,16 +200,18 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     prefix, the rows of a prefix within ``memory`` or extended until they are; there the subtrees of
     the prefixes are built in groups of about ``memory`` rows, each group by itself.
     """
-    spoken = docs.mapInArrow(_spoken, "id long, lang string, word string, n long")
-    vocabulary = scratch.write(spoken.groupBy("id", "lang", "word").agg(F.sum("n").alias("n")), "vocabulary")
-    frequent = vocabulary.filter(F.col("n") >= least)
+    counted = docs.mapInArrow(_counted, "id long, lang string, n long").groupBy("id", "lang").agg(F.sum("n").alias("n"))
+    counted = scratch.write(counted.filter((F.col("n") >= least) | F.col("lang").isNotNull()), "counted")
+    frequent = counted.filter("lang is null").select("id", "n")
     known = _table(frequent)
     pairs = docs.mapInArrow(_prefixes(known), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     paired = _table(pairs.filter(F.col("n") >= least))
 
     # Equal suffixes of a task become one before they are shuffled, and then one of all.
-    suffixes = docs.mapInArrow(_suffixes(known, paired), SUFFIX).groupBy(*COLUMNS).agg(F.sum("n").alias("n"))
+    suffixes = docs.mapInArrow(_suffixes(known, paired), SUFFIX).groupBy(*NAMED[:-1]).agg(F.sum("n").alias("n"))
     suffixes = scratch.write(suffixes, "suffixes")
+    vocabulary = suffixes.filter("word is not null").select(F.col("w1").alias("id"), "lang", "word").join(frequent, "id")
+    suffixes = suffixes.filter("word is null").drop("lang", "word")
     total = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rows = _partitioned(suffixes, scratch, max(memory, total // MAX_HOT))
     # The prefix that a suffix is dealt by: its words up to ``unit``, others as if there were none.
@@ -202,7 +219,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     rows = rows.repartition(*key).sortWithinPartitions(*COLUMNS)
     nodes = rows.mapInArrow(_subtrees(memory, least), "words array<long>, n long")
     phrases = nodes.groupBy("words").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    return vocabulary, scratch.write(phrases, "phrases")
+    return scratch.write(phrases, "phrases"), scratch.write(vocabulary, "vocabulary"), counted.filter("lang is not null").select("lang", "n")
 
 
 def exact_score() -> Column:
@@ -228,9 +245,9 @@ def collocations(
     ignored; tables without a frequent phrase give no row. Words are told apart by 64-bit ids.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    vocabulary, phrases = frequent_phrases(rows, scratch, least, memory)
+    phrases, vocabulary, totals = frequent_phrases(rows, scratch, least, memory)
     size = F.size("words")
-    counts = phrases.unionByName(vocabulary.filter(F.col("n") >= least).select(F.array("id").alias("words"), F.col("n").alias("a")))
+    counts = phrases.unionByName(vocabulary.select(F.array("id").alias("words"), F.col("n").alias("a")))
 
     # Both parts of a cut are frequent, as the phrase is.
     k = F.explode(F.sequence(F.lit(1), size - 1)).alias("k")
@@ -240,7 +257,6 @@ def collocations(
     words_of = phrases.select("words", F.posexplode("words").alias("place", "id")).join(vocabulary.select("id", "lang", "word"), "id")
     spelt = words_of.groupBy("words").agg(F.min("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("place", "word"))).alias("spelt"))
     spelt = spelt.select("words", "lang", F.array_join("spelt.word", " ").alias("phrase"))
-    totals = scratch.write(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     spelt = spelt.join(F.broadcast(totals) if fits_broadcast(totals) else totals, "lang")
 
     cuts = cuts.join(spelt, "words").withColumn("score", exact_score())

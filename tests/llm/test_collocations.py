@@ -75,10 +75,11 @@ def test_full_bit_tables_let_nothing_wrong_through(spark, monkeypatch):
     monkeypatch.setattr("tallywise.llm.collocations.FLAGS", 8)
     monkeypatch.setattr("tallywise.llm.words.SLICE_BYTES", 300)
     rows = corpus(1)
-    vocabulary, phrases = frequent_phrases(spark.createDataFrame(rows, SCHEMA).fillna({"lang": "und", "text": ""}), Scratch(spark), 6)
+    phrases, vocabulary, totals = frequent_phrases(spark.createDataFrame(rows, SCHEMA).fillna({"lang": "und", "text": ""}), Scratch(spark), 6)
     named = {r.id: (r.lang, r.word) for r in vocabulary.collect()}
     got = {(named[r.words[0]][0], tuple(named[w][1] for w in r.words)): r.a for r in phrases.collect()}
     assert got == {k: v for k, v in counted(rows, 6)[0].items() if len(k[1]) > 1}
+    assert {r.lang: r.n for r in totals.collect()} == {k: n for k, n in counted(rows, 6)[1].items() if n}
 
 
 def test_numbers_beyond_64_bits(spark):
