@@ -16,6 +16,8 @@ from tallywise.session import Scratch
 
 DEPTH = 5  # words of a suffix
 MEMORY = 1 << 18  # suffixes whose subtrees a task builds together
+HELD = 1 << 21  # prefixes that a task that reads texts holds
+PART = 1 << 20
 FLAGS = 1 << 25  # bits of the tables of frequent words and of frequent pairs
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?\x0a\x0b\x0c\x0d"]] = True
@@ -77,20 +79,73 @@ def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return words.mix(first * words.BASE + second)
 
 
-def _prefixes(flags: np.ndarray):
-    """Each prefix of two words that may both be frequent, counted within a slice."""
+def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[: len(keys)]
+    return keys[heads], np.add.reduceat(n, heads) if len(heads) else n
+
+
+def _prefixes(flags: np.ndarray, bits: int):
+    """The prefixes of two words that may both be frequent, counted: a row for each part, the first ``bits``
+    bits of a prefix's key, with the 32 bits after them and the counts as arrays. Packed like this a
+    prefix takes some four bytes of a shuffle."""
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, n = _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        part = (keys >> np.uint64(32)).astype(np.int64)
+        heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))[: len(part)]
+        cuts = list(zip(heads.tolist(), [*heads[1:].tolist(), len(part)], strict=True)) if len(part) else []
+        low, n = keys.astype(np.uint32), n.astype(np.uint32)
+        columns = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (low, n)]
+        return pa.record_batch([pa.array(part[heads]), *columns], ["part", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for *_, ids, on in _ids(batches):
             known = _marked(ids, flags)
             at = np.flatnonzero(on[1:] & known[1:] & known[:-1])
-            found, n = np.unique(_pair(ids[at], ids[at + 1]), return_counts=True)
-            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(n)], ["id", "n"])
+            held.append(np.unique(_key(_pair(ids[at], ids[at + 1]), bits), return_counts=True))
+            if sum(len(n) for _, n in held) >= HELD:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _key(pairs: np.ndarray, bits: int) -> np.ndarray:
+    return pairs >> np.uint64(32 - bits)
+
+
+def _often(least: int):
+    """Rows of (part, keys, counts) sorted by part → the keys that are counted ``least`` times or more. Those
+    of one part are held."""
+
+    def kept(part: int, held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        keys, n = (np.frombuffer(b"".join(x), np.uint32) for x in zip(*held, strict=True))
+        keys, n = _merged(keys, n.astype(np.int64))
+        found = keys[n >= least].astype(np.int64) + (part << 32)
+        return pa.record_batch([pa.array(found)], ["id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            for part, keys, counts in zip(batch["part"].to_pylist(), batch["keys"], batch["counts"], strict=True):
+                if held and part != last:
+                    yield kept(last, held)
+                    held = []
+                last = part
+                held.append((keys.as_py(), counts.as_py()))
+        if held:
+            yield kept(last, held)
 
     return run
 
 
-def _suffixes(known: np.ndarray, paired: np.ndarray):
+def _suffixes(known: np.ndarray, paired: np.ndarray, bits: int):
     """Each suffix up to DEPTH words, as far as its pairs may be frequent, counted within a slice. Rows with
     ``word`` spell the id in ``w1``."""
 
@@ -99,7 +154,7 @@ def _suffixes(known: np.ndarray, paired: np.ndarray):
             link = np.zeros(len(ids) + DEPTH, bool)  # whether the next word goes on
             at = np.flatnonzero(on[1:])
             at = at[_marked(ids[at], known) & _marked(ids[at + 1], known)]
-            link[at[_marked(_pair(ids[at], ids[at + 1]), paired)]] = True
+            link[at[_marked(_key(_pair(ids[at], ids[at + 1]), bits), paired)]] = True
             first = np.flatnonzero(link)
             rows = np.zeros((DEPTH, len(first)), np.uint64)
             rows[0] = ids[first]
@@ -196,7 +251,8 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     The texts are read three times: words are counted, then prefixes of two words that are frequent, then
     suffixes are cut where a pair is not, so that a suffix is as deep as a frequent phrase may reach from
     its place. A task that reads texts knows frequent words and pairs by bits of a table of fixed
-    size, and what it lets through too much is counted later like the rest. Suffixes go to a task by their
+    size, and what it lets through too much, be it by the table or by a prefix's key of 32 bits and
+    more, is counted later like the rest. Suffixes go to a task by their
     prefix, the rows of a prefix within ``memory`` or extended until they are; there the subtrees of
     the prefixes are built in groups of about ``memory`` rows, each group by itself.
     """
@@ -204,11 +260,15 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     counted = scratch.write(counted.filter((F.col("n") >= least) | F.col("lang").isNotNull()), "counted")
     frequent = counted.filter("lang is null").select("id", "n")
     known = _table(frequent)
-    pairs = docs.mapInArrow(_prefixes(known), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    paired = _table(pairs.filter(F.col("n") >= least))
+    # About PART prefixes share a part, which a task holds.
+    spoken = counted.filter("lang is not null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = min(max((spoken // PART).bit_length(), 6), 31)
+    packed = docs.mapInArrow(_prefixes(known, bits), "part long, keys binary, counts binary")
+    packed = packed.repartition("part").sortWithinPartitions("part")
+    paired = _table(packed.mapInArrow(_often(least), "id long"))
 
     # Equal suffixes of a task become one before they are shuffled, and then one of all.
-    suffixes = docs.mapInArrow(_suffixes(known, paired), SUFFIX).groupBy(*NAMED[:-1]).agg(F.sum("n").alias("n"))
+    suffixes = docs.mapInArrow(_suffixes(known, paired, bits), SUFFIX).groupBy(*NAMED[:-1]).agg(F.sum("n").alias("n"))
     suffixes = scratch.write(suffixes, "suffixes")
     vocabulary = suffixes.filter("word is not null").select(F.col("w1").alias("id"), "lang", "word").join(frequent, "id")
     suffixes = suffixes.filter("word is null").drop("lang", "word")

@@ -74,6 +74,8 @@ def test_full_bit_tables_let_nothing_wrong_through(spark, monkeypatch):
     """With tables of a few bits all words and pairs seem frequent: more suffixes, the same phrases."""
     monkeypatch.setattr("tallywise.llm.collocations.FLAGS", 8)
     monkeypatch.setattr("tallywise.llm.words.SLICE_BYTES", 300)
+    monkeypatch.setattr("tallywise.llm.collocations.HELD", 50)
+    monkeypatch.setattr("tallywise.llm.collocations.PART", 5)
     rows = corpus(1)
     phrases, vocabulary, totals = frequent_phrases(spark.createDataFrame(rows, SCHEMA).fillna({"lang": "und", "text": ""}), Scratch(spark), 6)
     named = {r.id: (r.lang, r.word) for r in vocabulary.collect()}
