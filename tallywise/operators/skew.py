@@ -60,6 +60,25 @@ def attach_totals(
     return of_hot.unionByName(of_rest)
 
 
+def attach_sliced(
+    rows: DataFrame, totals: DataFrame, key: str, size: str, spread: str, max_hot: int = MAX_HOT
+) -> DataFrame:
+    """The join of :func:`attach_totals` by one shuffle, so that ``rows`` is read once only.
+
+    Rows of a hot key are spread over slices by a hash of column ``spread``, and its total is repeated for
+    each slice. That fits rows which come out of an aggregate, as each read would run it again.
+    """
+    share = totals.agg(F.sum(size)).scalar() / max_hot
+    hot = hot_totals(totals, key, size, max_hot).select(key, F.lit(True).alias("_hot"))
+    slice_of = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SLICES))).otherwise(F.lit(0))
+    left = rows.join(F.broadcast(hot), key, "left").withColumn("_slice", slice_of.cast("int")).drop("_hot")
+    # Each total knows by itself whether its key is hot.
+    short = F.octet_length(F.col(key).cast("string")) <= MAX_KEY_BYTES
+    last = F.when(F.when(short, F.col(size)).otherwise(0) > share, F.lit(SLICES - 1)).otherwise(F.lit(0))
+    right = totals.withColumn("_slice", F.explode(F.sequence(F.lit(0), last)))
+    return left.join(right, [key, "_slice"]).drop("_slice")
+
+
 def sliced_join(
     rows: DataFrame, other: DataFrame, key: str, spread: str, max_hot: int = MAX_HOT
 ) -> DataFrame:

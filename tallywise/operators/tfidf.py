@@ -11,7 +11,7 @@ from tallywise.functions import safe_ratio, stable, tfidf_weight
 from tallywise.operators.skew import (
     MAX_HOT,
     SLICES,
-    attach_totals,
+    attach_sliced,
     fits_broadcast,
     hot_totals,
     sliced_join,
@@ -61,19 +61,28 @@ def mark_asked(stats: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def with_document_frequency(
-    tf: DataFrame, stats: DataFrame, max_hot: int = MAX_HOT
+    tf: DataFrame, stats: DataFrame, max_hot: int = MAX_HOT, doc: str | None = None
 ) -> DataFrame:
-    """Attach the term table to each (doc, term) row, balanced when a term is in most documents."""
-    return attach_totals(tf, stats, "term", "df", max_hot)
+    """Attach the term table to each (doc, term) row, balanced when a term is in most documents.
+
+    ``doc`` is the column of ``tf`` besides ``term`` and ``tf`` unless it is named. The counts of
+    (doc, term) are made for the term table and for the rows here, and not again for hot terms.
+    """
+    spread = doc or next(c for c in tf.columns if c not in ("term", "tf"))
+    return attach_sliced(tf, stats, "term", "df", spread, max_hot)
 
 
 def tfidf(
-    tf: DataFrame, stats: DataFrame, n_docs: int | Column, max_hot: int = MAX_HOT
+    tf: DataFrame,
+    stats: DataFrame,
+    n_docs: int | Column,
+    max_hot: int = MAX_HOT,
+    doc: str | None = None,
 ) -> DataFrame:
     """Add ``tfidf`` to the rows of :func:`with_document_frequency`."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     weight = tfidf_weight(F.col("tf"), F.col("df"), n)
-    return with_document_frequency(tf, stats, max_hot).withColumn("tfidf", weight)
+    return with_document_frequency(tf, stats, max_hot, doc).withColumn("tfidf", weight)
 
 
 def normalize(
@@ -84,44 +93,47 @@ def normalize(
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """(doc, term, *keep, weight): ``weight`` is tfidf divided by the L2 norm over all terms of the
-    document."""
+    document. ``tf`` is read at once, to find hot documents, and so had better be a table."""
     weight = safe_ratio(F.col("tfidf"), F.col("_norm"))
-    normed = _with_norm(weights, tf, doc, keep, max_hot)
+    normed = with_norm(weights, tf, doc, keep, max_hot)
     return normed.select(doc, "term", *keep, weight.alias("weight"))
 
 
-def _with_norm(
+def with_norm(
     weights: DataFrame, tf: DataFrame, doc: str, keep: Sequence[str], max_hot: int = MAX_HOT
 ) -> DataFrame:
-    """(doc, term, tfidf, *keep, _norm).
+    """(doc, term, tfidf, *keep, _norm, _terms): the norm and number of terms of the row's document.
 
-    A document with a large share of all rows is spread over slices by term. Its norm is summed
-    per slice and then over slices, and goes back to each slice; the rows are shuffled once.
+    The rows are shuffled to their document and summed there by a window. If a document has a
+    large share of all rows, as one small job on ``tf`` tells, its rows are spread over slices by
+    term, and its norm is summed from rows added up per task.
     """
     sizes = tf.groupBy(doc).agg(F.count_if(F.col("tf") > 0).alias("_terms"))
-    hot = hot_totals(sizes, doc, "_terms", max_hot).select(doc, F.lit(True).alias("_hot"))
-    slice_of = F.when(F.col("_hot"), 1 + F.pmod(F.xxhash64("term"), F.lit(SLICES)))
+    hot = hot_totals(sizes, doc, "_terms", max_hot)
     carried = list(dict.fromkeys([doc, "term", "tfidf", *keep]))
-    spread = (
-        weights.join(F.broadcast(hot), doc, "left")
-        .select(*carried, F.coalesce(slice_of, F.lit(0)).cast("int").alias("_slice"))
-        .repartition(doc, "_slice")
-    )
-    # The hash names every column, so that this aggregate and the join below read one shuffle and
-    # not two that differ in their columns. It is never null, and the filter keeps it in the plan.
-    squares = (
-        spread.groupBy(doc, "_slice")
-        .agg(
-            F.sum(F.col("tfidf") * F.col("tfidf")).alias("_squares"),
-            F.max(F.xxhash64(*carried)).alias("_all"),
+    rows = weights.select(*carried)
+    square = F.col("tfidf") * F.col("tfidf")
+    if not hot.limit(1).count():
+        same = Window.partitionBy(doc)
+        return rows.select(
+            *carried, F.sqrt(F.sum(square).over(same)).alias("_norm"), F.count("*").over(same).alias("_terms")
         )
-        .filter(F.col("_all").isNotNull())
+    hot = F.broadcast(hot.withColumnRenamed("_terms", "_hot_terms"))
+    tagged = rows.join(hot, doc, "left")
+    of_hot = rows.join(hot, doc).groupBy(doc).agg(F.sqrt(F.sum(square)).alias("_hot_norm"))
+    slice_of = F.when(F.col("_hot_terms").isNotNull(), F.pmod(F.xxhash64("term"), F.lit(SLICES)))
+    same = Window.partitionBy(doc, "_slice")
+    summed = tagged.withColumn("_slice", F.coalesce(slice_of, F.lit(-1))).select(
+        *carried,
+        "_hot_terms",
+        F.sqrt(F.sum(square).over(same)).alias("_own"),
+        F.count("*").over(same).alias("_count"),
     )
-    norms = squares.groupBy(doc).agg(
-        F.sqrt(F.sum("_squares")).alias("_norm"), F.collect_set("_slice").alias("_slices")
+    return summed.join(F.broadcast(of_hot), doc, "left").select(
+        *carried,
+        F.coalesce("_hot_norm", "_own").alias("_norm"),
+        F.coalesce("_hot_terms", "_count").alias("_terms"),
     )
-    back = norms.select(doc, "_norm", F.explode("_slices").alias("_slice"))
-    return spread.join(back, [doc, "_slice"]).select(*carried, "_norm")
 
 
 def relevance(weights: DataFrame, doc: str = "doc") -> DataFrame:
@@ -166,7 +178,7 @@ def relevance_batch(
         norm = F.sqrt(F.sum("_squares").over(Window.partitionBy(doc)))
         matched = grouped.withColumn("_norm", norm).join(F.broadcast(queries), "term")
     else:
-        asked = _with_norm(weights, tf, doc, keep=["asked"]).filter("asked")
+        asked = with_norm(weights, tf, doc, keep=["asked"]).filter("asked")
         asked = asked.select(doc, "term", "_norm", F.col("tfidf").alias("_tfidf"))
         matched = sliced_join(asked, queries, "term", spread=doc)
     sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("_tfidf").alias("_dot"))

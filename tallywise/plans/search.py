@@ -11,12 +11,14 @@ from tallywise.operators import (
     mark_asked,
     normalize,
     relevance,
-    relevance_batch,
     term_frequency,
     tfidf,
     top_k,
 )
+from tallywise.operators.pruned import prune_scores, size_class, term_bounds
+from tallywise.operators.tfidf import with_norm
 from tallywise.plans.words import StopWords
+from tallywise.session import Scratch, written
 
 
 def document_weights(
@@ -30,9 +32,9 @@ def document_weights(
 
     ``n_docs`` is the number of documents, by default those in ``docs``.
     """
-    tf = term_frequency(docs, doc, text, stop)
+    tf = written(term_frequency(docs, doc, text, stop), "terms")
     total = count_documents(docs, doc) if n_docs is None else n_docs
-    weights = tfidf(tf, document_frequency(tf), total)
+    weights = tfidf(tf, document_frequency(tf), total, doc=doc)
     return normalize(weights, tf, doc, keep=["tf", "df", "tfidf"])
 
 
@@ -48,7 +50,7 @@ def score_documents(
     tf = term_frequency(docs, doc, text, stop)
     total = count_documents(docs, doc) if n_docs is None else n_docs
     stats = mark_asked(document_frequency(tf), terms)
-    return relevance(tfidf(tf, stats, total), doc)
+    return relevance(tfidf(tf, stats, total, doc=doc), doc)
 
 
 def search(
@@ -78,10 +80,22 @@ def search_batch(
     small: bool | None = None,
 ) -> DataFrame:
     """(query_id, score, doc): as :func:`search` for each query; ``queries`` is distinct
-    (query_id, term). Not ordered."""
-    tf = term_frequency(docs, doc, text, stop)
+    (query_id, term). Not ordered. Documents that can't be among the best are left out before they are
+    scored (:func:`tallywise.operators.pruned.prune_scores`). ``small`` says whether the queries fit a
+    broadcast; unless given they are counted."""
+    scratch = Scratch(docs.sparkSession)
+    tf = scratch.write(term_frequency(docs, doc, text, stop), "terms")
     total = count_documents(docs, doc) if n_docs is None else n_docs
     stats = mark_asked(document_frequency(tf), queries.select("term"))
-    weights = tfidf(tf, stats, total)
-    scores = relevance_batch(weights, queries, tf, query_id, doc, small)
-    return top_k(scores, k, score="score", item=doc, by=[query_id]).select(query_id, "score", doc)
+    weights = with_norm(tfidf(tf, stats, total, doc=doc), tf, doc, keep=["asked"])
+    postings = scratch.write(postings_of(weights.filter("asked"), doc), "postings")
+    bounds = scratch.write(term_bounds(postings), "bounds")
+    found = prune_scores(postings, bounds, queries, k, scratch, query_id, doc, small)
+    return top_k(found.scores, k, score="score", item=doc, by=[query_id]).select(query_id, "score", doc)
+
+
+def postings_of(weights: DataFrame, doc: str, *more: Column) -> DataFrame:
+    """(term, ``doc``, tfidf, norm, size, *more) of weights with the norm and number of terms of their
+    document."""
+    own = (F.col("_norm").alias("norm"), size_class("_terms").alias("size"))
+    return weights.select("term", doc, "tfidf", *own, *more)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallywise.registry.registered import BUCKETS, KEYWORDS, STOP_WORDS
+from tallywise.registry.registered import BUCKETS, FEW, KEYWORDS, MOST_ROUNDS, STOP_WORDS, TOLERANCE
 
 DELIMITERS = r"[ \t\n\r\f]+"
 
@@ -39,10 +39,16 @@ WEIGHTS = f"""{KEPT},
     select doc_id, term, case when norm = 0 then 0.0 else tfidf / norm end as weight
     from weighted join norms using (doc_id))"""
 
-RELEVANCE = f"""{WEIGHTS},
-  scores as (
+
+
+def _scores(name: str, keywords: list[str]) -> str:
+    return f"""
+  {name} as (
     select doc_id, round(sum(weight), 9) as score from normalized
-    where term in (select col0 from (values {_values(KEYWORDS)})) group by doc_id)"""
+    where term in (select col0 from (values {_values(keywords)})) group by doc_id)"""
+
+
+RELEVANCE = f"{WEIGHTS}, {_scores('scores', KEYWORDS)}"
 
 SIDES = f"""
   {STOP},
@@ -117,6 +123,9 @@ def oracle_sql() -> dict[str, str]:
               from documents group by lang)""",
         "tokenize": _tokens(),
         "word_count": f"select word, count(*) as n from ({_tokens()}) group by word",
+        "word_count_ordered": f"""
+            select word, n, row_number() over (order by word) as place from (
+              select word, count(*) as n from ({_tokens()}) group by word)""",
         "tsv_roundtrip": f"select word, count(*) as n from ({_tokens()}) group by word",
         "word_count_union": f"""
             select word, count(*) as n from (
@@ -149,6 +158,12 @@ def oracle_sql() -> dict[str, str]:
             qualify rank() over (order by score desc) <= 3 order by score desc, doc_id""",
         "search_batch": SEARCH_BATCH,
         "search_batch_shuffled": SEARCH_BATCH,
+        "search_index": f"""
+            with {WEIGHTS}, {_scores("many", KEYWORDS)}, {_scores("few", FEW)}
+            select 0 as query, score, doc_id from many qualify rank() over (order by score desc) <= 3
+            union all
+            select 1 as query, score, doc_id from few qualify rank() over (order by score desc) <= 3""",
+        "search_index_batch": SEARCH_BATCH,
         "search_files": f"""
             with {RELEVANCE.replace("doc_id", "bucket").replace("from documents", f"from {BY_BUCKET}")}
             select score, bucket from scores qualify rank() over (order by score desc) <= 3""",
@@ -166,6 +181,18 @@ def oracle_sql() -> dict[str, str]:
             with {_rounds(PART_SUPPLIER, 1)} select id, round(rank, 9) as rank from r1""",
         "pagerank": f"""
             with {_rounds(PART_SUPPLIER, 10)} select id, round(rank, 9) as rank from r10""",
+        "pagerank_tol": f"""
+            with recursive {_rounds(PART_SUPPLIER, 0)},
+            loop as (
+              select id, rank, 0 as round, cast('inf' as double) as change from r0
+              union all
+              select id, rank, round, max(abs(rank - before)) over () from (
+                select p.id, 0.15 / n + 0.85 * coalesce(s, 0) as rank, p.rank as before, p.round + 1 as round
+                from loop p cross join total left join (
+                  select e.dst, sum(q.rank / d.out_degree) as s
+                  from edges e join degrees d on d.src = e.src join loop q on q.id = e.src group by e.dst) c on c.dst = p.id
+                where p.change > {TOLERANCE} and p.round < {MOST_ROUNDS}))
+            select id, round(rank, 9) as rank from loop where round = (select max(round) from loop)""",
         "pagerank_dangling": f"""
             with {_rounds(CUSTOMER_NATION_REGION, 10)}
             select id, round(rank, 9) as rank from r10""",

@@ -13,12 +13,15 @@ from tallywise.functions import stable, words
 from tallywise.operators.tokens import word_list
 from tallywise.plans import files as programs
 from tallywise.plans.search import score_documents
-from tallywise.session import scratch_path
+from tallywise.session import Scratch, scratch_path, written
 
 # Parameters of the queries, the same in the oracle SQL.
 STOP_WORDS = ["the", "of", "and", "to", "in", "a", "is", "that"]
 KEYWORDS = ["thon", "erin", "und", "dans", "heing", "rely", "the"]
+FEW = ["erin", "dans"]
 BUCKETS = 50
+TOLERANCE = 1.0
+MOST_ROUNDS = 40
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,12 +111,12 @@ def term_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 def doc_frequency(spark: SparkSession, sf: str) -> DataFrame:
     tf = _term_frequency(spark, sf)
-    joined = op.with_document_frequency(tf, op.document_frequency(tf))
+    joined = op.with_document_frequency(tf, op.document_frequency(tf), doc="doc_id")
     return joined.select("doc_id", "term", "tf", "df")
 
 
 def _weights(spark: SparkSession, sf: str, tf: DataFrame) -> DataFrame:
-    return op.tfidf(tf, op.document_frequency(tf), _n_docs(spark, sf))
+    return op.tfidf(tf, op.document_frequency(tf), _n_docs(spark, sf), doc="doc_id")
 
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +125,7 @@ def tfidf(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tfidf_normalized(spark: SparkSession, sf: str) -> DataFrame:
-    tf = _term_frequency(spark, sf)
+    tf = written(_term_frequency(spark, sf), "terms")
     weights = op.normalize(_weights(spark, sf, tf), tf, doc="doc_id")
     return weights.select("doc_id", "term", stable("weight").alias("weight"))
 
@@ -171,6 +174,23 @@ def search_batch_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return search_batch(spark, sf, small=False)
 
 
+def search_index(spark: SparkSession, sf: str) -> DataFrame:
+    """An index of all documents, written once and asked twice, for KEYWORDS and for FEW."""
+    path = scratch_path(spark, "search_index")
+    plans.write_index(_documents(spark, sf), path, doc="doc_id", stop=STOP_WORDS)
+    index = plans.open_index(spark, path)
+    found = [index.search(word_list(spark, asked, "term"), k=3) for asked in (KEYWORDS, FEW)]
+    numbered = [f.select(F.lit(i).alias("query"), "score", "doc_id") for i, f in enumerate(found)]
+    return numbered[0].unionByName(numbered[1])
+
+
+def search_index_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """The items of ``benchmark`` asked of an index of all documents."""
+    path = scratch_path(spark, "search_index")
+    plans.write_index(_documents(spark, sf), path, doc="doc_id", stop=STOP_WORDS)
+    return plans.open_index(spark, path).search_batch(query_terms(spark, sf), k=3, query_id="item_id")
+
+
 def search_files(spark: SparkSession, sf: str) -> DataFrame:
     """The search program on all texts, written to BUCKETS files, each of which is a document."""
     folder = scratch_path(spark, "search_files")
@@ -269,6 +289,17 @@ def pagerank(spark: SparkSession, sf: str) -> DataFrame:
     return ranks.select("id", stable("rank").alias("rank"))
 
 
+def pagerank_tol(spark: SparkSession, sf: str) -> DataFrame:
+    """Rounds until no rank changes by more than TOLERANCE."""
+    ranks = op.pagerank(*_part_supplier(spark, sf), iterations=MOST_ROUNDS, tol=TOLERANCE)
+    return ranks.select("id", stable("rank").alias("rank"))
+
+
+def word_count_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """The word counts in the order of the words, each with its place in it."""
+    return op.number_rows(word_count(spark, sf), ["word"], Scratch(spark))
+
+
 def pagerank_dangling(spark: SparkSession, sf: str) -> DataFrame:
     ranks = op.pagerank(*_customer_nation_region(spark, sf))
     return ranks.select("id", stable("rank").alias("rank"))
@@ -294,6 +325,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         text_scan,
         tokenize,
         word_count,
+        word_count_ordered,
         tsv_roundtrip,
         word_count_union,
         stopword_filter,
@@ -311,6 +343,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_documents,
         search_batch,
         search_batch_shuffled,
+        search_index,
+        search_index_batch,
         search_files,
         graph_edges,
         adjacency_roundtrip,
@@ -318,6 +352,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pagerank_contribs,
         pagerank_step,
         pagerank,
+        pagerank_tol,
         pagerank_dangling,
         ranked_adjacency_roundtrip,
     ]
