@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,13 @@ def _table(ids: DataFrame) -> np.ndarray:
     return tables.total(dealt.mapInArrow(_flags, tables.SCHEMA), FLAGS // 8, "uint8", np.bitwise_or)
 
 
+def _prefix_table(docs: DataFrame, prefixes: Callable, least: int) -> np.ndarray:
+    """The bits of the keys of all prefixes that are counted ``least`` times or more."""
+    packed = docs.mapInArrow(prefixes, "part long, keys binary, counts binary")
+    packed = packed.repartition("part").sortWithinPartitions("part")
+    return _table(packed.mapInArrow(_often(least), "id long"))
+
+
 def _marked(ids: np.ndarray, flags: np.ndarray) -> np.ndarray:
     at = ids % np.uint64(FLAGS)
     return (flags[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -87,10 +94,23 @@ def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[heads], np.add.reduceat(n, heads) if len(heads) else n
 
 
-def _prefixes(flags: np.ndarray, bits: int):
-    """The prefixes of two words that may both be frequent, counted: a row for each part, the first ``bits``
-    bits of a prefix's key, with the 32 bits after them and the counts as arrays. Packed like this a
-    prefix takes some four bytes of a shuffle."""
+def _links(ids: np.ndarray, on: np.ndarray, known: np.ndarray, paired: np.ndarray, bits: int) -> np.ndarray:
+    """Whether a word and the next one in its piece may be a frequent pair; DEPTH more at the end are not."""
+    link = np.zeros(len(ids) + DEPTH, bool)
+    at = np.flatnonzero(on[1:])
+    at = at[_marked(ids[at], known) & _marked(ids[at + 1], known)]
+    link[at[_marked(_key(_pair(ids[at], ids[at + 1]), bits), paired)]] = True
+    return link
+
+
+def _triple(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return _pair(_pair(ids[at], ids[at + 1]), ids[at + 2])
+
+
+def _prefixes(known: np.ndarray, bits: int, paired: np.ndarray | None = None):
+    """The prefixes that may be frequent as far as is known, of two words or, with a table of pairs, of three,
+    counted: a row for each part, the first ``bits`` bits of a prefix's key, with the 32 bits after them
+    and the counts as arrays. Packed like this a prefix takes some four bytes of a shuffle."""
 
     def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         keys, n = _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -104,9 +124,14 @@ def _prefixes(flags: np.ndarray, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for *_, ids, on in _ids(batches):
-            known = _marked(ids, flags)
-            at = np.flatnonzero(on[1:] & known[1:] & known[:-1])
-            held.append(np.unique(_key(_pair(ids[at], ids[at + 1]), bits), return_counts=True))
+            if paired is None:
+                marked = _marked(ids, known)
+                at = np.flatnonzero(on[1:] & marked[1:] & marked[:-1])
+                found = _pair(ids[at], ids[at + 1])
+            else:
+                link = _links(ids, on, known, paired, bits)
+                found = _triple(ids, np.flatnonzero(link[:-1] & link[1:]))
+            held.append(np.unique(_key(found, bits), return_counts=True))
             if sum(len(n) for _, n in held) >= HELD:
                 yield packed(held)
                 held = []
@@ -145,22 +170,22 @@ def _often(least: int):
     return run
 
 
-def _suffixes(known: np.ndarray, paired: np.ndarray, bits: int):
-    """Each suffix up to DEPTH words, as far as its pairs may be frequent, counted within a slice. Rows with
-    ``word`` spell the id in ``w1``."""
+def _suffixes(known: np.ndarray, paired: np.ndarray, tripled: np.ndarray, bits: int):
+    """Each suffix up to DEPTH words, as far as its pairs and triples may be frequent, counted within a
+    slice. Rows with ``word`` spell the id in ``w1``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, starts, ends, text, ids, on in _ids(batches):
-            link = np.zeros(len(ids) + DEPTH, bool)  # whether the next word goes on
-            at = np.flatnonzero(on[1:])
-            at = at[_marked(ids[at], known) & _marked(ids[at + 1], known)]
-            link[at[_marked(_key(_pair(ids[at], ids[at + 1]), bits), paired)]] = True
+            link = _links(ids, on, known, paired, bits)
+            at = np.flatnonzero(link[:-1] & link[1:])
+            further = np.zeros(len(link), bool)  # whether the next two words go on
+            further[at[_marked(_key(_triple(ids, at), bits), tripled)]] = True
             first = np.flatnonzero(link)
             rows = np.zeros((DEPTH, len(first)), np.uint64)
-            rows[0] = ids[first]
+            rows[0], rows[1] = ids[first], ids[first + 1]
             alive = np.ones(len(first), bool)
-            for i in range(1, DEPTH):
-                alive &= link[first + i - 1]
+            for i in range(2, DEPTH):
+                alive &= further[first + i - 2]
                 rows[i, alive] = ids[first[alive] + i]
             key = rows[0]
             for i in range(1, DEPTH):
@@ -248,10 +273,10 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     more in ``docs`` (lang, text); ``vocabulary`` (id, lang, word, n) of the words in them and others;
     and ``totals`` (lang, n), the number of all words.
 
-    The texts are read three times: words are counted, then prefixes of two words that are frequent, then
-    suffixes are cut where a pair is not, so that a suffix is as deep as a frequent phrase may reach from
-    its place. A task that reads texts knows frequent words and pairs by bits of a table of fixed
-    size, and what it lets through too much, be it by the table or by a prefix's key of 32 bits and
+    The texts are read four times: words are counted, then prefixes of two words, then of three, extended
+    where they are frequent; then suffixes are cut where a pair or triple is not, so that a suffix is as
+    deep as a frequent phrase may reach from its place. A task that reads texts knows what is frequent
+    by bits of tables of fixed size, and what it lets through too much, be it by the table or by a prefix's key of 32 bits and
     more, is counted later like the rest. Suffixes go to a task by their
     prefix, the rows of a prefix within ``memory`` or extended until they are; there the subtrees of
     the prefixes are built in groups of about ``memory`` rows, each group by itself.
@@ -263,12 +288,11 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 100, memory
     # About PART prefixes share a part, which a task holds.
     spoken = counted.filter("lang is not null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = min(max((spoken // PART).bit_length(), 6), 31)
-    packed = docs.mapInArrow(_prefixes(known, bits), "part long, keys binary, counts binary")
-    packed = packed.repartition("part").sortWithinPartitions("part")
-    paired = _table(packed.mapInArrow(_often(least), "id long"))
+    paired = _prefix_table(docs, _prefixes(known, bits), least)
+    tripled = _prefix_table(docs, _prefixes(known, bits, paired), least)
 
     # Equal suffixes of a task become one before they are shuffled, and then one of all.
-    suffixes = docs.mapInArrow(_suffixes(known, paired, bits), SUFFIX).groupBy(*NAMED[:-1]).agg(F.sum("n").alias("n"))
+    suffixes = docs.mapInArrow(_suffixes(known, paired, tripled, bits), SUFFIX).groupBy(*NAMED[:-1]).agg(F.sum("n").alias("n"))
     suffixes = scratch.write(suffixes, "suffixes")
     vocabulary = suffixes.filter("word is not null").select(F.col("w1").alias("id"), "lang", "word").join(frequent, "id")
     suffixes = suffixes.filter("word is null").drop("lang", "word")
