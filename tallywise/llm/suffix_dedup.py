@@ -120,12 +120,38 @@ def _twice(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.filter(pa.array(keep))
 
 
+def _over(core: np.ndarray, hull: np.ndarray) -> np.ndarray:
+    """Which rows are the third of their class or later."""
+    order = np.lexsort((hull, core))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (core[order][1:] != core[order][:-1]) | (hull[order][1:] != hull[order][:-1])
+    heads = np.flatnonzero(fresh)
+    over = np.zeros(len(order), bool)
+    over[order] = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order)))) >= 2
+    return over
+
+
 def _sampled(length: int):
+    """The samples of texts as rows. A class of which a piece of text has more than two rows is repeated, as
+    in a text that goes round in circles. Two of them come out, and instead of the others the ranges
+    of their starts, each as one row twice with a core of its own, so that no rank has them all."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in words.slices(_twice(batch), "text"):
                 d1, d2 = part["d1"].to_numpy(), part["d2"].to_numpy()
                 for doc, at, lo, hi, core, hull in samples(data, offsets, length):
+                    over = _over(core, hull)
+                    of, begin, until = doc[over], (at - hi)[over], (at - lo + 1)[over]
+                    head = np.ones(len(of), bool)
+                    head[1:] = (of[1:] != of[:-1]) | (begin[1:] != until[:-1])
+                    heads = np.flatnonzero(head)
+                    of, begin, until = of[heads], begin[heads], until[np.append(heads[1:], len(until))[: len(heads)] - 1]
+                    own = words.mix((d1[of] ^ d2[of]).view(np.uint64) + begin.astype(np.uint64) * M1).view(np.int64)
+                    of, begin, until, own = (np.repeat(x, 2) for x in (of, begin, until, own))
+                    rest = ~over
+                    doc, at, lo, hi = (np.concatenate([x[rest], y]) for x, y in ((doc, of), (at, begin), (lo, begin - until + 1), (hi, 0 * begin)))
+                    core, hull = np.concatenate([core[rest], own]), np.concatenate([hull[rest], until])
                     small = (x.astype(np.int32) for x in (at, lo, hi))
                     columns = [core, hull, d1[doc], d2[doc], *small, np.zeros(len(doc), bool)]
                     yield pa.record_batch([*map(pa.array, columns), pa.nulls(len(doc), pa.binary())], NAMES)
@@ -284,7 +310,7 @@ def repeated_strings(texts: DataFrame, scratch: Scratch, length: int = 200) -> D
     Cores and hulls are 64-bit names of their own, so that what counts as equal agrees in both. A core that
     many rows share is spread by the hull, and its rows go on even if they are alone in their part. Of
     copies of a text that a task reads together, two are sampled (:func:`_twice`), so that a rank has no
-    more than two rows with one hull from each batch.
+    more than two rows with one hull from each piece of a batch (:func:`_sampled`).
     """
     wide = width(length)
     hot, _ = _hot(texts.sample(SHARE, seed=1).mapInArrow(_sampled(length), CELL))

@@ -85,6 +85,19 @@ def test_of_many_copies_two_are_sampled():
     assert len(suffix_dedup._twice(batch.slice(0, 0))) == 0
 
 
+def test_texts_that_go_round_in_circles(spark, monkeypatch):
+    """Thousands of equal ranks in a text, cut off in the middle and between pieces."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1500)
+    rows = [
+        (1, "x" + "a" * 4000 + "y", "", 0, ""), (2, "abc" * 1700 + "Q" + "abc" * 30, "", 0, ""), (3, "the same line\n" * 250, "", 0, ""),
+        (4, "tail " + "the same line\n" * 20 + "end", "", 0, ""), (5, "a" * 39 + "b" + "a" * 41, "", 0, ""),
+    ]
+    got = dedup_substrings(spark.createDataFrame(rows, SCHEMA), Scratch(spark), 40)
+    assert rows_of(got) == sorted(brute(rows, 40), key=repr)
+    batch = pa.record_batch([pa.array([1]), pa.array([1]), pa.array(["a" * 100_000])], ["d1", "d2", "text"])
+    assert sum(len(b) for b in suffix_dedup._sampled(40)([batch])) < 1000
+
+
 def test_empty_table_and_long_text(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert dedup_substrings(empty, Scratch(spark)).collect() == []
