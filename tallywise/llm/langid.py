@@ -20,6 +20,7 @@ SCRIPTS = (
 N_SCRIPTS = 14
 CELLS = 1 << 17
 BLOCK = 256
+TEXTS = 1024  # of a slice
 MAX_LANGUAGES = 256
 
 
@@ -152,40 +153,50 @@ def viterbi(scores: np.ndarray, at: np.ndarray, penalty: float) -> np.ndarray:
     return labels[np.arange(BLOCK) < size[:, None]]
 
 
-def _predict(languages: list[str], logs: np.ndarray, written: np.ndarray, penalty: float):
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of TEXTS texts at most, as each takes a block of words however short it is."""
+    for batch in batches:
+        for first in range(0, len(batch), TEXTS):
+            yield from words.slices(batch.slice(first, TEXTS), "text")
+
+
+def _predict(languages: list[str], logs: np.ndarray, written: np.ndarray, penalty: float, keep: list[str] | None):
+    """With ``keep``, the rows of those columns and the language; else the id and the spans too."""
     names = np.array([*languages, "und"], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter = _letters()
-        for batch in batches:
-            for part, data, offsets in words.slices(batch, "text"):
-                k = len(languages)
-                _, sizes, script, cells, at = _features(data, offsets, letter)
-                heads = np.cumsum(sizes) - sizes
-                scores = np.zeros((len(sizes), k), np.float32)
-                if len(sizes):
-                    for i in range(k):
-                        scores[:, i] = np.add.reduceat(logs[cells, i], heads)
-                    scores[~written[:, script].T] = -1e4
-                labels = viterbi(scores, at, penalty) if k else np.zeros(0, np.int64)
-                share = np.zeros((len(part), max(k, 1)))
-                text = np.repeat(np.arange(len(part)), np.diff(at))[: len(labels)]
-                if k:
-                    np.add.at(share, (text, labels), sizes)
-                all_bytes = share.sum(1)
-                main = np.where(all_bytes > 0, share.argmax(1), k)
-                score = share.max(1) / np.maximum(all_bytes, 1)
-                change = np.ones(len(labels), bool)
-                change[1:] = (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])
-                begin = np.flatnonzero(change)
-                last = np.append(begin[1:], len(labels))
-                of = text[begin]
-                spans = pa.StructArray.from_arrays(
-                    [pa.array(names[labels[begin]], pa.string()), pa.array(begin - at[of]), pa.array(last - at[of])],
-                    ["lang", "first_word", "last_word"],
-                )
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(part) + 1)).astype(np.int32)), spans)
-                yield pa.record_batch([part.column("id"), pa.array(names[main], pa.string()), pa.array(score), lists], ["id", "lang_pred", "score", "spans"])
+        for part, data, offsets in _few(batches):
+            k = len(languages)
+            _, sizes, script, cells, at = _features(data, offsets, letter)
+            heads = np.cumsum(sizes) - sizes
+            scores = np.zeros((len(sizes), k), np.float32)
+            if len(sizes):
+                for i in range(k):
+                    scores[:, i] = np.add.reduceat(logs[cells, i], heads)
+                scores[~written[:, script].T] = -1e4
+            labels = viterbi(scores, at, penalty) if k else np.zeros(0, np.int64)
+            share = np.zeros((len(part), max(k, 1)))
+            text = np.repeat(np.arange(len(part)), np.diff(at))[: len(labels)]
+            if k:
+                np.add.at(share, (text, labels), sizes)
+            all_bytes = share.sum(1)
+            main = np.where(all_bytes > 0, share.argmax(1), k)
+            score = share.max(1) / np.maximum(all_bytes, 1)
+            if keep is not None:
+                yield pa.record_batch([*(part[k] for k in keep), pa.array(names[main], pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
+                continue
+            change = np.ones(len(labels), bool)
+            change[1:] = (labels[1:] != labels[:-1]) | (text[1:] != text[:-1])
+            begin = np.flatnonzero(change)
+            last = np.append(begin[1:], len(labels))
+            of = text[begin]
+            spans = pa.StructArray.from_arrays(
+                [pa.array(names[labels[begin]], pa.string()), pa.array(begin - at[of]), pa.array(last - at[of])],
+                ["lang", "first_word", "last_word"],
+            )
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(part) + 1)).astype(np.int32)), spans)
+            yield pa.record_batch([part.column("id"), pa.array(names[main], pa.string()), pa.array(score), lists], ["id", "lang_pred", "score", "spans"])
 
     return run
 
@@ -205,7 +216,18 @@ def identify(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     spans = "array<struct<lang:string,first_word:long,last_word:long>>"
     schema = f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double, spans {spans}"
-    return rows.mapInArrow(_predict(*model, penalty), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_predict(*model, penalty, None), schema).withColumnRenamed("id", id_col)
+
+
+def with_language(
+    docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], penalty: float = 6.0, text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` as :func:`identify` finds them, each row by itself, so that
+    nothing is joined. Columns of these two names must not be there."""
+    rows = docs.withColumnRenamed(text_col, "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    found = rows.mapInArrow(_predict(*model, penalty, rows.columns), f"{schema}, lang_pred string, score double")
+    return found.withColumnRenamed("text", text_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
