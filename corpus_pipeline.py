@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywise.llm.decontaminate import find_leaks
 from tallywise.llm.jaccard_join import jaccard_components
-from tallywise.llm.langid import identify, train
+from tallywise.llm.langid import train, with_language
 from tallywise.llm.line_dedup import dedup_lines
 from tallywise.llm.registered import bpe_digests
 from tallywise.session import Scratch
@@ -34,11 +34,10 @@ def _once(rows: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those of which no language has LEAST_SHARE, go. ``lang`` is
     the language found. Of rows that repeat doc_id and text one stays, here and in the next stages."""
-    rows = _rows(docs)
-    found = identify(rows, train(docs), id_col="row").filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
-    found = found.groupBy("row").agg(F.min("lang_pred").alias("found"))
-    joined = _once(rows).join(found, "row")
-    return joined.withColumn("lang", F.col("found")).select(*COLUMNS)
+    rows = docs.select(*COLUMNS)
+    found = with_language(rows, train(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    kept = Scratch(spark).write(found.drop("lang").withColumnRenamed("lang_pred", "lang").select(*COLUMNS), "language")
+    return _once(_rows(kept)).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
