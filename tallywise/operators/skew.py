@@ -98,18 +98,14 @@ def sliced_join(
 
 
 def drop_keys(
-    rows: DataFrame, keys: DataFrame, key: str, small: bool | None = None, max_hot: int = MAX_HOT
+    rows: DataFrame, keys: DataFrame, key: str, small: bool | None = None
 ) -> DataFrame:
     """``rows`` whose ``key`` is not in ``keys`` (a frame with that one column).
 
-    A list within the broadcast bound is a broadcast anti-join. A longer one is shuffled, after
-    the hot keys of ``rows`` were settled by a broadcast of the hot keys only.
+    A list within the broadcast bound is a broadcast anti-join. A longer one is joined by shuffle, for
+    which ``rows`` is made once; where a key is hot, adaptive execution splits its rows among tasks, as
+    the join keeps or drops each by itself.
     """
     if small if small is not None else fits_broadcast(keys):
         return rows.join(F.broadcast(keys), key, "left_anti")
-    hot = hot_keys(rows, key, max_hot)
-    tagged = rows.join(F.broadcast(hot), key, "left")
-    listed = F.broadcast(hot.select(key).join(keys, key, "left_semi"))
-    of_hot = tagged.filter(F.col("_hot").isNotNull()).join(listed, key, "left_anti")
-    of_rest = tagged.filter(F.col("_hot").isNull()).join(keys, key, "left_anti")
-    return of_hot.unionByName(of_rest).select(rows.columns)
+    return rows.join(keys.hint("merge"), key, "left_anti").select(rows.columns)

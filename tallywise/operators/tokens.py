@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.functions import words
-from tallywise.operators.skew import MAX_BROADCAST_ROWS, drop_keys
+from tallywise.operators.skew import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, drop_keys
+
+MAX_LITERALS = 500
 
 
 def tokenize(
@@ -19,8 +21,10 @@ def tokenize(
 
 
 def word_list(spark: SparkSession, items: Iterable[str], word: str = "word") -> DataFrame:
-    """A one-column frame of the distinct ``items``, kept as a literal in the plan."""
+    """A one-column frame of the distinct ``items``. A short list is a literal in the plan."""
     distinct = sorted(set(items))
+    if len(distinct) > MAX_LITERALS:
+        return spark.createDataFrame([(item,) for item in distinct], f"`{word}` string")
     literal = F.array(*[F.lit(item) for item in distinct]).cast("array<string>")
     return spark.range(1).select(F.explode(literal).alias(word))
 
@@ -38,8 +42,8 @@ def drop_stop_words(
     items = set(stop)
     if not items:
         return tokens
-    listed = word_list(tokens.sparkSession, items, word)
-    return drop_keys(tokens, listed, word, small=True if len(items) <= MAX_BROADCAST_ROWS else None)
+    small = len(items) <= MAX_BROADCAST_ROWS and sum(len(i.encode()) for i in items) <= MAX_BROADCAST_BYTES
+    return drop_keys(tokens, word_list(tokens.sparkSession, items, word), word, small)
 
 
 def query_terms(queries: DataFrame, query_id: str, text: str = "text") -> DataFrame:

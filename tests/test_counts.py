@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import plan_of, rows
+from conftest import nodes_of, plan_of, rows
 
 from tallywise import operators as op
 from tallywise import plans
@@ -77,11 +77,24 @@ def test_long_stop_list_is_not_broadcast_whole(spark):
     words = [("hot",)] * 400 + [("warm",)] * 300 + [(f"w{i}",) for i in range(300)]
     tokens = spark.createDataFrame(words, "word string")
     stop = spark.createDataFrame([("warm",), ("w5",), ("w7",), ("absent",)], "word string")
-    kept = drop_keys(tokens, stop, "word", small=False, max_hot=10)
+    kept = drop_keys(tokens, stop, "word", small=False)
     want = Counter(w for (w,) in words if w not in {"warm", "w5", "w7"})
     assert Counter(w for (w,) in rows(kept)) == want
 
 
+def test_long_stop_list_reads_the_texts_once(spark, monkeypatch):
+    from tallywise.operators import skew, tokens
+
+    monkeypatch.setattr(tokens, "drop_keys", lambda *a: skew.drop_keys(*a[:3], small=False))
+    listed = [f"w{i}" for i in range(1000)]
+    found = op.drop_stop_words(op.tokenize(texts(spark, ["w1 w2 x", "x w999 y w1000"])), listed)
+    found._jdf.queryExecution().toRdd().count()
+    plan = list(nodes_of(found._jdf.queryExecution().executedPlan()))
+    assert [n.nodeName() for n in plan].count("Generate") == 1
+    assert any(n.nodeName() == "SortMergeJoin" and "LeftAnti" in n.verboseString(99) for n in plan)
+    assert rows(found) == [("w1000",), ("x",), ("x",), ("y",)]
+
+
 def test_stop_word_plan(spark):
     plan = plan_of(plans.count_words(texts(spark, A), stop=STOP))
     assert "BroadcastHashJoin [word" in plan and "LeftAnti" in plan
