@@ -163,7 +163,7 @@ def find_leaks(
     id_type, item_type = (x.dataType.simpleString() for x in (rows.schema["id"], tests.schema["item"]))
     seeds = tests.mapInArrow(_seeds(n), f"seed long, item {item_type}, item_pos int, item_size int, item_words binary")
     seeds = scratch.write(seeds, "seeds")
-    flags = tables.total(seeds.select("seed").mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8")
+    flags = tables.total(seeds.select("seed").mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8", np.bitwise_or)
     hits = scratch.write(rows.mapInArrow(_hits(n, flags), f"id {id_type}, key long, seed long, pos int"), "hits")
 
     counted = hits.filter("seed is not null").groupBy("seed").agg(F.count("*").alias("n"))
@@ -182,7 +182,7 @@ def find_leaks(
     pairs = pairs.select("key", "item", "item_words", low.alias("low"), (low + F.col("item_size") + 3 * F.col("slack")).alias("high"))
     pairs = scratch.write(pairs, "pairs")
 
-    flags = tables.total(pairs.select("key").mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8")
+    flags = tables.total(pairs.select("key").mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8", np.bitwise_or)
     bodies = rows.select("text").mapInArrow(_bodies(n, flags), "key long, body binary").groupBy("key").agg(F.first("body").alias("body"))
     aligned = pairs.join(bodies, "key").select("key", "item", "item_words", "low", "high", "body")
     aligned = aligned.mapInArrow(_align, f"key long, item {item_type}, score double, first long, last long")

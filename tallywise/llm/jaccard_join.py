@@ -279,7 +279,7 @@ def _all_links(members: DataFrame, percent: int, pairs: bool) -> DataFrame:
 def _sets_of(classes: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Scratch, n: int) -> DataFrame:
     """The sets (cls, s) of the classes, and some others, as a table."""
     ends = classes.join(copies, "cls").select("copy")
-    flags = tables.total(ends.mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8")
+    flags = tables.total(ends.mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8", np.bitwise_or)
     sets = texts.mapInArrow(_wanted(n, flags), "cls long, shingles binary")
     return scratch.write(sets.groupBy("cls").agg(F.first("shingles").alias("s")), "sets")
 

@@ -17,6 +17,7 @@ MAGIC = b"\x1f\x8b\x08"
 #: A gzip member without content. It stands between two records, as the text sink needs a separator.
 EMPTY = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+MAX_TASKS = 1 << 16  # that read ranges
 RANGE = 8 << 20
 READ = 256 << 10
 
@@ -166,6 +167,7 @@ def read_warc(spark: SparkSession, path: str, columns: tuple[str, ...] = ()) ->
     """
     files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
     ranges = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(RANGE))).alias("start"))
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    # A given number of partitions stays one; rows of a few bytes would else all be put into one task.
+    ranges = ranges.repartition(max(min(ranges.count(), MAX_TASKS), 1), "path", "start")
     schema = "page string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary"
     return ranges.select("path", F.col("start").cast("long"), "length").mapInArrow(_read, schema)

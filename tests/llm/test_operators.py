@@ -304,6 +304,19 @@ def test_warc(spark):
     assert read_warc(spark, empty).count() == 0
 
 
+def test_warc_ranges_are_read_in_many_tasks(spark, monkeypatch):
+    """With adaptive execution on, as many partitions as there are ranges, and records in several of them."""
+    monkeypatch.setattr("tallywise.llm.warc.RANGE", 2000)
+    pages = spark.createDataFrame([(i, f"u{i}", random.Random(i).randbytes(600).hex()) for i in range(60)], "page_id long, url string, html string")
+    path = Scratch(spark).path("many")
+    write_warc(pages, path)
+    read = read_warc(spark, path)
+    size = sum(r.length for r in spark.read.format("binaryFile").load(path).select("length").collect())
+    assert read.rdd.getNumPartitions() >= size // 2000
+    used = read.select("page", F.spark_partition_id().alias("p")).collect()
+    assert len({r.page for r in used}) == 60 and len({r.p for r in used}) > size // 2000 // 3
+
+
 def test_warc_of_other_archives(spark, tmp_path):
     """A record that is cut off or corrupt raises with its place; records without an HTTP header come out."""
 
