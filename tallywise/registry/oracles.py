@@ -88,6 +88,10 @@ SEARCH_BATCH = f"""
   select item_id, score, doc_id from scores
   qualify rank() over (partition by item_id order by score desc) <= 3"""
 
+BY_ROOT = """(
+  select doc_id % (select ceil(sqrt(count(*)))::bigint from documents where text is not null and doc_id is not null) as bucket, text
+  from documents where text is not null and doc_id is not null)"""
+
 BY_BUCKET = f"(select doc_id % {BUCKETS} as bucket, text from documents where text is not null)"
 
 
@@ -167,6 +171,13 @@ def oracle_sql() -> dict[str, str]:
         "search_files": f"""
             with {RELEVANCE.replace("doc_id", "bucket").replace("from documents", f"from {BY_BUCKET}")}
             select score, bucket from scores qualify rank() over (order by score desc) <= 3""",
+        "search_growing_files": f"""
+            with {WEIGHTS.replace("doc_id", "bucket").replace("from documents", f"from {BY_ROOT}")},
+            asked as (
+              select distinct {_words("line")} as term
+              from (select regexp_split_to_array(text, '\r\n|\r|\n')[1] as line from benchmark order by item_id limit 1)),
+            scores as (select bucket, round(sum(weight), 9) as score from normalized join asked using (term) group by bucket)
+            select score, bucket from scores qualify rank() over (order by score desc) <= 3""",
         "graph_edges": f"with {_rounds(PART_SUPPLIER, 0)} {out_degrees}",
         "adjacency_roundtrip": f"with {_rounds(PART_SUPPLIER, 0)} {out_degrees}",
         "adjacency_hub": f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,14 +192,13 @@ def search_index_batch(spark: SparkSession, sf: str) -> DataFrame:
     return plans.open_index(spark, path).search_batch(query_terms(spark, sf), k=3, query_id="item_id")
 
 
-def search_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The search program on all texts, written to BUCKETS files, each of which is a document."""
-    folder = scratch_path(spark, "search_files")
-    docs = sources.read_table(spark, sf, "documents", "doc_id", "text").dropna()
-    bucket = F.pmod(F.col("doc_id"), F.lit(BUCKETS)).cast("int")
-    docs.repartitionById(BUCKETS, bucket).select("text").write.text(f"{folder}/docs")
+def _search_files(spark: SparkSession, docs: DataFrame, files: int, query: DataFrame, name: str) -> DataFrame:
+    """The search program on ``docs`` dealt by id to ``files`` files, each of which is a document."""
+    folder = scratch_path(spark, name)
+    bucket = F.pmod(F.col("doc_id"), F.lit(files)).cast("int")
+    docs.repartitionById(files, bucket).select("text").write.text(f"{folder}/docs")
     word_list(spark, STOP_WORDS, "word").write.text(f"{folder}/stop")
-    word_list(spark, [" ".join(KEYWORDS)], "line").coalesce(1).write.text(f"{folder}/query")
+    query.coalesce(1).write.text(f"{folder}/query")
     inputs = (f"{folder}/docs", f"{folder}/query")
     programs.search_files(spark, *inputs, f"{folder}/found", stop_path=f"{folder}/stop")
     found = sources.read_pairs(spark, f"{folder}/found")
@@ -206,6 +206,22 @@ def search_files(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("key").cast("double").alias("score"), number)
 
 
+def search_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The search program on all texts, written to BUCKETS files."""
+    docs = sources.read_table(spark, sf, "documents", "doc_id", "text").dropna()
+    query = word_list(spark, [" ".join(KEYWORDS)], "line")
+    return _search_files(spark, docs, BUCKETS, query, "search_files")
+
+
+def search_growing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the words of a benchmark item, with as many files as the root of the number of texts, so
+    that rare words still tell files apart when the table grows."""
+    docs = sources.read_table(spark, sf, "documents", "doc_id", "text").dropna()
+    items = sources.read_table(spark, sf, "benchmark", "item_id", "text")
+    query = items.orderBy("item_id").limit(1).select("text")
+    return _search_files(spark, docs, max(ceil(sqrt(docs.count())), 1), query, "search_growing_files")
+
+
 def _part_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Parts and suppliers, linked both ways once for each line item."""
     items = sources.spread(sources.read_table(spark, sf, "lineitem", "l_partkey", "l_suppkey"))
@@ -346,6 +362,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_index,
         search_index_batch,
         search_files,
+        search_growing_files,
         graph_edges,
         adjacency_roundtrip,
         adjacency_hub,
