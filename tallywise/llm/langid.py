@@ -21,6 +21,7 @@ N_SCRIPTS = 14
 CELLS = 1 << 17
 BLOCK = 256
 TEXTS = 1024  # of a slice
+SLICE = 1 << 19  # bytes of a slice, each of which takes some hundred while it is looked at
 MAX_LANGUAGES = 256
 
 
@@ -69,7 +70,7 @@ def _count(languages: list[str]):
         letter, counts = _letters(), np.zeros((len(languages), size), np.int64)
         number = {name: i for i, name in enumerate(languages)}
         for batch in batches:
-            for part, data, offsets in words.slices(batch, "text"):
+            for part, data, offsets in words.slices(batch, "text", SLICE):
                 lang = np.array([number[x] for x in part.column("lang").to_pylist()], np.int64)
                 _, sizes, script, cells, at = _features(data, offsets, letter)
                 of_word = np.repeat(lang, np.diff(at))
@@ -157,7 +158,7 @@ def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np
     """Slices of TEXTS texts at most, as each takes a block of words however short it is."""
     for batch in batches:
         for first in range(0, len(batch), TEXTS):
-            yield from words.slices(batch.slice(first, TEXTS), "text")
+            yield from words.slices(batch.slice(first, TEXTS), "text", SLICE)
 
 
 def _predict(languages: list[str], logs: np.ndarray, written: np.ndarray, penalty: float, keep: list[str] | None):

@@ -31,16 +31,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of a batch with about SLICE_BYTES of text (one row at least), each with the bytes of its
-    texts and their offsets. A null text counts as empty."""
+def slices(batch: pa.RecordBatch, column: str, size: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch with about SLICE_BYTES, or ``size``, of text (one row at least), each with the bytes
+    of its texts and their offsets. A null text counts as empty."""
+    size = size or SLICE_BYTES
     texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
     at = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1 + texts.offset)[texts.offset :]
     data = texts.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first, n = 0, len(texts)
     while first < n:
-        last = int(np.searchsorted(at, at[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(at, at[first] + size, "right")) - 1
         last = min(max(last, first + 1), n)
         yield batch.slice(first, last - first), data[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
