@@ -12,6 +12,7 @@ from tallywise.operators.skew import (
     MAX_HOT,
     SLICES,
     attach_sliced,
+    attach_totals,
     fits_broadcast,
     hot_totals,
     sliced_join,
@@ -61,13 +62,20 @@ def mark_asked(stats: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def with_document_frequency(
-    tf: DataFrame, stats: DataFrame, max_hot: int = MAX_HOT, doc: str | None = None
+    tf: DataFrame,
+    stats: DataFrame,
+    max_hot: int = MAX_HOT,
+    doc: str | None = None,
+    table: bool = False,
 ) -> DataFrame:
     """Attach the term table to each (doc, term) row, balanced when a term is in most documents.
 
     ``doc`` is the column of ``tf`` besides ``term`` and ``tf`` unless it is named. The counts of
-    (doc, term) are made for the term table and for the rows here, and not again for hot terms.
+    (doc, term) are made for the term table and for the rows here, and not again for hot terms. If
+    ``tf`` is a ``table``, it is read for hot terms apart, whose rows then are not shuffled at all.
     """
+    if table:
+        return attach_totals(tf, stats, "term", "df", max_hot)
     spread = doc or next(c for c in tf.columns if c not in ("term", "tf"))
     return attach_sliced(tf, stats, "term", "df", spread, max_hot)
 
@@ -78,11 +86,12 @@ def tfidf(
     n_docs: int | Column,
     max_hot: int = MAX_HOT,
     doc: str | None = None,
+    table: bool = False,
 ) -> DataFrame:
     """Add ``tfidf`` to the rows of :func:`with_document_frequency`."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     weight = tfidf_weight(F.col("tf"), F.col("df"), n)
-    return with_document_frequency(tf, stats, max_hot, doc).withColumn("tfidf", weight)
+    return with_document_frequency(tf, stats, max_hot, doc, table).withColumn("tfidf", weight)
 
 
 def normalize(
@@ -136,6 +145,23 @@ def with_norm(
     )
 
 
+def asked_with_norm(
+    weights: DataFrame, tf: DataFrame, doc: str, max_hot: int = MAX_HOT
+) -> DataFrame:
+    """The rows of :func:`with_norm` whose term is ``asked``. The squares of a document's other terms are
+    added up per task, so that they are not shuffled one by one; the few hot documents go the other way."""
+    sizes = tf.groupBy(doc).agg(F.count_if(F.col("tf") > 0).alias("_terms"))
+    if hot_totals(sizes, doc, "_terms", max_hot).limit(1).count():
+        return with_norm(weights, tf, doc, ["asked"], max_hot).filter("asked").drop("asked")
+    square = F.sum(F.col("tfidf") * F.col("tfidf")).alias("_squares")
+    kept = F.when(F.col("asked"), F.col("term")).alias("term")
+    grouped = weights.groupBy(doc, kept).agg(square, F.sum("tfidf").alias("tfidf"), F.count("*").alias("_n"))
+    same = Window.partitionBy(doc)
+    norm, terms = F.sqrt(F.sum("_squares").over(same)), F.sum("_n").over(same)
+    rows = grouped.select(doc, "term", "tfidf", norm.alias("_norm"), terms.alias("_terms"))
+    return rows.filter(F.col("term").isNotNull())
+
+
 def relevance(weights: DataFrame, doc: str = "doc") -> DataFrame:
     """(doc, score) for one query, from weights whose term table went through :func:`mark_asked`:
     the sum of the normalised weights of the asked terms. Documents without any have no row.

@@ -54,7 +54,7 @@ def write_index(
         rows = stats.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
         shelves = F.ceil(F.col("df") / max(shelf_rows, rows / MAX_HOT)).cast("int").alias("shelves")
         stats = stats.select("term", "df", shelves)
-        weights = with_norm(tfidf(tf, stats, total, doc=doc), tf, doc, keep=["shelves"])
+        weights = with_norm(tfidf(tf, stats, total, doc=doc, table=True), tf, doc, keep=["shelves"])
         shelf = _shelf(F.pmod(F.xxhash64(doc), F.col("shelves")).cast("int"))
         postings = postings_of(weights, doc, shelf.alias("shelf")).repartition(buckets, "shelf")
         table = f"tallywise_{uuid.uuid4().hex}"

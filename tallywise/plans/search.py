@@ -16,7 +16,7 @@ from tallywise.operators import (
     top_k,
 )
 from tallywise.operators.pruned import prune_scores, size_class, term_bounds
-from tallywise.operators.tfidf import with_norm
+from tallywise.operators.tfidf import asked_with_norm
 from tallywise.plans.words import StopWords
 from tallywise.session import Scratch, written
 
@@ -34,7 +34,7 @@ def document_weights(
     """
     tf = written(term_frequency(docs, doc, text, stop), "terms")
     total = count_documents(docs, doc) if n_docs is None else n_docs
-    weights = tfidf(tf, document_frequency(tf), total, doc=doc)
+    weights = tfidf(tf, document_frequency(tf), total, doc=doc, table=True)
     return normalize(weights, tf, doc, keep=["tf", "df", "tfidf"])
 
 
@@ -87,8 +87,9 @@ def search_batch(
     tf = scratch.write(term_frequency(docs, doc, text, stop), "terms")
     total = count_documents(docs, doc) if n_docs is None else n_docs
     stats = mark_asked(document_frequency(tf), queries.select("term"))
-    weights = with_norm(tfidf(tf, stats, total, doc=doc), tf, doc, keep=["asked"])
-    postings = scratch.write(postings_of(weights.filter("asked"), doc), "postings")
+    weights = asked_with_norm(tfidf(tf, stats, total, doc=doc, table=True), tf, doc)
+    postings = scratch.write(postings_of(weights, doc), "postings")
+    scratch.drop(tf)
     bounds = scratch.write(term_bounds(postings), "bounds")
     found = prune_scores(postings, bounds, queries, k, scratch, query_id, doc, small)
     return top_k(found.scores, k, score="score", item=doc, by=[query_id]).select(query_id, "score", doc)

@@ -116,8 +116,8 @@ def doc_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("doc_id", "term", "tf", "df")
 
 
-def _weights(spark: SparkSession, sf: str, tf: DataFrame) -> DataFrame:
-    return op.tfidf(tf, op.document_frequency(tf), _n_docs(spark, sf), doc="doc_id")
+def _weights(spark: SparkSession, sf: str, tf: DataFrame, table: bool = False) -> DataFrame:
+    return op.tfidf(tf, op.document_frequency(tf), _n_docs(spark, sf), doc="doc_id", table=table)
 
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,7 +127,7 @@ def tfidf(spark: SparkSession, sf: str) -> DataFrame:
 
 def tfidf_normalized(spark: SparkSession, sf: str) -> DataFrame:
     tf = written(_term_frequency(spark, sf), "terms")
-    weights = op.normalize(_weights(spark, sf, tf), tf, doc="doc_id")
+    weights = op.normalize(_weights(spark, sf, tf, table=True), tf, doc="doc_id")
     return weights.select("doc_id", "term", stable("weight").alias("weight"))
 
 

@@ -14,7 +14,7 @@ from tallywise import operators as op
 from tallywise import plans
 from tallywise.operators import pruned, skew
 from tallywise.operators.pruned import prune_scores, term_bounds
-from tallywise.operators.tfidf import with_norm
+from tallywise.operators.tfidf import asked_with_norm, with_norm
 from tallywise.plans import index as indexes
 from tallywise.plans.search import postings_of
 from tallywise.registry.registered import STOP_WORDS
@@ -155,4 +155,8 @@ def test_norms_with_and_without_hot_documents(spark, max_hot):
     norms = weights.groupBy("doc").agg(F.sqrt(F.sum(F.col("tfidf") ** 2)).alias("norm"), F.count("*").alias("n"))
     joined = got.join(norms, "doc").collect()
     assert len(joined) == tf.count()
+    marked = weights.withColumn("asked", F.col("term").isin("w1", "w5", "w70"))
+    want = sorted((r.doc, r.term, round(r.tfidf, 9), round(r._norm, 9), r._terms) for r in joined if r.term in ("w1", "w5", "w70"))
+    few = asked_with_norm(marked, tf, "doc", max_hot)
+    assert sorted((r.doc, r.term, round(r.tfidf, 9), round(r._norm, 9), r._terms) for r in few.collect()) == want
     assert all(r._terms == r.n and r._norm == pytest.approx(r.norm) for r in joined)
