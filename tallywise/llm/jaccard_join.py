@@ -290,7 +290,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Sc
     over nearly all other texts before it cuts them into words, and the join leaves the rest."""
     sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), texts, copies, scratch, n)
     joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return scratch.write(joined.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long"), "links")
+    links = scratch.write(joined.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long"), "links")
+    scratch.drop(sets)
+    return links
 
 
 def _across(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -392,6 +394,7 @@ def _labelled(docs: DataFrame, scratch: Scratch, n: int, percent: int, id_col: s
     more = scratch.write(_across(postings, labels, percent).join(star, ["a", "b"], "left_anti"), "across")
     links = _verified(more, texts, copies, scratch, n, percent).union(links)
     labels = components(links, scratch)
+    scratch.drop(postings, star, more)  # what is returned reads the other tables
     return digests, labels, texts, copies
 
 
