@@ -11,6 +11,7 @@ from tallywise.operators import (
     mark_asked,
     normalize,
     relevance,
+    relevance_batch,
     term_frequency,
     tfidf,
     top_k,
@@ -78,11 +79,18 @@ def search_batch(
     k: int = 3,
     n_docs: int | Column | None = None,
     small: bool | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """(query_id, score, doc): as :func:`search` for each query; ``queries`` is distinct
-    (query_id, term). Not ordered. Documents that can't be among the best are left out before they are
+    (query_id, term). Not ordered. With ``prune``, documents that can't be among the best are left out before they are
     scored (:func:`tallywise.operators.pruned.prune_scores`). ``small`` says whether the queries fit a
     broadcast; unless given they are counted."""
+    if not prune:
+        tf = term_frequency(docs, doc, text, stop)
+        total = count_documents(docs, doc) if n_docs is None else n_docs
+        stats = mark_asked(document_frequency(tf), queries.select("term"))
+        scores = relevance_batch(tfidf(tf, stats, total, doc=doc), queries, tf, query_id, doc, small)
+        return top_k(scores, k, score="score", item=doc, by=[query_id]).select(query_id, "score", doc)
     scratch = Scratch(docs.sparkSession)
     tf = scratch.write(term_frequency(docs, doc, text, stop), "terms")
     total = count_documents(docs, doc) if n_docs is None else n_docs
