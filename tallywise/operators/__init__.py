@@ -21,6 +21,7 @@ from tallywise.operators.tfidf import (
     relevance,
     relevance_batch,
     term_frequency,
+    term_table,
     tfidf,
     with_document_frequency,
 )
@@ -46,6 +47,7 @@ __all__ = [
     "relevance_batch",
     "sort_by_count",
     "term_frequency",
+    "term_table",
     "tfidf",
     "tokenize",
     "top_k",

@@ -29,11 +29,13 @@ def fits_broadcast(
 
 
 def hot_totals(totals: DataFrame, key: str, size: str, max_hot: int = MAX_HOT) -> DataFrame:
-    """The rows of ``totals`` (one per key) whose ``size`` exceeds ``1 / max_hot`` of its sum."""
+    """The rows of ``totals`` (one per key) whose ``size`` exceeds ``1 / max_hot`` of its sum. With more
+    than MAX_HOT, only shorter keys, so that all of them stay within MAX_BROADCAST_BYTES."""
     share = totals.agg(F.sum(size)).scalar() / max_hot
     # One test on key and size together: a test on the key alone would move down into the scan of
     # this branch, which could then not share its shuffle with the others.
-    short = F.octet_length(F.col(key).cast("string")) <= MAX_KEY_BYTES
+    longest = min(MAX_KEY_BYTES, MAX_BROADCAST_BYTES // max_hot)
+    short = F.octet_length(F.col(key).cast("string")) <= longest
     return totals.filter(F.when(short, F.col(size)).otherwise(0) > share)
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.functions import safe_ratio, stable, tfidf_weight
 from tallywise.operators.skew import (
+    MAX_BROADCAST_BYTES,
+    MAX_BROADCAST_ROWS,
     MAX_HOT,
     SLICES,
     attach_sliced,
@@ -18,6 +21,14 @@ from tallywise.operators.skew import (
     sliced_join,
 )
 from tallywise.operators.tokens import drop_stop_words, tokenize
+from tallywise.session import Scratch, written
+
+TASK_BYTES = 8 * 1024 * 1024  # of text that a task counts the terms of
+HOT_BYTES = 64 * 1024 * 1024  # of text in a document whose rows do not go to one task
+HOT_TERMS = 1_000_000  # of a document whose norm is not summed by one task
+LEAST_BLOCKS = 2  # that queries are cut into when they are not broadcast at once
+MAX_BLOCKS = 64
+MAX_HOT_TERMS = 100_000  # terms whose number of documents may be broadcast to the rows of a table
 
 
 def term_frequency(
@@ -37,6 +48,29 @@ def term_frequency(
     return kept.groupBy(doc, "term").agg(F.count("*").alias("tf"))
 
 
+def term_table(
+    docs: DataFrame,
+    doc: str = "doc",
+    text: str = "text",
+    stop: DataFrame | Iterable[str] = (),
+    hot_bytes: int = HOT_BYTES,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """:func:`term_frequency` as a table in the shared folder, or in ``scratch``, made by one shuffle of the texts.
+
+    The texts of a document meet in the task that counts its terms, so the far more (document, term) rows
+    are not shuffled. If some document has more than ``hot_bytes`` of text, as a small job on the lengths tells,
+    the rows are shuffled as :func:`term_frequency` does, which no document makes uneven.
+    """
+    sizes = docs.filter(F.col(doc).isNotNull()).groupBy(doc).agg(F.sum(F.octet_length(text)).alias("n"))
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if (most or 0) <= hot_bytes:
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        docs = docs.select(doc, text).repartition(max(parts, (total or 0) // TASK_BYTES + 1), doc)
+    tf = term_frequency(docs, doc, text, stop)
+    return written(tf, "terms") if scratch is None else scratch.write(tf, "terms")
+
+
 def count_documents(docs: DataFrame, doc: str = "doc") -> Column:
     """Number of documents as a scalar subquery, those left without any term included, rows without a
     document name not."""
@@ -55,8 +89,10 @@ def document_frequency(tf: DataFrame) -> DataFrame:
 def mark_asked(stats: DataFrame, terms: DataFrame) -> DataFrame:
     """Add ``asked`` to the term table: whether ``terms`` (a frame with one column) holds the term.
 
-    Both sides have one row per term here, so the query needs no broadcast and no term is hot."""
+    Both sides have one row per term here, so no term is hot; a query within the bound is broadcast, as the
+    term table of a large corpus is long."""
     asked = terms.toDF("term").distinct().withColumn("asked", F.lit(True))
+    asked = F.broadcast(asked) if fits_broadcast(asked) else asked
     marked = stats.join(asked, "term", "left")
     return marked.withColumn("asked", F.coalesce("asked", F.lit(False)))
 
@@ -72,10 +108,11 @@ def with_document_frequency(
 
     ``doc`` is the column of ``tf`` besides ``term`` and ``tf`` unless it is named. The counts of
     (doc, term) are made for the term table and for the rows here, and not again for hot terms. If
-    ``tf`` is a ``table``, it is read for hot terms apart, whose rows then are not shuffled at all.
+    ``tf`` is a ``table``, it is read for hot terms apart, whose rows then are not shuffled at all, and more
+    terms are held to be hot, MAX_HOT_TERMS at most.
     """
     if table:
-        return attach_totals(tf, stats, "term", "df", max_hot)
+        return attach_totals(tf, stats, "term", "df", MAX_HOT_TERMS if max_hot == MAX_HOT else max_hot)
     spread = doc or next(c for c in tf.columns if c not in ("term", "tf"))
     return attach_sliced(tf, stats, "term", "df", spread, max_hot)
 
@@ -114,11 +151,10 @@ def with_norm(
     """(doc, term, tfidf, *keep, _norm, _terms): the norm and number of terms of the row's document.
 
     The rows are shuffled to their document and summed there by a window. If a document has a
-    large share of all rows, as one small job on ``tf`` tells, its rows are spread over slices by
+    large share of all rows and more than HOT_TERMS, as one small job on ``tf`` tells, its rows are spread over slices by
     term, and its norm is summed from rows added up per task.
     """
-    sizes = tf.groupBy(doc).agg(F.count_if(F.col("tf") > 0).alias("_terms"))
-    hot = hot_totals(sizes, doc, "_terms", max_hot)
+    hot = _hot_documents(tf, doc, max_hot)
     carried = list(dict.fromkeys([doc, "term", "tfidf", *keep]))
     rows = weights.select(*carried)
     square = F.col("tfidf") * F.col("tfidf")
@@ -145,13 +181,18 @@ def with_norm(
     )
 
 
+def _hot_documents(tf: DataFrame, doc: str, max_hot: int) -> DataFrame:
+    """(doc, _terms) of documents with a large share of all rows that are too many for one task."""
+    sizes = tf.groupBy(doc).agg(F.count_if(F.col("tf") > 0).alias("_terms"))
+    return hot_totals(sizes, doc, "_terms", max_hot).filter(F.col("_terms") > HOT_TERMS)
+
+
 def asked_with_norm(
     weights: DataFrame, tf: DataFrame, doc: str, max_hot: int = MAX_HOT
 ) -> DataFrame:
     """The rows of :func:`with_norm` whose term is ``asked``. The squares of a document's other terms are
     added up per task, so that they are not shuffled one by one; the few hot documents go the other way."""
-    sizes = tf.groupBy(doc).agg(F.count_if(F.col("tf") > 0).alias("_terms"))
-    if hot_totals(sizes, doc, "_terms", max_hot).limit(1).count():
+    if _hot_documents(tf, doc, max_hot).limit(1).count():
         return with_norm(weights, tf, doc, ["asked"], max_hot).filter("asked").drop("asked")
     square = F.sum(F.col("tfidf") * F.col("tfidf")).alias("_squares")
     kept = F.when(F.col("asked"), F.col("term")).alias("term")
@@ -193,8 +234,10 @@ def relevance_batch(
     norm. The rows meet the queries where the window left them, all pairs of a document on one
     task, and no (query, document) pair is ever shuffled.
 
-    More queries than that are joined by shuffle on the term, hot terms spread over slices. The
-    score is the same sum in both ways, divided by the norm once.
+    More queries than that are cut into blocks of whole queries, each of which fits a broadcast. The asked rows
+    are written in buckets of their document, where they meet one block after the other, so that still no
+    pair is shuffled. If that took more than MAX_BLOCKS, or one query fits no broadcast, rows and queries are joined by
+    shuffle on the term, hot terms spread over slices. The score is the same sum in all ways, divided by the norm once.
     """
     if small if small is not None else fits_broadcast(queries):
         asked_term = F.when(F.col("asked"), F.col("term")).alias("term")
@@ -204,9 +247,36 @@ def relevance_batch(
         norm = F.sqrt(F.sum("_squares").over(Window.partitionBy(doc)))
         matched = grouped.withColumn("_norm", norm).join(F.broadcast(queries), "term")
     else:
-        asked = with_norm(weights, tf, doc, keep=["asked"]).filter("asked")
-        asked = asked.select(doc, "term", "_norm", F.col("tfidf").alias("_tfidf"))
-        matched = sliced_join(asked, queries, "term", spread=doc)
+        asked = asked_with_norm(weights, tf, doc).select(doc, "term", "_norm", F.col("tfidf").alias("_tfidf"))
+        queries = written(queries.select(query_id, "term"), "queries")
+        blocks = _blocks(queries, query_id)
+        if blocks:
+            buckets = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            asked = Scratch(queries.sparkSession).bucketed(asked, "asked", buckets, [doc], dealt=True)
+            parts = [asked.join(F.broadcast(block), "term") for block in blocks]
+        else:
+            parts = [sliced_join(written(asked, "asked"), queries, "term", spread=doc)]
+        return reduce(DataFrame.unionByName, [_scores(part, query_id, doc) for part in parts])
+    return _scores(matched, query_id, doc)
+
+
+def _scores(matched: DataFrame, query_id: str, doc: str) -> DataFrame:
     sums = matched.groupBy(query_id, doc, "_norm").agg(F.sum("_tfidf").alias("_dot"))
     score = safe_ratio(F.col("_dot"), F.col("_norm"))
     return sums.select(query_id, doc, stable(score).alias("score"))
+
+
+def _blocks(queries: DataFrame, query_id: str) -> list[DataFrame]:
+    """``queries`` in blocks that each fit a broadcast; none if one does not, or if there were more than MAX_BLOCKS."""
+    size = F.octet_length(F.col(query_id).cast("string")) + F.octet_length("term")
+    rows, total = queries.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    # About half full, as a hash deals the queries.
+    n = max(LEAST_BLOCKS, 2 * rows // MAX_BROADCAST_ROWS + 1, 2 * total // MAX_BROADCAST_BYTES + 1)
+    if n > MAX_BLOCKS:
+        return []
+    block = F.pmod(F.xxhash64(query_id), F.lit(n))
+    dealt = queries.groupBy(block).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"))
+    most, longest = dealt.agg(F.max("rows"), F.max("bytes")).first()
+    if (most or 0) > MAX_BROADCAST_ROWS or (longest or 0) > MAX_BROADCAST_BYTES:
+        return []
+    return [queries.filter(block == i) for i in range(n)]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.functions import safe_ratio, stable
-from tallywise.operators import count_documents, document_frequency, term_frequency, tfidf, top_k
+from tallywise.operators import count_documents, document_frequency, term_table, tfidf, top_k
 from tallywise.operators.pruned import Pruned, prune_scores, term_bounds
 from tallywise.operators.skew import MAX_HOT, fits_broadcast
 from tallywise.operators.tfidf import with_norm
@@ -25,6 +25,10 @@ def _shelf(number: Column) -> Column:
     return F.xxhash64("term", number)
 
 
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def write_index(
     docs: DataFrame,
     path: str,
@@ -48,7 +52,7 @@ def write_index(
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        tf = scratch.write(term_frequency(docs, doc, text, stop), "terms")
+        tf = term_table(docs, doc, text, stop, scratch=scratch)
         total = spark.range(1).select(count_documents(docs, doc)).first()[0] if n_docs is None else n_docs
         stats = scratch.write(document_frequency(tf), "stats")
         rows = stats.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
@@ -60,10 +64,13 @@ def write_index(
         table = f"tallywise_{uuid.uuid4().hex}"
         writer = postings.write.format("parquet").option("path", f"{path}/postings")
         writer.bucketBy(buckets, "shelf").sortBy("term").saveAsTable(table)
-        term_bounds(spark.table(table)).write.parquet(f"{path}/bounds")
+        tables = {"postings": spark.table(table), "bounds": term_bounds(spark.table(table)), "terms": stats}
+        tables["bounds"].write.parquet(f"{path}/bounds")
         stats.write.parquet(f"{path}/terms")
+        # An empty table may have no file that tells its columns.
+        columns = [F.lit(_columns(df)).alias(name) for name, df in tables.items()]
         spark.sql(f"drop table {table}")
-        about = spark.range(1).select(F.lit(total).cast("long").alias("n_docs"), F.lit(buckets).alias("buckets"), F.lit(doc).alias("doc"))
+        about = spark.range(1).select(F.lit(total).cast("long").alias("n_docs"), F.lit(buckets).alias("buckets"), F.lit(doc).alias("doc"), *columns)
         about.write.parquet(f"{path}/about")
     finally:
         scratch.release()
@@ -121,10 +128,9 @@ def open_index(spark: SparkSession, path: str) -> SearchIndex:
     buckets, and stay one until the session ends."""
     about = spark.read.parquet(f"{path}/about").first()
     table = f"tallywise_{uuid.uuid4().hex}"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{path}/postings").schema)
     spark.sql(
-        f"create table {table} ({columns}) using parquet options (path '{path}/postings') "
+        f"create table {table} ({about.postings}) using parquet options (path '{path}/postings') "
         f"clustered by (shelf) sorted by (term) into {about.buckets} buckets"
     )
-    tables = (spark.table(table), spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/bounds"))
-    return SearchIndex(*tables, about.n_docs, about.doc)
+    terms, bounds = (spark.read.schema(about[name]).parquet(f"{path}/{name}") for name in ("terms", "bounds"))
+    return SearchIndex(spark.table(table), terms, bounds, about.n_docs, about.doc)

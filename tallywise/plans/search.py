@@ -13,6 +13,7 @@ from tallywise.operators import (
     relevance,
     relevance_batch,
     term_frequency,
+    term_table,
     tfidf,
     top_k,
 )
@@ -33,9 +34,9 @@ def document_weights(
 
     ``n_docs`` is the number of documents, by default those in ``docs``.
     """
-    tf = written(term_frequency(docs, doc, text, stop), "terms")
+    tf = term_table(docs, doc, text, stop)
     total = count_documents(docs, doc) if n_docs is None else n_docs
-    weights = tfidf(tf, document_frequency(tf), total, doc=doc, table=True)
+    weights = tfidf(tf, written(document_frequency(tf), "stats"), total, doc=doc, table=True)
     return normalize(weights, tf, doc, keep=["tf", "df", "tfidf"])
 
 
@@ -46,12 +47,15 @@ def score_documents(
     text: str = "text",
     stop: StopWords = (),
     n_docs: int | Column | None = None,
+    table: bool = False,
 ) -> DataFrame:
-    """(doc, score) of the documents with any of the terms; ``terms`` has one column."""
-    tf = term_frequency(docs, doc, text, stop)
+    """(doc, score) of the documents with any of the terms; ``terms`` has one column. With ``table`` the
+    counts of (doc, term) are written first, which large tables want; otherwise all is one plan."""
+    tf = (term_table if table else term_frequency)(docs, doc, text, stop)
     total = count_documents(docs, doc) if n_docs is None else n_docs
     stats = mark_asked(document_frequency(tf), terms)
-    return relevance(tfidf(tf, stats, total, doc=doc), doc)
+    stats = written(stats, "stats") if table else stats
+    return relevance(tfidf(tf, stats, total, doc=doc, table=table), doc)
 
 
 def search(
@@ -64,7 +68,7 @@ def search(
     n_docs: int | Column | None = None,
 ) -> DataFrame:
     """(score, doc): the ``k`` documents most relevant to the terms and all ties, best first."""
-    scores = score_documents(docs, terms, doc, text, stop, n_docs)
+    scores = score_documents(docs, terms, doc, text, stop, n_docs, table=True)
     best = top_k(scores, k, score="score", item=doc)
     return best.select("score", doc).orderBy(F.desc("score"), doc)
 
@@ -86,18 +90,19 @@ def search_batch(
     scored (:func:`tallywise.operators.pruned.prune_scores`). ``small`` says whether the queries fit a
     broadcast; unless given they are counted."""
     if not prune:
-        tf = term_frequency(docs, doc, text, stop)
+        tf = term_table(docs, doc, text, stop)
         total = count_documents(docs, doc) if n_docs is None else n_docs
-        stats = mark_asked(document_frequency(tf), queries.select("term"))
-        scores = relevance_batch(tfidf(tf, stats, total, doc=doc), queries, tf, query_id, doc, small)
+        stats = written(mark_asked(document_frequency(tf), queries.select("term")), "stats")
+        weights = tfidf(tf, stats, total, doc=doc, table=True)
+        scores = relevance_batch(weights, queries, tf, query_id, doc, small)
         return top_k(scores, k, score="score", item=doc, by=[query_id]).select(query_id, "score", doc)
     scratch = Scratch(docs.sparkSession)
-    tf = scratch.write(term_frequency(docs, doc, text, stop), "terms")
+    tf = term_table(docs, doc, text, stop, scratch=scratch)
     total = count_documents(docs, doc) if n_docs is None else n_docs
-    stats = mark_asked(document_frequency(tf), queries.select("term"))
+    stats = scratch.write(mark_asked(document_frequency(tf), queries.select("term")), "stats")
     weights = asked_with_norm(tfidf(tf, stats, total, doc=doc, table=True), tf, doc)
     postings = scratch.write(postings_of(weights, doc), "postings")
-    scratch.drop(tf)
+    scratch.drop(tf, stats)
     bounds = scratch.write(term_bounds(postings), "bounds")
     found = prune_scores(postings, bounds, queries, k, scratch, query_id, doc, small)
     return top_k(found.scores, k, score="score", item=doc, by=[query_id]).select(query_id, "score", doc)

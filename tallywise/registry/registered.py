@@ -102,6 +102,15 @@ def _term_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return op.term_frequency(_documents(spark, sf), doc="doc_id", stop=STOP_WORDS)
 
 
+def _plain_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """For what shuffles the texts itself."""
+    return sources.read_table(spark, sf, "documents", "doc_id", "text")
+
+
+def _term_table(spark: SparkSession, sf: str) -> DataFrame:
+    return op.term_table(_plain_documents(spark, sf), doc="doc_id", stop=STOP_WORDS)
+
+
 def _n_docs(spark: SparkSession, sf: str) -> Column:
     return op.count_documents(sources.read_table(spark, sf, "documents", "doc_id"), "doc_id")
 
@@ -111,23 +120,28 @@ def term_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    tf = _term_frequency(spark, sf)
-    joined = op.with_document_frequency(tf, op.document_frequency(tf), doc="doc_id")
+    tf = _term_table(spark, sf)
+    joined = op.with_document_frequency(tf, _document_frequency(tf), doc="doc_id", table=True)
     return joined.select("doc_id", "term", "tf", "df")
 
 
-def _weights(spark: SparkSession, sf: str, tf: DataFrame, table: bool = False) -> DataFrame:
-    return op.tfidf(tf, op.document_frequency(tf), _n_docs(spark, sf), doc="doc_id", table=table)
+def _document_frequency(tf: DataFrame) -> DataFrame:
+    """Written, as it is read for hot terms, for their bound and for the others."""
+    return written(op.document_frequency(tf), "stats")
+
+
+def _weights(spark: SparkSession, sf: str, tf: DataFrame) -> DataFrame:
+    return op.tfidf(tf, _document_frequency(tf), _n_docs(spark, sf), doc="doc_id", table=True)
 
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    weights = _weights(spark, sf, _term_frequency(spark, sf))
+    weights = _weights(spark, sf, _term_table(spark, sf))
     return weights.select("doc_id", "term", stable("tfidf").alias("tfidf"))
 
 
 def tfidf_normalized(spark: SparkSession, sf: str) -> DataFrame:
-    tf = written(_term_frequency(spark, sf), "terms")
-    weights = op.normalize(_weights(spark, sf, tf, table=True), tf, doc="doc_id")
+    tf = _term_table(spark, sf)
+    weights = op.normalize(_weights(spark, sf, tf), tf, doc="doc_id")
     return weights.select("doc_id", "term", stable("weight").alias("weight"))
 
 
@@ -138,17 +152,18 @@ def query_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 def doc_relevance(spark: SparkSession, sf: str) -> DataFrame:
     return score_documents(
-        _documents(spark, sf),
+        _plain_documents(spark, sf),
         word_list(spark, KEYWORDS, "term"),
         doc="doc_id",
         stop=STOP_WORDS,
         n_docs=_n_docs(spark, sf),
+        table=True,
     )
 
 
 def topk_documents(spark: SparkSession, sf: str) -> DataFrame:
     return plans.search(
-        _documents(spark, sf),
+        _plain_documents(spark, sf),
         word_list(spark, KEYWORDS, "term"),
         doc="doc_id",
         stop=STOP_WORDS,
@@ -159,7 +174,7 @@ def topk_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def search_batch(spark: SparkSession, sf: str, small: bool | None = None) -> DataFrame:
     return plans.search_batch(
-        _documents(spark, sf),
+        _plain_documents(spark, sf),
         query_terms(spark, sf),
         query_id="item_id",
         doc="doc_id",
@@ -178,7 +193,7 @@ def search_batch_shuffled(spark: SparkSession, sf: str) -> DataFrame:
 def search_index(spark: SparkSession, sf: str) -> DataFrame:
     """An index of all documents, written once and asked twice, for KEYWORDS and for FEW."""
     path = scratch_path(spark, "search_index")
-    plans.write_index(_documents(spark, sf), path, doc="doc_id", stop=STOP_WORDS)
+    plans.write_index(_plain_documents(spark, sf), path, doc="doc_id", stop=STOP_WORDS)
     index = plans.open_index(spark, path)
     found = [index.search(word_list(spark, asked, "term"), k=3) for asked in (KEYWORDS, FEW)]
     numbered = [f.select(F.lit(i).alias("query"), "score", "doc_id") for i, f in enumerate(found)]
@@ -188,7 +203,7 @@ def search_index(spark: SparkSession, sf: str) -> DataFrame:
 def search_index_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The items of ``benchmark`` asked of an index of all documents."""
     path = scratch_path(spark, "search_index")
-    plans.write_index(_documents(spark, sf), path, doc="doc_id", stop=STOP_WORDS)
+    plans.write_index(_plain_documents(spark, sf), path, doc="doc_id", stop=STOP_WORDS)
     return plans.open_index(spark, path).search_batch(query_terms(spark, sf), k=3, query_id="item_id")
 
 

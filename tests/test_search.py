@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter, defaultdict
 
 import pytest
@@ -217,3 +218,48 @@ def test_texts_are_tokenised_once(spark, tmp_path, docs):
 def test_weights_have_norm_one_or_zero(spark, docs):
     sums = plans.document_weights(docs).groupBy("doc").agg(F.sum(F.col("weight") ** 2))
     assert all(v == pytest.approx(1.0) or v == 0.0 for _, v in rows(sums))
+
+
+@pytest.mark.parametrize("hot_bytes", [7, 1 << 30])
+def test_term_table_shuffles_texts_and_not_terms(spark, tmp_path, monkeypatch, hot_bytes):
+    """A document over many rows, one without a name and one without a text; hot or not."""
+    lines = [("a", "x y x"), ("b", "y the"), ("a", "x z"), (None, "x"), ("c", None), ("d", "")]
+    docs = spark.createDataFrame(lines, "doc string, text string").repartition(3)
+    plan = []
+
+    def kept(df, name):
+        plan.extend(n.nodeName() for n in nodes_of(df._jdf.queryExecution().executedPlan()))
+        return df
+
+    monkeypatch.setattr(sys.modules["tallywise.operators.tfidf"], "written", kept)
+    got = op.term_table(docs, stop=["the"], hot_bytes=hot_bytes)
+    assert rows(got) == [("a", "x", 3), ("a", "y", 1), ("a", "z", 1), ("b", "y", 1)]
+    below = plan[: plan.index("Generate")]
+    assert ("Exchange" in below) == (hot_bytes == 7)
+
+
+def test_hot_documents_are_few(spark, monkeypatch):
+    """A document with a large share of a small corpus does not make the weights twice, unless it is large."""
+    module = sys.modules["tallywise.operators.tfidf"]
+    lines = [(f"d{i}", f"all w{i}") for i in range(40)] + [("big", " ".join(f"w{i}" for i in range(40)))]
+    tf = op.term_frequency(spark.createDataFrame(lines, "doc string, text string"))
+    assert module._hot_documents(tf, "doc", 5).count() == 0
+    weights = op.tfidf(tf, op.document_frequency(tf), 41)
+    plain = rows(op.normalize(weights, tf, max_hot=5).select("doc", "term", F.round("weight", 9)))
+    monkeypatch.setattr(module, "HOT_TERMS", 0)
+    assert [r.doc for r in module._hot_documents(tf, "doc", 5).collect()] == ["big"]
+    assert rows(op.normalize(weights, tf, max_hot=5).select("doc", "term", F.round("weight", 9))) == plain
+
+
+@pytest.mark.parametrize("most", [0, 64])
+def test_many_queries_meet_documents_in_blocks(spark, docs, monkeypatch, most):
+    """More queries than a broadcast: in blocks of whole queries, pairs not shuffled; or, beyond MAX_BLOCKS, sliced."""
+    module = sys.modules["tallywise.operators.tfidf"]
+    monkeypatch.setattr(module, "MAX_BLOCKS", most)
+    asked = spark.createDataFrame([(q, t) for q in range(9) for t in ("cat", "dog", "sang", f"w{q}")], "query_id int, term string")
+    tf = op.term_frequency(docs)
+    weights = op.tfidf(tf, op.mark_asked(op.document_frequency(tf), asked.select("term")), 4)
+    got, want = (op.relevance_batch(weights, asked, tf, small=small) for small in (False, True))
+    assert rows(got) == rows(want) and got.count() > 9
+    names = [n.nodeName() for n in nodes_of(got._jdf.queryExecution().executedPlan())]
+    assert ("Exchange" in names) == (most == 0)
