@@ -14,6 +14,7 @@ from tallywise.llm.components import components
 from tallywise.operators.skew import attach_totals
 from tallywise.session import Scratch
 
+SLICE = 1 << 19  # bytes of text whose words and sets a task holds at once
 BITS = 56  # of a shingle's hash; the upper byte of a key holds its rarity class
 SKETCH = 1 << 18
 FLAGS = 1 << 21
@@ -35,7 +36,7 @@ def _distinct(values: np.ndarray) -> np.ndarray:
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int]]]:
     """For each slice of the batches its rows, their sets of shingle hashes and the sets' digests."""
     for batch in batches:
-        for part, data, offsets in words.slices(batch, "text"):
+        for part, data, offsets in words.slices(batch, "text", SLICE):
             starts, ends, at = words.word_bounds(data, offsets)
             hashes = words.word_hashes(data, starts, ends)
             sets = [_distinct(s) for s in words.shingle_sets(hashes, at, n, BITS)]

@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallywise.llm import bpe, pii, registered, winnow
 from tallywise.llm.decontaminate import find_leaks, smith_waterman
-from tallywise.llm.jaccard_join import jaccard_components, jaccard_join
+from tallywise.llm.jaccard_join import _sets, jaccard_components, jaccard_join
 from tallywise.llm.langid import identify, train
 from tallywise.llm.line_dedup import dedup_lines
 from tallywise.llm.quality import assess
@@ -67,6 +68,14 @@ def test_jaccard_brute_force(spark, docs):
     assert {i: r.component_id for i, r in got.items()} == least
 
 
+def test_jaccard_sets_are_made_for_little_text_at_a_time():
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(1000)]
+    batch = pa.record_batch([pa.array(range(1000)), pa.array(texts)], ["id", "text"])
+    parts = list(_sets(iter([batch]), 5))
+    assert sum(len(part) for part, _, _ in parts) == 1000 and all(len(s) == 196 for _, sets, _ in parts for s in sets)
+    assert max(sum(map(len, part["text"].to_pylist())) for part, _, _ in parts) <= 1 << 19
+
+
 def test_jaccard_odd(spark, odd):
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(odd, Scratch(spark)).collect()]
     assert sorted(got, key=repr) == sorted(
