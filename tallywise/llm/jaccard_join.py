@@ -20,10 +20,9 @@ SKETCH = 1 << 18
 FLAGS = 1 << 21
 HOT = 2000  # a shingle is hot if its sketch cell holds more than 1 / HOT of all shingles
 SALTS = 64
-CELLS = 64  # of the suffix filter
-BLOCK = 64  # classes of a component whose pairs a task verifies together, with those of another block
-WIDE = 1 << 16  # shingles of two blocks that are counted at once
-TOP = np.uint64(BITS - 6)
+BLOCK = 1024  # classes of a component whose pairs a task verifies together, with those of another block
+CLASS = 512  # shingles of a set that count for one more class
+WIDE = 1 << 12  # shingles of two blocks that are counted at once
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -44,7 +43,17 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Record
             yield part, sets, digests
 
 
+def _parity(s: np.ndarray) -> bytes:
+    """A bit for each of so many cells as the set has shingles (64 or the next power of two): whether the
+    number of its shingles there is odd. Two sets differ by one shingle at least for each bit that differs."""
+    cells = 1 << max(6, (len(s) - 1).bit_length())
+    counts = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def _describe(n: int):
+    names = ["id", "copy", "size", "cls", "parity", "seg", "part"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
         ids = None
@@ -53,17 +62,14 @@ def _describe(n: int):
             cells = np.concatenate(sets) & np.uint64(SKETCH - 1)
             counts += np.bincount(cells.astype(np.int64), minlength=SKETCH)
             cls = [d if k else None for d, k in zip(digests, sizes, strict=True)]
-            yield pa.record_batch(
-                [ids, part.column("copy"), pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())],
-                ["id", "copy", "size", "cls", "seg", "part"],
-            )
+            parity = [_parity(s) if len(s) else None for s in sets]
+            columns = [pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.array(parity, pa.binary())]
+            yield pa.record_batch([ids, part.column("copy"), *columns, pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], names)
         if ids is not None:
             rows = tables.segments(counts)
             none = len(rows)
-            yield pa.record_batch(
-                [pa.nulls(none, ids.type), *(pa.nulls(none, pa.int64()) for _ in range(3)), rows["seg"], rows["part"]],
-                ["id", "copy", "size", "cls", "seg", "part"],
-            )
+            columns = [pa.nulls(none, ids.type), *(pa.nulls(none, pa.int64()) for _ in range(3)), pa.nulls(none, pa.binary())]
+            yield pa.record_batch([*columns, rows["seg"], rows["part"]], names)
 
     return run
 
@@ -105,7 +111,7 @@ POSTING = "key long, cls long, size int, pos int, pivot long, pivot_size int, pi
 
 
 def _groups(hot: int):
-    """Rows sorted by (key, salt, cls) → the rows of groups with two classes at least, each with the
+    """Rows sorted by key and salt, those of a class together → the rows of groups with two classes at least, each with the
     first row of its group (the pivot). Only the last row and the pivot of a group are held. Of a hot
     key, whose rows are spread over salts, a class that is alone under its salt comes out too."""
 
@@ -163,22 +169,22 @@ def _wanted(n: int, flags: np.ndarray):
     return run
 
 
-def _linked(percent: int):
+def _near(percent: int):
+    """The pairs whose parities (:func:`_parity`) leave it open that they link."""
+
+    def differ(x: bytes, y: bytes) -> int:
+        if len(x) < len(y):
+            x, y = y, x
+        bits = int.from_bytes(x)
+        for cells in (4 * len(x) >> i for i in range((len(x) // len(y)).bit_length() - 1)):
+            bits = (bits >> cells) ^ (bits & ((1 << cells) - 1))
+        return (bits ^ int.from_bytes(y)).bit_count()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["sa"], batch["sb"], strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                # Suffix filter: sets that differ by d in the number of shingles of each cell of the
-                # hash range differ by d shingles at least.
-                cells = np.bincount((x >> TOP).astype(np.int64), minlength=CELLS) - np.bincount((y >> TOP).astype(np.int64), minlength=CELLS)
-                most = (len(x) + len(y) - int(np.abs(cells).sum())) // 2
-                if (100 + percent) * most < percent * (len(x) + len(y)):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(x, y)
-                same = int(np.count_nonzero(x[np.minimum(at, len(x) - 1)] == y))
-                keep.append(100 * same >= percent * (len(x) + len(y) - same))
+            sizes = batch["size_a"].to_numpy() + batch["size_b"].to_numpy()
+            apart = np.array([differ(x, y) for x, y in zip(batch["pa"].to_pylist(), batch["pb"].to_pylist(), strict=True)], np.int64)
+            keep = (100 + percent) * ((sizes - apart) // 2) >= percent * sizes
             yield pa.record_batch([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -194,8 +200,8 @@ def _possible(size: str, pos: str, size2: str, pos2: str, percent: int):
     return length & (rest * (100 + percent) >= (x + y) * percent)
 
 
-def _alike(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which of the sets link with which."""
+def _alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets at ``left`` link with which of those at ``right``."""
     values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
@@ -204,35 +210,64 @@ def _alike(sets: list[np.ndarray], percent: int) -> np.ndarray:
     column = np.cumsum(fresh) - 1
     several = np.bincount(column)[column] > 1
     column, owner = (np.cumsum(fresh & several) - 1)[several], owner[several]
-    same = np.zeros((len(sets), len(sets)), np.int64)
+    same = np.zeros((len(left), len(right)), np.int64)
     for first in range(0, int(column[-1]) + 1 if len(column) else 0, WIDE):
         a, b = np.searchsorted(column, [first, first + WIDE])
         holds = np.zeros((len(sets), int(column[b - 1]) - first + 1), np.float32)
         holds[owner[a:b], column[a:b] - first] = 1
-        same += (holds @ holds.T).astype(np.int64)
+        same += (holds[left] @ holds[right].T).astype(np.int64)
     sizes = np.array([len(x) for x in sets])
-    return 100 * same >= percent * (sizes[:, None] + sizes - same)
+    return 100 * same >= percent * (sizes[left][:, None] + sizes[right] - same)
+
+
+def _forest(linked: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links that connect what all links of a symmetric table connect, fewer than it has rows."""
+    left, a, b = np.ones(len(linked), bool), [], []
+    for start in range(len(linked)):
+        todo = [start] if left[start] else []
+        left[start] = False
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(linked[at] & left)
+            left[new] = False
+            a += [at] * len(new)
+            b += new.tolist()
+            todo += new.tolist()
+    return a, b
 
 
 def _block_links(percent: int, pairs: bool):
-    """Rows sorted by block pair → its links: the pairs of classes, or for each class the number of
-    documents that it links to. Only the rows of one block pair are held."""
+    """Rows sorted by block pair → its links: all pairs of classes, or pairs that connect the same classes
+    and, with ``b`` null, the number of documents that each class links to. Only the rows of one block pair
+    are held."""
 
     def links(rows: list[tuple]) -> pa.RecordBatch:
-        cls, weight, side, block = (np.array(x) for x in list(zip(*rows, strict=True))[1:5])
-        linked = _alike([np.frombuffer(r[5], np.uint64) for r in rows], percent)
-        # Pairs within a block belong to the block's pair with itself.
-        linked &= (side[:, None] != side) if (side != side[0]).any() else ~np.eye(len(cls), dtype=bool)
-        if not pairs:
-            return pa.record_batch([pa.array(cls, pa.int64()), pa.array((linked * weight).sum(1), pa.int64())], ["cls", "n"])
-        a, b = np.nonzero(linked & (cls[:, None] < cls))
-        return pa.record_batch([pa.array(cls[a], pa.int64()), pa.array(cls[b], pa.int64())], ["a", "b"])
+        cls, weight, side = (np.array(x) for x in list(zip(*rows, strict=True))[1:4])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        linked = np.zeros((len(rows), len(rows)), bool)
+        if rows[0][0][2] == rows[0][0][4] and rows[0][0][1] == rows[0][0][3]:  # a block with itself
+            linked[:] = _alike(sets, left, left, percent)
+            np.fill_diagonal(linked, False)
+        elif len(left) and len(right):
+            across = _alike(sets, left, right, percent)
+            linked[np.ix_(left, right)], linked[np.ix_(right, left)] = across, across.T
+        a, b = np.nonzero(linked & (cls[:, None] < cls)) if pairs else map(np.array, _forest(linked))
+        a, b = cls[a.astype(np.int64)], cls[b.astype(np.int64)]
+        if pairs:
+            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        n = (linked * weight).sum(1)
+        some = np.flatnonzero(n)
+        columns = [np.concatenate([a, cls[some]]), np.concatenate([b, np.zeros(len(some), np.int64)]), np.concatenate([np.zeros(len(a), np.int64), n[some]])]
+        made = pa.record_batch([pa.array(x, pa.int64()) for x in columns], ["a", "b", "n"])
+        none = np.arange(len(made)) >= len(a)
+        return made.set_column(1, "b", pa.array(columns[1], pa.int64(), mask=none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             keys = zip(*(batch[k].to_pylist() for k in ("label", "band", "low", "band2", "high")), strict=True)
-            for row in zip(keys, *(batch[k].to_pylist() for k in ("cls", "weight", "side", "block", "s")), strict=True):
+            for row in zip(keys, *(batch[k].to_pylist() for k in ("cls", "weight", "side", "s")), strict=True):
                 if held and held[0][0] != row[0]:
                     yield links(held)
                     held = []
@@ -243,17 +278,21 @@ def _block_links(percent: int, pairs: bool):
     return run
 
 
-def _all_links(members: DataFrame, percent: int, pairs: bool) -> DataFrame:
-    """Of ``members`` (label, cls, weight, size, s), the classes of components, all links, each verified
-    once: (a, b), or (cls, n) with the number of documents that a class links to by each block pair.
+def _placed(members: DataFrame, percent: int) -> DataFrame:
+    """For each of ``members`` (label, cls, weight, size, copy), the classes of components, the pairs of blocks
+    (array ``m``) in which its set is verified.
 
-    Linked sizes differ by the factor 100 / ``percent`` at most, so links lie in one band of sizes or
-    in two neighbouring ones. The classes of a component and band are dealt by hash into blocks of about
-    BLOCK, and each two blocks meet in one task, so that a component in any size is spread."""
+    A component whose sets fit one block is one. Of others: linked sizes differ by the factor 100 / ``percent``
+    at most, so links lie in one band of sizes or in two neighbouring ones. The classes of a component
+    and band are dealt by hash into blocks of about BLOCK classes, fewer of large sets, and each two blocks meet in one task, so that a
+    component of any size is spread."""
+    members = members.withColumn("load", 1 + F.col("size") / CLASS)
+    whole = members.groupBy("label").agg(F.count("*").alias("rows"), F.sum("load").alias("whole"))
     step = F.log(F.lit(100 / percent))
     band = F.col("size").cast("long") if percent == 100 else F.floor(F.log("size") / step + 1e-9)
-    members = members.withColumn("band", band).withColumn("group", F.xxhash64("label", "band"))
-    counts = members.groupBy("label", "band", "group").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    members = attach_totals(members, whole, "label", "rows").withColumn("band", F.when(F.col("whole") <= BLOCK, F.lit(0)).otherwise(band))
+    members = members.drop("rows", "whole").withColumn("group", F.xxhash64("label", "band"))
+    counts = members.groupBy("label", "band", "group").agg(F.count("*").alias("n"), F.ceil(F.sum("load") / BLOCK).alias("blocks"))
     above = counts.select("label", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
     below = counts.select("label", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
     counts = counts.join(above, ["label", "band"], "left").join(below, ["label", "band"], "left")
@@ -270,30 +309,28 @@ def _all_links(members: DataFrame, percent: int, pairs: bool) -> DataFrame:
     own = meets("blocks", lambda j: (at, F.least(block, j), at, F.greatest(block, j), (block > j).cast("int")))
     up = meets("above", lambda j: (at, block, at + 1, j, F.lit(0)))
     down = meets("below", lambda j: (at - 1, j, at, block, F.lit(1)))
-    met = rows.select("label", "cls", "weight", "block", "s", F.explode(F.concat(own, up, down)).alias("m"))
-    met = met.select("label", "cls", "weight", "block", "s", "m.*")
+    return rows.select("label", "cls", "weight", "copy", F.concat(own, up, down).alias("m"))
+
+
+def _all_links(placed: DataFrame, texts: DataFrame, n: int, percent: int, pairs: bool) -> DataFrame:
+    """Of the classes ``placed``, all links, each verified once: (a, b), or links that connect the same and
+    with ``b`` null the number of documents that a class links to, by block pair. The sets are made anew, each from
+    one text of the class (``copy``): a bit table of fixed size lets a task pass over nearly all
+    other texts before it cuts them into words, and the join leaves the rest."""
+    flags = tables.total(placed.select("copy").mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8", np.bitwise_or)
+    sets = texts.mapInArrow(_wanted(n, flags), "cls long, shingles binary").groupBy("cls").agg(F.first("shingles").alias("s"))
+    met = sets.join(placed, "cls").select("label", "cls", "weight", "s", F.explode("m").alias("m"))
+    met = met.select("label", "cls", "weight", "s", "m.*")
     key = ["label", "band", "low", "band2", "high"]
     dealt = met.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(_block_links(percent, pairs), "a long, b long" if pairs else "cls long, n long")
-
-
-def _sets_of(classes: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Scratch, n: int) -> DataFrame:
-    """The sets (cls, s) of the classes, and some others, as a table."""
-    ends = classes.join(copies, "cls").select("copy")
-    flags = tables.total(ends.mapInArrow(_flags, tables.SCHEMA), FLAGS, "uint8", np.bitwise_or)
-    sets = texts.mapInArrow(_wanted(n, flags), "cls long, shingles binary")
-    return scratch.write(sets.groupBy("cls").agg(F.first("shingles").alias("s")), "sets")
+    return dealt.mapInArrow(_block_links(percent, pairs), "a long, b long" if pairs else "a long, b long, n long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, copies: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link, as a table. The sets of the classes in question are made
-    anew, each from one text of the class (``copies``): a bit table of fixed size lets a task pass
-    over nearly all other texts before it cuts them into words, and the join leaves the rest."""
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), texts, copies, scratch, n)
-    joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    links = scratch.write(joined.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long"), "links")
-    scratch.drop(sets)
-    return links
+def _open(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that may link by the parities of their sets."""
+    for end in "ab":
+        pairs = pairs.join(classes.select(F.col("cls").alias(end), F.col("size").alias(f"size_{end}"), F.col("parity").alias(f"p{end}")), end)
+    return pairs.select("a", "b", "size_a", "size_b", "pa", "pb").mapInArrow(_near(percent), "a long, b long")
 
 
 def _across(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -324,17 +361,18 @@ def jaccard_components(
     Shingles are ordered rare first, by a sketch that counts all shingles of all documents in a fixed
     number of cells, then by hash. The first ``size - ceil(t * size) + 1`` shingles of a set are its
     prefix; linked sets share one. Equal sets are one class. Each class of a shingle's group is first
-    verified against one pivot of the group, and the components so found are kept; after that, all
-    pairs of the group that lie in different components and pass the length, the positional and the
-    suffix filter are verified, each once. So no link between different components is lost, and a
-    group of near copies does not give all its pairs.
+    held against one pivot of the group; pairs that pass the length and the positional filter and
+    a filter on parities of small cells of the sets give wide components. After that, all pairs of the group that lie
+    in different ones and pass the filters join them. So all links lie within wide components, and a
+    group of near copies does not give all its pairs. The sets of a wide component then meet in blocks, where
+    their links are counted exactly; the components are those of these links.
 
     A null or empty text has the empty set, no class, and is its own component. Rows with a null id
     take part, but no component is named by null unless all its ids are null. Rows that repeat an id
     count as documents of their own. Other columns are ignored. Hashes have 56 bits, digests of
     sets and texts 64.
     """
-    digests, labels, _, _ = _labelled(docs, scratch, n, percent, id_col, text_col)
+    digests, labels, _, _, _ = _labelled(docs, scratch, n, percent, id_col, text_col)
     return _named(digests, labels, id_col)
 
 
@@ -345,32 +383,25 @@ def jaccard_join(
     links to, and all links between classes: (a, b), a below b, each pair once. Documents of one
     class link too and are not listed; the first frame's ``cls`` tells the members.
 
-    All links lie within components, so all pairs of a component's classes whose sizes allow it are
-    verified. The second frame is as long as there are links, in the square of a group of near copies; the
+    All pairs of a wide component's classes whose sizes allow it are verified. The second frame is as long as there are links, in the square of a group of near copies; the
     first frame needs only sums, which the tasks make before a link leaves them. The same rules as there
     hold for nulls, empty texts and repeats; a document without a set has no links.
     """
-    digests, labels, texts, copies = _labelled(docs, scratch, n, percent, id_col, text_col)
-    known = digests.filter("cls is not null").groupBy("cls").agg(F.count("*").alias("weight"), F.first("size").alias("size"))
-    sets = _sets_of(labels.select(F.col("node").alias("cls")), texts, copies, scratch, n)
-    members = labels.withColumnRenamed("node", "cls").join(known, "cls").join(sets, "cls")
-    members = scratch.write(members, "members")
-    counts = _all_links(members, percent, False).groupBy("cls").agg(F.sum("n").alias("n"))
-    counts = scratch.write(counts, "counts")
-    return _named(digests, labels, id_col, counts), _all_links(members, percent, True)
+    digests, labels, counts, placed, texts = _labelled(docs, scratch, n, percent, id_col, text_col)
+    return _named(digests, labels, id_col, counts), _all_links(placed, texts, n, percent, True)
 
 
 def _labelled(docs: DataFrame, scratch: Scratch, n: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, ...]:
-    """The documents (id, size, cls), the classes of components (node, label), the texts, and one copy
-    of a text for each class."""
+    """The documents (id, size, cls), the classes of components (node, label), the number of documents that
+    each class links to (cls, n), the classes of wide components with their blocks, and the texts."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("copy"))
     id_type = rows.schema["id"].dataType.simpleString()
     described = scratch.write(
-        rows.mapInArrow(_describe(n), f"id {id_type}, copy long, size long, cls long, seg int, part binary"), "described"
+        rows.mapInArrow(_describe(n), f"id {id_type}, copy long, size long, cls long, parity binary, seg int, part binary"), "described"
     )
     digests = described.filter("seg is null").select("id", "size", "cls")
-    copies = described.filter("cls is not null").groupBy("cls").agg(F.min("copy").alias("copy"))
-    copies = scratch.write(copies, "copies")
+    one = (F.min("copy").alias("copy"), F.first("size").alias("size"), F.count("*").alias("weight"), F.first("parity").alias("parity"))
+    classes = scratch.write(described.filter("cls is not null").groupBy("cls").agg(*one), "classes")
     counts = tables.total(described.filter("seg is not null").select("seg", "part"), SKETCH, "int64")
     rarity = np.minimum(np.rint(3 * np.log2(1 + counts)), 127).astype(np.uint64)
     # Up to here a statistic over all shingles; a hot cell's class of rarity marks its shingles.
@@ -380,7 +411,9 @@ def _labelled(docs: DataFrame, scratch: Scratch, n: int, percent: int, id_col: s
     prefixes = texts.mapInArrow(_prefixes(n, percent, rarity), "key long, cls long, size int, pos int")
     salt = F.when(F.shiftright("key", BITS) >= hot, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0))
     salted = prefixes.withColumn("salt", salt.cast("int"))
-    grouped = salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "cls").mapInArrow(_groups(hot), POSTING)
+    # In an order of the key's own, so that a class meets different pivots by the keys it shares with a group.
+    ordered = salted.repartition("key", "salt").sortWithinPartitions("key", "salt", F.xxhash64("cls", "key"), "cls")
+    grouped = ordered.mapInArrow(_groups(hot), POSTING)
     postings = scratch.write(grouped, "postings")
 
     possible = _possible("size", "pos", "pivot_size", "pivot_pos", percent)
@@ -390,13 +423,17 @@ def _labelled(docs: DataFrame, scratch: Scratch, n: int, percent: int, id_col: s
     top = tops.groupBy("key").agg(F.min(F.struct("pivot", "ps", "pp")).alias("t"))
     across = tops.join(top, "key").filter("pivot <> t.pivot").filter(_possible("ps", "pp", "t.ps", "t.pp", percent))
     star = scratch.write(star.union(across.select("t.pivot", "pivot")).distinct(), "star")
-    links = _verified(star, texts, copies, scratch, n, percent)
-    labels = components(links, scratch)
-    more = scratch.write(_across(postings, labels, percent).join(star, ["a", "b"], "left_anti"), "across")
-    links = _verified(more, texts, copies, scratch, n, percent).union(links)
-    labels = components(links, scratch)
-    scratch.drop(postings, star, more)  # what is returned reads the other tables
-    return digests, labels, texts, copies
+    links = scratch.write(_open(star, classes, percent), "near")
+    wide = components(links, scratch)
+    more = scratch.write(_across(postings, wide, percent).join(star, ["a", "b"], "left_anti"), "across")
+    wide = components(scratch.write(_open(more, classes, percent).union(links), "near"), scratch)
+    scratch.drop(postings, star, more)  # what is returned reads some of the other tables
+    members = wide.toDF("cls", "label").join(classes.drop("parity"), "cls")
+    placed = scratch.write(_placed(members, percent), "placed")
+    found = scratch.write(_all_links(placed, texts, n, percent, False), "links")
+    labels = components(found.filter("b is not null").select("a", "b"), scratch)
+    counts = found.filter("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
+    return digests, labels, counts, placed, texts
 
 
 def _named(digests: DataFrame, labels: DataFrame, id_col: str, counts: DataFrame | None = None) -> DataFrame:

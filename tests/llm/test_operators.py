@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallywise.llm import bpe, pii, registered, winnow
 from tallywise.llm.decontaminate import find_leaks, smith_waterman
-from tallywise.llm.jaccard_join import _sets, jaccard_components, jaccard_join
+from tallywise.llm.jaccard_join import _near, _parity, _placed, _sets, jaccard_components, jaccard_join
 from tallywise.llm.langid import identify, train
 from tallywise.llm.line_dedup import dedup_lines
 from tallywise.llm.quality import assess
@@ -106,6 +106,32 @@ def test_jaccard_links_brute_force(spark, monkeypatch):
     assert len(pairs) == len(set(pairs)) and set(pairs) == want and len(want) > 50
 
 
+def test_jaccard_parities_keep_all_links_and_few_others():
+    """Candidates are told apart without their sets; no pair that links goes, also between unlike table sizes."""
+    chance, rows, linked = random.Random(3), [], []
+    for i in range(600):
+        size, other = chance.randint(1, 700), chance.random() if i % 2 else 0.2 * chance.random()
+        x = {chance.getrandbits(56) for _ in range(size)}
+        y = {h if chance.random() > other else chance.getrandbits(56) for h in x} | {chance.getrandbits(56) for _ in range(size // 8 * (i % 3))}
+        linked.append(100 * len(x & y) >= 75 * len(x | y))
+        rows.append((i, -i, len(x), len(y), *(_parity(np.array(sorted(s), np.uint64)) for s in (x, y))))
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], ["a", "b", "size_a", "size_b", "pa", "pb"])
+    kept = set(next(_near(75)(iter([batch])))["a"].to_pylist())
+    assert {i for i, x in enumerate(linked) if x} <= kept and sum(linked) > 50
+    assert len(kept) < 0.8 * len(rows) and all(len(r[4]) <= max(8, r[2] / 4) for r in rows)
+
+
+def test_jaccard_sets_of_a_small_component_are_sent_once(spark):
+    """A component that fits a block is one block, whatever its sizes; of a larger one all like sizes meet."""
+    rows = [(1, i, 1, 100 + 15 * i, 0) for i in range(20)] + [(2, 1000 + i, 1, 50, 0) for i in range(3000)]
+    placed = _placed(spark.createDataFrame(rows, "label long, cls long, weight long, size long, copy long"), 75).collect()
+    meets = {r.cls: {tuple(m)[:4] for m in r.m} for r in placed}
+    assert len(meets) == len(rows) and all(len(r.m) == len(meets[r.cls]) for r in placed)
+    assert {frozenset(meets[i]) for i in range(20)} == {frozenset({(0, 0, 0, 0)})}
+    kinds = {frozenset(meets[1000 + i]) for i in range(3000)}
+    assert len(kinds) == 4 and all(len(x & y) == 1 for x in kinds for y in kinds if x != y)
+
+
 def fingerprint(text, hashes, k=winnow.K, window=winnow.WINDOW):
     single = [hashes[w] for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     grams = []
