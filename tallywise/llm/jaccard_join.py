@@ -278,25 +278,32 @@ def _block_links(percent: int, pairs: bool):
     return run
 
 
-def _placed(members: DataFrame, percent: int) -> DataFrame:
+def _placed(members: DataFrame, percent: int, scratch: Scratch | None = None) -> DataFrame:
     """For each of ``members`` (label, cls, weight, size, copy), the classes of components, the pairs of blocks
     (array ``m``) in which its set is verified.
 
     A component whose sets fit one block is one. Of others: linked sizes differ by the factor 100 / ``percent``
     at most, so links lie in one band of sizes or in two neighbouring ones. The classes of a component
     and band are dealt by hash into blocks of about BLOCK classes, fewer of large sets, and each two blocks meet in one task, so that a
-    component of any size is spread."""
-    members = members.withColumn("load", 1 + F.col("size") / CLASS)
-    whole = members.groupBy("label").agg(F.count("*").alias("rows"), F.sum("load").alias("whole"))
+    component of any size is spread. Each step is a written table: :func:`attach_totals` reads its inputs several
+    times, and steps within one plan would repeat all steps before them, in the plan and on the driver that keeps it.
+    """
+    scratch = scratch or Scratch(members.sparkSession)
+    members = scratch.write(members.withColumn("load", 1 + F.col("size") / CLASS), "members")
+    whole = scratch.write(members.groupBy("label").agg(F.count("*").alias("rows"), F.sum("load").alias("whole")), "whole")
     step = F.log(F.lit(100 / percent))
     band = F.col("size").cast("long") if percent == 100 else F.floor(F.log("size") / step + 1e-9)
-    members = attach_totals(members, whole, "label", "rows").withColumn("band", F.when(F.col("whole") <= BLOCK, F.lit(0)).otherwise(band))
-    members = members.drop("rows", "whole").withColumn("group", F.xxhash64("label", "band"))
-    counts = members.groupBy("label", "band", "group").agg(F.count("*").alias("n"), F.ceil(F.sum("load") / BLOCK).alias("blocks"))
-    above = counts.select("label", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
-    below = counts.select("label", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
-    counts = counts.join(above, ["label", "band"], "left").join(below, ["label", "band"], "left")
-    rows = attach_totals(members, counts.select("group", "n", "blocks", "above", "below").fillna(0), "group", "n")
+    banded = attach_totals(members, whole, "label", "rows").withColumn("band", F.when(F.col("whole") <= BLOCK, F.lit(0)).otherwise(band))
+    banded = scratch.write(banded.drop("rows", "whole").withColumn("group", F.xxhash64("label", "band")), "banded")
+    counts = banded.groupBy("label", "band").agg(F.count("*").alias("n"), F.ceil(F.sum("load") / BLOCK).alias("blocks"))
+    # Each band tells its blocks to the bands beside it.
+    names = ("band", "n", "blocks", "above", "below")
+    none, at, blocks = F.lit(0).cast("long"), F.col("band"), F.col("blocks")
+    told = ((at, F.col("n"), blocks, none, none), (at - 1, none, none, blocks, none), (at + 1, none, none, none, blocks))
+    told = F.array(*(F.struct(*(x.alias(k) for k, x in zip(names, each, strict=True))) for each in told))
+    beside = counts.select("label", F.explode(told).alias("t")).groupBy("label", "t.band").agg(*(F.max(f"t.{k}").alias(k) for k in names[1:]))
+    groups = scratch.write(beside.filter("n > 0").select(F.xxhash64("label", "band").alias("group"), *names[1:]), "groups")
+    rows = attach_totals(banded, groups, "group", "n")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")))
 
     def meets(count: str, key: Callable[[Column], tuple]) -> Column:
@@ -309,7 +316,9 @@ def _placed(members: DataFrame, percent: int) -> DataFrame:
     own = meets("blocks", lambda j: (at, F.least(block, j), at, F.greatest(block, j), (block > j).cast("int")))
     up = meets("above", lambda j: (at, block, at + 1, j, F.lit(0)))
     down = meets("below", lambda j: (at - 1, j, at, block, F.lit(1)))
-    return rows.select("label", "cls", "weight", "copy", F.concat(own, up, down).alias("m"))
+    placed = scratch.write(rows.select("label", "cls", "weight", "copy", F.concat(own, up, down).alias("m")), "placed")
+    scratch.drop(members, whole, banded, groups)
+    return placed
 
 
 def _all_links(placed: DataFrame, texts: DataFrame, n: int, percent: int, pairs: bool) -> DataFrame:
@@ -429,7 +438,7 @@ def _labelled(docs: DataFrame, scratch: Scratch, n: int, percent: int, id_col: s
     wide = components(scratch.write(_open(more, classes, percent).union(links), "near"), scratch)
     scratch.drop(postings, star, more)  # what is returned reads some of the other tables
     members = wide.toDF("cls", "label").join(classes.drop("parity"), "cls")
-    placed = scratch.write(_placed(members, percent), "placed")
+    placed = _placed(members, percent, scratch)
     found = scratch.write(_all_links(placed, texts, n, percent, False), "links")
     labels = components(found.filter("b is not null").select("a", "b"), scratch)
     counts = found.filter("b is null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))

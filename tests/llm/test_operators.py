@@ -132,6 +132,21 @@ def test_jaccard_sets_of_a_small_component_are_sent_once(spark):
     assert len(kinds) == 4 and all(len(x & y) == 1 for x in kinds for y in kinds if x != y)
 
 
+def test_jaccard_plans_stay_small(spark, docs, monkeypatch):
+    """No query holds the steps of others many times over: the driver keeps the plan of each, with every change of it."""
+    shuffles, write = {}, Scratch.write
+
+    def counted(scratch, df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        shuffles[name] = max(shuffles.get(name, 0), plan.count("Exchange "))
+        return write(scratch, df, name)
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    documents, _ = jaccard_join(docs, Scratch(spark))
+    assert documents.count() == docs.count()
+    assert {"placed", "across", "labels", "links"} <= set(shuffles) and max(shuffles.values()) <= 30, shuffles
+
+
 def fingerprint(text, hashes, k=winnow.K, window=winnow.WINDOW):
     single = [hashes[w] for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     grams = []
