@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.functions import trim_control
+from tallywise.sources.text import read_lines
 
 
 def _edges(lines: DataFrame, links: Column) -> DataFrame:
@@ -21,13 +22,25 @@ def read_adjacency(
     """``nodes (id)`` and ``edges (src, dst)``.
 
     Blank lines and empty fields are dropped, names are trimmed. A repeated link stays repeated.
-    A node may have several lines: it is one node with the links of all of them.
+    A node may have several lines: it is one node with the links of all of them. A long line that has a file
+    of its own is read field by field, so that no task holds it.
     """
     parts = F.split("value", "\t")
-    lines = spark.read.text(paths).filter(trim_control("value") != "")
+    lines, fields = read_lines(spark, paths)
+    lines = lines.filter(trim_control("value") != "")
     lines = lines.select(trim_control(parts[0]).alias("id"), parts.alias("parts"))
     edges = _edges(lines, F.slice("parts", F.lit(2), F.size("parts")))
-    return lines.select("id").distinct(), edges
+    ids = lines.select("id")
+    if fields is not None:
+        trimmed = fields.select("file", "place", trim_control("value").alias("dst"))
+        first = trimmed.groupBy("file").agg(
+            F.min(F.struct("place", "dst")).alias("first"), F.max(F.col("dst") != "").alias("filled")
+        )
+        first = first.filter("filled").select("file", F.col("first.dst").alias("src"), F.col("first.place").alias("start"))
+        linked = trimmed.join(F.broadcast(first), "file").filter(F.col("place") != F.col("start"))
+        edges = edges.unionByName(linked.select("src", "dst").filter(F.col("dst") != ""))
+        ids = ids.unionByName(first.select(F.col("src").alias("id")))
+    return ids.distinct(), edges
 
 
 def read_ranked_adjacency(

@@ -8,7 +8,8 @@ from conftest import nodes_of, rows
 from tallywise import operators as op
 from tallywise.operators import graph
 from tallywise.sinks import text, write_adjacency
-from tallywise.sources import read_adjacency, read_ranked_adjacency
+from tallywise.sources import read_adjacency, read_pairs, read_ranked_adjacency
+from tallywise.sources import text as readers
 
 OPEN = ["A\tB\tC", "B\tC", "C\tA", "D\tC", "E\tA\tA\tD", "F"]
 CLOSED = ["A\tB\tC", "B\tC", "C\tA"]
@@ -210,6 +211,78 @@ def test_hub_has_one_line(spark, tmp_path):
     assert rows(read_adjacency(spark, out)[1]) == rows(edges)
 
 
+@pytest.fixture
+def short(monkeypatch):
+    """Lines count as long from 1,000 bytes on."""
+    monkeypatch.setattr(text, "LONG_LINE_BYTES", 1000)
+    monkeypatch.setattr(readers, "LONG_LINE_BYTES", 1000)
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_long_lines_are_held_by_no_task(spark, tmp_path, short, ordered):
+    """Hubs have a line and a file each, in their place, that is written and read link by link."""
+    hubs = spark.range(5000).selectExpr("if(id % 2 = 0, 'H', 'U') as src", "concat('n', if(id < 2600, 1, id % 900)) as dst")
+    few = spark.range(300).selectExpr("concat(substr('AHIZ', cast(id % 4 + 1 as int), 1), id) as src", "concat('n', id % 7) as dst")
+    edges = hubs.unionByName(few)
+    nodes = edges.selectExpr("src as id").filter("id != 'U'").unionByName(spark.sql("select 'alone' as id union all select 'alone'"))
+    out = str(tmp_path / "out")
+    write_adjacency(nodes, edges, out, files=3, ordered=ordered)
+    lines, fields = readers.read_lines(spark, out)
+    assert lines.selectExpr("max(length(value))").first()[0] < 1000
+    assert fields.selectExpr("count(distinct file)", "max(length(value))").first() == (2, 4)
+    again, linked = read_adjacency(spark, out)
+    assert rows(linked) == rows(edges)
+    assert rows(again) == sorted({(r.src,) for r in edges.collect()} | {("alone",)})
+    files = [f.read_text() for f in sorted(Path(out).glob("part-*"))]
+    assert [f.count("\n") for f in files if len(f) > 5000] == [0, 0] and (Path(out) / "_SUCCESS").exists()
+    texts = [line for f in files if f for line in f.removesuffix("\n").split("\n")]
+    assert len(texts) == 303
+    names = [line.split("\t")[0] for line in texts]
+    assert names == sorted(names) or not ordered
+    for line in texts:
+        links = line.rstrip("\t").split("\t")[1:]
+        assert links == sorted(links)
+    assert rows(read_pairs(spark, out)) == sorted(tuple([*t.split("\t", 1), ""][:2]) for t in texts)
+    with pytest.raises(Exception, match="already exists"):
+        write_adjacency(nodes, edges, out)
+
+
+def test_long_lines_of_other_programs(spark, tmp_path, short):
+    """Files with a long line among others, with other line ends, and without any line end, some blank."""
+    links = [f"n{i}" for i in range(700)]
+    line = "\t".join(["H", *links])
+    files = {
+        "mixed": f"A\tB\n{line}\nC\tA\n", "ends": "\r\n".join(f"D{i}\tA" for i in range(400)),
+        "alone": f" {line}\t\t x ", "blank": "\t" * 1200, "empty_id": "\t" * 1200 + "A", "no_link": "N" * 2000, "small": "S\tA\n",
+    }
+    for name, content in files.items():
+        (tmp_path / f"{name}.txt").write_text(content)
+    nodes, edges = read_adjacency(spark, str(tmp_path))
+    want = [("H", n) for n in links] * 2 + [("A", "B"), ("C", "A"), ("H", "x"), ("", "A"), ("S", "A")] + [(f"D{i}", "A") for i in range(400)]
+    assert rows(edges) == sorted(want)
+    assert rows(nodes) == sorted({(s,) for s, _ in want} | {("N" * 2000,)})
+    for name in files:
+        file = str(tmp_path / f"{name}.txt")
+        pairs = spark.read.text(file).selectExpr("split(value, '\t', 2) as p").selectExpr("p[0]", "coalesce(get(p, 1), '')")
+        assert rows(read_pairs(spark, file)) == rows(pairs)
+    _, fields = readers.read_lines(spark, str(tmp_path))
+    assert {r.file.split("/")[-1] for r in fields.select("file").distinct().collect()} == {f"{n}.txt" for n in ("alone", "blank", "empty_id", "no_link")}
+
+
+def test_long_lines_with_ranks(spark, tmp_path, short):
+    edges = spark.range(2000).selectExpr("'H' as src", "concat('n', id % 900) as dst")
+    nodes = spark.createDataFrame([("H", 1.5), ("H", 1.25), ("n1", 2.0)], "id string, rank double")
+    write_adjacency(nodes, edges, str(tmp_path / "out"), ordered=True)
+    again, linked = read_ranked_adjacency(spark, str(tmp_path / "out"))
+    assert rows(again) == [("H", 1.5), ("n1", 2.0)] and rows(linked) == rows(edges)
+    with pytest.raises(Exception, match="node without rank"):
+        write_adjacency(nodes.filter("id != 'H'"), edges, str(tmp_path / "none"))
+    broken = nodes.unionByName(spark.createDataFrame([("a\nb", 1.0)], nodes.schema))
+    with pytest.raises(Exception, match="separator"):
+        write_adjacency(broken, edges, str(tmp_path / "broken"))
+    assert not (tmp_path / "broken").exists()
+
+
 def test_line_too_long_raises(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(text, "MAX_LINE_BYTES", 10)
     nodes, edges = load(spark, tmp_path, ["A\tlonger\tlongest", "B\tA"])
