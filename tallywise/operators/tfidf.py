@@ -20,7 +20,7 @@ from tallywise.operators.skew import (
     hot_totals,
     sliced_join,
 )
-from tallywise.operators.tokens import drop_stop_words, tokenize
+from tallywise.operators.tokens import drop_stop_words, is_short, tokenize
 from tallywise.session import Scratch, written
 
 TASK_BYTES = 8 * 1024 * 1024  # of text that a task counts the terms of
@@ -55,20 +55,32 @@ def term_table(
     stop: DataFrame | Iterable[str] = (),
     hot_bytes: int = HOT_BYTES,
     scratch: Scratch | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """:func:`term_frequency` as a table in the shared folder, or in ``scratch``, made by one shuffle of the texts.
 
     The texts of a document meet in the task that counts its terms, so the far more (document, term) rows
     are not shuffled. If some document has more than ``hot_bytes`` of text, as a small job on the lengths tells,
     the rows are shuffled as :func:`term_frequency` does, which no document makes uneven.
+
+    ``bucketed`` keeps the rows of the table in buckets of their document, if that is where they were counted and the
+    stop words are few enough to be broadcast; ``_bucketed`` of the result says so.
     """
+    stop = stop if isinstance(stop, DataFrame) else set(stop)
     sizes = docs.filter(F.col(doc).isNotNull()).groupBy(doc).agg(F.sum(F.octet_length(text)).alias("n"))
     most, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (most or 0) <= hot_bytes:
+    met = (most or 0) <= hot_bytes
+    if met:
         parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        docs = docs.select(doc, text).repartition(max(parts, (total or 0) // TASK_BYTES + 1), doc)
+        parts = max(parts, (total or 0) // TASK_BYTES + 1)
+        docs = docs.select(doc, text).repartition(parts, doc)
     tf = term_frequency(docs, doc, text, stop)
-    return written(tf, "terms") if scratch is None else scratch.write(tf, "terms")
+    if scratch is None:
+        return written(tf, "terms")
+    dealt = bucketed and met and not isinstance(stop, DataFrame) and is_short(stop)
+    table = scratch.bucketed(tf, "terms", parts, [doc], dealt=True) if dealt else scratch.write(tf, "terms")
+    table._bucketed = dealt
+    return table
 
 
 def count_documents(docs: DataFrame, doc: str = "doc") -> Column:

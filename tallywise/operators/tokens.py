@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,11 @@ def word_list(spark: SparkSession, items: Iterable[str], word: str = "word") ->
     return spark.range(1).select(F.explode(literal).alias(word))
 
 
+def is_short(items: Collection[str]) -> bool:
+    """Whether distinct ``items`` are within the broadcast bound."""
+    return len(items) <= MAX_BROADCAST_ROWS and sum(len(i.encode()) for i in items) <= MAX_BROADCAST_BYTES
+
+
 def drop_stop_words(
     tokens: DataFrame, stop: DataFrame | Iterable[str], word: str = "word"
 ) -> DataFrame:
@@ -42,8 +47,7 @@ def drop_stop_words(
     items = set(stop)
     if not items:
         return tokens
-    small = len(items) <= MAX_BROADCAST_ROWS and sum(len(i.encode()) for i in items) <= MAX_BROADCAST_BYTES
-    return drop_keys(tokens, word_list(tokens.sparkSession, items, word), word, small)
+    return drop_keys(tokens, word_list(tokens.sparkSession, items, word), word, is_short(items))
 
 
 def query_terms(queries: DataFrame, query_id: str, text: str = "text") -> DataFrame:

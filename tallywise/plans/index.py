@@ -5,24 +5,23 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywise.functions import safe_ratio, stable
+from tallywise.functions import safe_ratio, stable, tfidf_weight
 from tallywise.operators import count_documents, document_frequency, term_table, tfidf, top_k
-from tallywise.operators.pruned import Pruned, prune_scores, term_bounds
-from tallywise.operators.skew import MAX_HOT, fits_broadcast
-from tallywise.operators.tfidf import with_norm
-from tallywise.plans.search import postings_of
+from tallywise.operators.pruned import Pruned, prune_scores, size_class, term_bounds
+from tallywise.operators.skew import MAX_HOT, MAX_KEY_BYTES, attach_totals, fits_broadcast
 from tallywise.plans.words import StopWords
-from tallywise.session import Scratch
+from tallywise.session import Scratch, clean_shuffles
 
 SHELF_ROWS = 100_000  # postings of a term that share a shelf at most, unless that made more than MAX_HOT shelves
 MAX_SHELVES = 1000  # that a search names in its filter
 
 
-def _shelf(number: Column) -> Column:
-    return F.xxhash64("term", number)
+def _shelf(shelves: Column, number: Column) -> Column:
+    """The term, and the number of the shelf if the term has several. No term has a space."""
+    return F.when(shelves > 1, F.concat("term", F.lit(" "), number.cast("string"))).otherwise(F.col("term"))
 
 
 def _columns(df: DataFrame) -> str:
@@ -46,24 +45,32 @@ def write_index(
     a term that is in most documents. ``terms`` (term, df, shelves) and ``bounds`` (largest weights) have a
     row for each term and size class, ``about`` the number of documents and of buckets. There are as many
     ``buckets`` as shuffle partitions unless a number is given.
+
+    The counts of (document, term) stay in buckets of their document, where they meet its norm, and are shuffled
+    once, to their shelf; only those of rarer terms are shuffled before, for the norms.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        tf = term_table(docs, doc, text, stop, scratch=scratch)
+        tf = term_table(docs, doc, text, stop, scratch=scratch, bucketed=True)
         total = spark.range(1).select(count_documents(docs, doc)).first()[0] if n_docs is None else n_docs
         stats = scratch.write(document_frequency(tf), "stats")
+        clean_shuffles(spark)
         rows = stats.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-        shelves = F.ceil(F.col("df") / max(shelf_rows, rows / MAX_HOT)).cast("int").alias("shelves")
-        stats = stats.select("term", "df", shelves)
-        weights = with_norm(tfidf(tf, stats, total, doc=doc, table=True), tf, doc, keep=["shelves"])
-        shelf = _shelf(F.pmod(F.xxhash64(doc), F.col("shelves")).cast("int"))
-        postings = postings_of(weights, doc, shelf.alias("shelf")).repartition(buckets, "shelf")
+        shelves = F.ceil(F.col("df") / max(shelf_rows, rows / MAX_HOT)).cast("int")
+        # Several shelves are told by a broadcast, so that a term too long for one has a single shelf.
+        short = F.octet_length("term") <= MAX_KEY_BYTES
+        stats = stats.select("term", "df", F.when(short, shelves).otherwise(1).alias("shelves"))
+        norms = scratch.write(_norms(tfidf(tf, stats, total, doc=doc, table=True), doc), "norms")
+        clean_shuffles(spark)
+        postings = _shelved(_with_norms(tf, norms, doc), stats, total, doc, buckets)
         table = f"tallywise_{uuid.uuid4().hex}"
         writer = postings.write.format("parquet").option("path", f"{path}/postings")
         writer.bucketBy(buckets, "shelf").sortBy("term").saveAsTable(table)
+        scratch.drop(tf, norms)
+        clean_shuffles(spark)
         tables = {"postings": spark.table(table), "bounds": term_bounds(spark.table(table)), "terms": stats}
         tables["bounds"].write.parquet(f"{path}/bounds")
         stats.write.parquet(f"{path}/terms")
@@ -76,6 +83,34 @@ def write_index(
         scratch.release()
 
 
+def _norms(weights: DataFrame, doc: str) -> DataFrame:
+    """(doc, norm, n_terms) of each document, from sums that the tasks make."""
+    square = F.col("tfidf") * F.col("tfidf")
+    return weights.groupBy(doc).agg(F.sqrt(F.sum(square)).alias("norm"), F.count("*").alias("n_terms"))
+
+
+def _with_norms(tf: DataFrame, norms: DataFrame, doc: str) -> DataFrame:
+    """(doc, term, tf, norm, size). In buckets of their document the rows stay where they are."""
+    if tf._bucketed:
+        joined = tf.join(norms.hint("shuffle_hash"), doc)
+    else:
+        joined = attach_totals(tf, norms, doc, "n_terms")
+    return joined.select(doc, "term", "tf", "norm", size_class("n_terms").alias("size"))
+
+
+def _shelved(rows: DataFrame, stats: DataFrame, n_docs: int, doc: str, buckets: int) -> DataFrame:
+    """The postings, dealt to their shelves. What is shuffled is as short as can be: the shelf tells the term, and a
+    term of a single shelf meets all its documents there, where they are counted."""
+    several = stats.filter(F.col("shelves") > 1)
+    tagged = rows.join(F.broadcast(several), "term", "left")
+    shelf = _shelf(F.col("shelves"), F.pmod(F.xxhash64(doc), F.col("shelves")))
+    dealt = tagged.select(shelf.alias("shelf"), F.col(doc).alias("_doc"), "tf", "norm", "size", "df").repartition(buckets, "shelf")
+    n = F.coalesce("df", F.count("*").over(Window.partitionBy("shelf")))
+    weight = tfidf_weight(F.col("tf"), n, F.lit(n_docs)).alias("tfidf")
+    term = F.substring_index("shelf", " ", 1).alias("term")
+    return dealt.select(term, F.col("_doc").alias(doc), weight, "norm", "size", "shelf")
+
+
 @dataclass(frozen=True)
 class SearchIndex:
     """What :func:`write_index` wrote. The results are those of :func:`tallywise.plans.search` and
@@ -91,8 +126,8 @@ class SearchIndex:
         """The postings of ``terms`` (one column). With up to MAX_SHELVES shelves, as any query of a person has,
         the shelves are named in a filter, and the scan opens their buckets only."""
         wanted = terms.toDF("term").distinct().join(self.terms, "term")
-        wanted = wanted.select("term", F.explode(F.sequence(F.lit(0), F.col("shelves") - 1)).alias("n"))
-        wanted = wanted.select("term", _shelf(F.col("n")).alias("shelf"))
+        wanted = wanted.select("term", "shelves", F.explode(F.sequence(F.lit(0), F.col("shelves") - 1)).alias("n"))
+        wanted = wanted.select("term", _shelf(F.col("shelves"), F.col("n")).alias("shelf"))
         named = wanted.limit(MAX_SHELVES + 1).collect()
         if len(named) <= MAX_SHELVES:
             shelves, words = {r.shelf for r in named}, {r.term for r in named}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -113,6 +114,13 @@ class Scratch:
             self.spark.sql(f"drop table if exists {self._tables.pop(path)}")
 
 
+def clean_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, upon which Spark deletes the shuffle files of frames that are gone.
+    Otherwise those of a finished step stay on disk beside the next one's until the driver's memory is short."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder that this library made, in whatever store it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

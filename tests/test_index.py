@@ -112,6 +112,45 @@ def test_a_term_of_all_documents_has_several_shelves(spark, tmp_path, monkeypatc
         assert rows(index.search(asked, k=4)) == rows(plans.search(docs, asked, doc="id", k=4))
 
 
+def test_postings_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """What is written to the shelves comes from buckets of documents, by one shuffle; and no document name, stop word
+    list or repeated document makes other weights."""
+    lines, queries = corpus(3)
+    docs, asked = frames(spark, lines, queries)
+    made = []
+    shelved = indexes._shelved
+    monkeypatch.setattr(indexes, "_shelved", lambda *args: made.append(shelved(*args)) or made[-1])
+    dealt = indexes._with_norms
+    monkeypatch.setattr(indexes, "_with_norms", lambda *args: made.append(dealt(*args)) or made[-1])
+    plans.write_index(docs, str(tmp_path / "index"), stop=["w0"], buckets=3, shelf_rows=20)
+    texts = [df._jdf.queryExecution().optimizedPlan().toString() for df in made]
+    assert [t.count("RepartitionByExpression") for t in texts] == [0, 1] and all("Window" not in t for t in texts[:1])
+    # A list of stop words in a frame, a document in many rows, and rows without a name.
+    words = spark.createDataFrame([("w0",)], "word string")
+    parted = docs.unionByName(docs.filter("doc in ('all', 'd7')")).unionByName(docs.limit(3).withColumn("doc", F.lit(None).cast("string")))
+    plans.write_index(parted, str(tmp_path / "parted"), stop=words, shelf_rows=20)
+    twice = [(d, f"{t or ''} {t or ''}" if d in ("all", "d7") else t or "") for d, t in lines]
+    want = model(twice, queries, {"w0"}, 3)
+    close(set(rows(plans.open_index(spark, str(tmp_path / "parted")).search_batch(asked, k=3))), want)
+
+
+def test_rows_by_document_meet_their_norm_without_a_shuffle(spark):
+    lines, _ = corpus(2)
+    docs, _ = frames(spark, lines, {1: {"x"}})
+    scratch = Scratch(spark)
+    tf = op.term_table(docs, scratch=scratch, bucketed=True)
+    norms = scratch.write(indexes._norms(op.tfidf(tf, op.document_frequency(tf), 100, table=True), "doc"), "norms")
+    rows_ = indexes._shelved(indexes._with_norms(tf, norms, "doc"), spark.sql("select 'w1' as term, 9L as df, 2 as shelves"), 100, "doc", 3)
+    execution = rows_._jdf.queryExecution()
+    execution.toRdd().count()
+    shuffles = [n.toString() for n in nodes_of(execution.executedPlan()) if n.nodeName() == "Exchange"]
+    assert all("shelf" in s or "doc" in s for s in shuffles)
+    assert sum("shelf" in s.split("\n")[0] for s in shuffles) == 1
+    # Besides, the norms may be shuffled, a row for each document.
+    assert not any("term" in s.split("\n")[0] or "tf#" in s.split("\n")[0] for s in shuffles if "shelf" not in s.split("\n")[0])
+    scratch.release()
+
+
 def test_empty_index(spark, tmp_path):
     docs = spark.createDataFrame([], "doc string, text string")
     plans.write_index(docs, str(tmp_path / "index"))
