@@ -6,11 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywise.operators.skew import MAX_HOT, attach_totals
 from tallywise.session import Scratch
 
 SLICE_ROWS = 10_000
+HASH_BYTES = 64 * 1024 * 1024  # of the ranks of a bucket that a task holds to look up those of its links
+ROW_BYTES = 64  # of a row that is held, besides the name of its node
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
@@ -54,10 +57,13 @@ def gather(
     n_nodes: int | Column,
     damping: float = 0.85,
     how: str = "left",
+    hashed: bool = False,
 ) -> DataFrame:
     """The columns of ``nodes`` and the new ``rank``, from (dst, credit) rows. A node that gets no
-    credit keeps the part all nodes have, ``(1 - damping) / n_nodes``."""
+    credit keeps the part all nodes have, ``(1 - damping) / n_nodes``. ``hashed`` says that the nodes of a
+    partition fit a hash table."""
     arrived = credits.groupBy(F.col("dst").alias("id")).agg(F.sum("credit").alias("_credit"))
+    arrived = arrived.hint("shuffle_hash") if hashed else arrived
     # Rounded, since 1 - 0.85 is not the double nearest to 0.15.
     base = F.lit(round(1 - damping, 15)) / (F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes)
     rank = base + damping * F.coalesce("_credit", F.lit(0.0))
@@ -102,6 +108,9 @@ class Graph:
     ``sliced`` tells whether any node has more than one slice. Both are tables in the shared folder with
     ``buckets`` buckets by their key, the session's number of shuffle partitions, so that what a round
     shuffles meets them where they are, and a lost executor costs a read.
+    ``hashed`` tells whether the ranks of a bucket are few enough for a hash table, about HASH_BYTES. No round then
+    sorts the links, and they lie in the order of their targets, at which their credits are added up.
+    If the nodes were ``numbered``, ``id``, ``src`` and ``dst`` are numbers, and ``names`` (number, id) has the names.
     """
 
     nodes: DataFrame
@@ -109,6 +118,8 @@ class Graph:
     n_nodes: int
     sliced: bool
     buckets: int
+    hashed: bool
+    names: DataFrame | None
     scratch: Scratch
 
     def keep(self, ranks: DataFrame) -> DataFrame:
@@ -126,40 +137,52 @@ def prepare(
     on_missing: str = "error",
     slice_rows: int = SLICE_ROWS,
     max_hot: int = MAX_HOT,
+    numbered: bool = False,
 ) -> Graph:
     """Count and slice the out-links once, for all rounds, and lay them and the nodes out in buckets.
     All tables are written to the shared folder, so that a lost executor never sends a task back to the
     source of the edges.
 
     ``on_missing`` says what to do with an edge from or to an id that is not in ``nodes``:
-    ``"error"`` raises, ``"add"`` makes it a node. A null id raises in any case.
+    ``"error"`` raises, ``"add"`` makes it a node. A null id raises in any case. ``numbered`` puts numbers in place
+    of the nodes' names, which takes one more join and makes each round cheaper; repeated edges then count
+    each time also where a node's links are cut into slices.
     """
     _check_on_missing(on_missing)
     scratch = Scratch(nodes.sparkSession)
-    copies = F.count("*").alias("copies")
-    merged = scratch.write(edges.groupBy("src", "dst").agg(copies), "edges")
+    copies, one = F.count("*").alias("copies"), F.lit(1).cast("bigint")
+    if numbered:  # as they are, since pairs of numbers are merged with less effort
+        table, degree = scratch.write(edges.select("src", "dst"), "edges"), one
+    else:
+        table, degree = scratch.write(edges.groupBy("src", "dst").agg(copies), "edges"), F.col("copies")
 
     # One row per node from three kinds of rows: listed nodes, edges at their source and edges at
     # their target. Partial sums keep a hot node to one row per task.
-    no_links = [F.lit(0).cast("bigint").alias(c) for c in ("out_degree", "n_links")]
-    one_link = [F.col("copies").alias("out_degree"), F.lit(1).cast("bigint").alias("n_links")]
-    rows = nodes.select("id", F.lit(1).alias("listed"), *no_links)
-    rows = rows.unionByName(merged.select(F.col("src").alias("id"), F.lit(0).alias("listed"), *one_link))
-    rows = rows.unionByName(merged.select(F.col("dst").alias("id"), F.lit(0).alias("listed"), *no_links))
+    def counts(id_: str, listed: int, *sizes: Column) -> list[Column]:
+        named = [size.alias(name) for size, name in zip(sizes, ("out_degree", "n_links", "n_in"), strict=True)]
+        return [F.col(id_).alias("id"), F.lit(listed).alias("listed"), *named]
+
+    none = F.lit(0).cast("bigint")
+    rows = nodes.select(*counts("id", 1, none, none, none))
+    rows = rows.unionByName(table.select(*counts("src", 0, degree, one, none)))
+    rows = rows.unionByName(table.select(*counts("dst", 0, none, none, one)))
     counted = rows.groupBy("id").agg(
         F.max("listed").alias("listed"),
         F.sum("out_degree").alias("out_degree"),
         F.sum("n_links").alias("n_links"),
+        F.sum("n_in").alias("n_in"),
     )
-    counted = scratch.write(counted, "nodes")
+    # The numbers hold once they are written.
+    counted = scratch.write(counted.withColumn("number", F.monotonically_increasing_id()), "nodes")
     totals = counted.agg(
         F.count("*"),
         F.sum("n_links"),
         F.max("n_links"),
         F.min(F.when(F.col("listed") == 0, F.col("id"))),
         F.count_if(F.col("id").isNull()),
+        F.sum(F.octet_length(F.col("id").cast("string")) + ROW_BYTES),
     )
-    n_nodes, n_links, most, missing, nulls = totals.first()
+    n_nodes, n_links, most, missing, nulls, size = totals.first()
     if nulls:
         scratch.release()
         raise ValueError("a node or an end of an edge is null")
@@ -170,22 +193,36 @@ def prepare(
     per_slice = max((n_links or 0) / max_hot, slice_rows)
     slices = F.greatest(F.ceil(F.col("n_links") / per_slice), F.lit(1)).cast("int")
     counted = counted.withColumn("slices", slices)
-    sources = counted.filter(F.col("n_links") > 0).withColumnRenamed("id", "src")
-    links = attach_totals(merged, sources, "src", "n_links", max_hot).select(
-        "src",
-        F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice"),
-        "dst",
-        (F.col("copies") / F.col("out_degree")).alias("share"),
-    )
-    sliced = (most or 0) > per_slice
     buckets = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = (most or 0) > per_slice
+    # A node's row is repeated for each slice, of which there are max_hot more than nodes.
+    hashed = (size or 0) + (max_hot * (size // n_nodes) if sliced else 0) <= HASH_BYTES * buckets
+    if numbered:
+        targets = counted.filter(F.col("n_in") > 0).select(F.col("id").alias("dst"), "n_in", "number")
+        ends = attach_totals(table, targets, "dst", "n_in", max_hot, hashed)
+        raw = table
+        table = scratch.write(ends.select("src", F.col("number").alias("dst")), "ends")
+        scratch.drop(raw)
+    sources = counted.filter(F.col("n_links") > 0).drop("n_in").withColumnRenamed("id", "src")
+    links = attach_totals(table, sources, "src", "n_links", max_hot, hashed)
+    slice_of = F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice")
+    if numbered:
+        links = links.select(F.col("number").alias("src"), slice_of, "dst", "out_degree")
+        links = links.groupBy("src", "slice", "dst", "out_degree").agg(copies)
+    else:
+        links = links.select("src", slice_of, "dst", "out_degree", "copies")
+    links = links.select("src", "slice", "dst", (F.col("copies") / F.col("out_degree")).alias("share"))
     keys = ["src", "slice"] if sliced else ["src"]
+    own = counted.select((F.col("number") if numbered else F.col("id")).alias("id"), "slices")
+    links = links if sliced else links.drop("slice")
     return Graph(
-        nodes=scratch.bucketed(counted.select("id", "slices"), "nodes", buckets, ["id"]),
-        links=scratch.bucketed(links if sliced else links.drop("slice"), "links", buckets, keys),
+        nodes=scratch.bucketed(own, "nodes", buckets, ["id"]),
+        links=scratch.bucketed(links, "links", buckets, keys, order=["dst"] if hashed else keys),
         n_nodes=n_nodes,
         sliced=sliced,
         buckets=buckets,
+        hashed=hashed,
+        names=counted.select("number", "id") if numbered else None,
         scratch=scratch,
     )
 
@@ -212,9 +249,11 @@ def pagerank(
     The links stay where they are, and the ranks are made on the buckets of their node. A round
     thus shuffles the credits to their target, added up per task first, and nothing else; if some
     node is hot, also the ranks, one row for each slice of a node. The ranks are written every
-    ``checkpoint_every`` rounds, with ``tol`` in each.
+    ``checkpoint_every`` rounds, with ``tol`` in each. Nodes with names are numbered for the rounds.
     """
-    graph = prepare(nodes, edges, on_missing, slice_rows, max_hot)
+    ends = (nodes.schema["id"], edges.schema["src"], edges.schema["dst"])
+    named = all(isinstance(end.dataType, T.StringType) for end in ends)
+    graph = prepare(nodes, edges, on_missing, slice_rows, max_hot, numbered=named)
     start = 1.0 / max(graph.n_nodes, 1) if init == "uniform" else float(init)
     ranks = graph.nodes.select("id", "slices", F.lit(start).alias("rank"))
     result = Scratch(nodes.sparkSession)
@@ -224,7 +263,7 @@ def pagerank(
             if tol is not None:
                 ranks, change = _observed_round(graph, ranks, damping)
             else:
-                ranks = gather(graph.nodes, _credits(graph, ranks), graph.n_nodes, damping)
+                ranks = gather(graph.nodes, _credits(graph, ranks), graph.n_nodes, damping, hashed=graph.hashed)
             if tol is not None or (done % checkpoint_every == 0 and done < iterations):
                 before, kept = kept, graph.keep(ranks)
                 ranks = kept
@@ -232,6 +271,8 @@ def pagerank(
                     graph.scratch.drop(before)
             if tol is not None and (change.get["change"] or 0.0) <= tol:
                 break
+        if named:
+            ranks = ranks.withColumnRenamed("id", "number").join(graph.names, "number")
         return result.write(ranks.select("id", "rank"), "pagerank")
     finally:
         graph.release()
@@ -241,7 +282,7 @@ def _observed_round(graph: Graph, ranks: DataFrame, damping: float) -> tuple[Dat
     """The ranks after a round, and what will hold the largest change once they have been written."""
     change = Observation()
     before = ranks.withColumnRenamed("rank", "before")
-    after = gather(before, _credits(graph, ranks), graph.n_nodes, damping)
+    after = gather(before, _credits(graph, ranks), graph.n_nodes, damping, hashed=graph.hashed)
     after = after.observe(change, F.max(F.abs(F.col("rank") - F.col("before"))).alias("change"))
     return after.drop("before"), change
 
@@ -254,4 +295,5 @@ def _credits(graph: Graph, ranks: DataFrame) -> DataFrame:
         sent = sent.select("src", "rank", every_slice)
         keys = ["src", "slice"]
     credit = (F.col("rank") * F.col("share")).alias("credit")
+    sent = sent.hint("shuffle_hash") if graph.hashed else sent
     return graph.links.join(sent, keys).select("dst", credit)

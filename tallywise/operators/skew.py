@@ -46,7 +46,7 @@ def hot_keys(rows: DataFrame, key: str, max_hot: int = MAX_HOT) -> DataFrame:
 
 
 def attach_totals(
-    rows: DataFrame, totals: DataFrame, key: str, size: str, max_hot: int = MAX_HOT
+    rows: DataFrame, totals: DataFrame, key: str, size: str, max_hot: int = MAX_HOT, hashed: bool = False
 ) -> DataFrame:
     """Inner join of ``rows`` with ``totals``, which has one row per ``key`` and in ``size`` the
     number of ``rows`` with that key.
@@ -54,8 +54,10 @@ def attach_totals(
     Rows of hot keys meet their total by broadcast and are not shuffled at all; only the rest is.
     The split is an outer join and a null test, not an anti-join: Catalyst moves an anti-join below
     the aggregate that makes ``rows``, which would then be computed once for each branch.
+    ``hashed`` says that a partition of ``totals`` fits a hash table, so that ``rows`` need not be sorted.
     """
     hot = hot_totals(totals, key, size, max_hot)
+    totals = totals.hint("shuffle_hash") if hashed else totals
     tagged = rows.join(F.broadcast(hot), key, "left")
     of_hot = tagged.filter(F.col(size).isNotNull())
     of_rest = tagged.filter(F.col(size).isNull()).select(rows.columns).join(totals, key)

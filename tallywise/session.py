@@ -83,14 +83,16 @@ class Scratch:
         back._scratch_path = path
         return back
 
-    def bucketed(self, df: DataFrame, name: str, buckets: int, keys: Sequence[str], dealt: bool = False) -> DataFrame:
-        """Write ``df`` as a table of ``buckets`` files, a hash of ``keys`` choosing the file, sorted by them, and
-        return it read back. A join or aggregate on ``keys`` reads it without a shuffle where
+    def bucketed(
+        self, df: DataFrame, name: str, buckets: int, keys: Sequence[str], dealt: bool = False, order: Sequence[str] = ()
+    ) -> DataFrame:
+        """Write ``df`` as a table of ``buckets`` files, a hash of ``keys`` choosing the file, sorted by them or by
+        ``order``, and return it read back. A join or aggregate on ``keys`` reads it without a shuffle where
         ``spark.sql.shuffle.partitions`` is the same number. ``dealt`` says that ``df`` already has that
         partitioning. The table is in the session's catalogue until it is dropped."""
         path, table = self.path(name), f"tallywise_{uuid.uuid4().hex}"
         rows = df if dealt else df.repartition(buckets, *keys)
-        writer = rows.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+        writer = rows.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*(order or keys))
         writer.saveAsTable(table)
         self._tables[path] = table
         back = self.spark.table(table)

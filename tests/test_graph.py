@@ -107,6 +107,32 @@ def test_hot_node_is_sliced(spark):
     assert ranks(op.pagerank(nodes, edges, 3, slice_rows=10)) == ranks(op.pagerank(nodes, edges, 3))
 
 
+@pytest.mark.parametrize("slice_rows", [10_000, 4])
+@pytest.mark.parametrize("hashed", [True, False])
+def test_names_are_numbered_for_the_rounds(spark, monkeypatch, slice_rows, hashed):
+    """Ranks are those of numbers as names, with repeated edges and hot nodes; the links of a round are not sorted."""
+    monkeypatch.setattr(graph, "HASH_BYTES", graph.HASH_BYTES if hashed else 1)
+    pairs = [("hub", f"n{i % 40}") for i in range(90)] + [(f"n{i}", "hub") for i in range(40)] + [("n1", "n2")] * 30 + [("n3", "sink")]
+    number = {n: i for i, n in enumerate(sorted({n for p in pairs for n in p}))}
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    nodes = spark.createDataFrame([(n,) for n in number] + [("alone",), ("hub",)], "id string")
+    numbers = spark.createDataFrame([(number[s], number[d]) for s, d in pairs], "src int, dst int")
+    listed = spark.createDataFrame([(i,) for i in number.values()] + [(-1,)], "id int")
+    got = dict(rows(op.pagerank(nodes, edges, 4, slice_rows=slice_rows, max_hot=8)))
+    want = dict(rows(op.pagerank(listed, numbers, 4)))
+    assert got == pytest.approx({n: want[i] for n, i in number.items()} | {"alone": want[-1]})
+    assert dict(rows(op.pagerank(nodes.limit(0), edges, 4, on_missing="add"))).keys() == set(number)
+    with pytest.raises(ValueError, match="'sink'"):
+        op.pagerank(nodes.filter("id != 'sink'"), edges, 4)
+    prepared = graph.prepare(nodes, edges, slice_rows=slice_rows, max_hot=8, numbered=True)
+    assert prepared.hashed == hashed and prepared.sliced == (slice_rows == 4)
+    assert dict(prepared.links.dtypes)["src"] == "bigint" and prepared.links.count() == len(set(pairs))
+    credits = graph._credits(prepared, prepared.nodes.selectExpr("id", "slices", "1D as rank"))
+    joins = [n.nodeName() for n in nodes_of(credits._jdf.queryExecution().executedPlan()) if "Join" in n.nodeName()]
+    assert joins == ["ShuffledHashJoin" if hashed else "SortMergeJoin"]
+    prepared.release()
+
+
 @pytest.mark.parametrize("rounds", [1, 3])
 def test_steps_agree_with_the_loop(spark, tmp_path, rounds):
     nodes, edges = load(spark, tmp_path, OPEN)
